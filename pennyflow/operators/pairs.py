@@ -99,11 +99,13 @@ def matching_pairs(
     behaviour: DataFrame,
     cases: Sequence[Case],
     strict: bool = False,
+    hot: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """(user_id, case, pairs) for the users with at least one pair.
 
-    ``strict`` counts only withdrawals at or after the saving.
+    ``strict`` counts only withdrawals at or after the saving. ``hot`` names the users with very
+    many rows; they are found by counting when not given.
     """
     chosen = F.array_compact(
         F.array(
@@ -162,7 +164,7 @@ def matching_pairs(
         [Look("later", "count", is_saving, "after")],
         F.col("weight").isNotNull(),
         # a block holds a saving at most once, so only users with many rows can have large blocks
-        hot=hot_keys(behaviour, ["user_id"], hot_rows),
+        hot=hot_keys(behaviour, ["user_id"], hot_rows) if hot is None else hot,
     )
     return (
         counted.groupBy(*key)

@@ -39,15 +39,17 @@ def lookup_join(
     table: DataFrame,
     key: Sequence[str],
     how: str = "left",
+    hot: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Join many ``rows`` to a ``table`` with at most one row per key.
 
     Hot keys meet their table rows by broadcast, so their rows stay where they were read; the rest
     is an ordinary equi join. The broadcast part of ``table`` has at most one row per hot key.
+    ``hot`` is found by counting when not given.
     """
     key = list(key)
-    hot = hot_keys(rows, key, hot_rows)
+    hot = hot_keys(rows, key, hot_rows) if hot is None else hot
     ordinary, heavy = split_hot(rows, hot)
     of_hot = table.join(F.broadcast(hot), key, "left_semi")
     return ordinary.join(table, key, how).unionByName(heavy.join(F.broadcast(of_hot), key, how))
