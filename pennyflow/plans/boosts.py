@@ -21,7 +21,7 @@ from pennyflow.operators.filters import (
     has_save_requirement,
     transaction_is,
 )
-from pennyflow.operators.skew import HOT_ROWS, hot_keys, lookup_join
+from pennyflow.operators.skew import HOT_ROWS, hot_keys
 from pennyflow.operators.timeline import Look, look_around
 from pennyflow.plans.cohorts import withdraw_then_save
 from pennyflow.timebox import as_date, day_start
@@ -137,7 +137,7 @@ def boost_training_set(
         Look("prior_redeems", "count", redeem_time, "before", -AN_HOUR),
         Look("other_redeems", "count", redeem_time, "after", -C.HOUR_MS),
     ]
-    hot = hot_keys(chosen, [USER], hot_rows)
+    hot = hot_keys(events.where(_offers() | _saves() | redeemed), [USER], hot_rows)
     seen = look_around(rows, [USER], "t", looks, _offers(), hot=hot)
     fields = offer_fields(F.col("offer"))
     offers = seen.withColumn("offer", parse_offer(F.col("context"))).select(
@@ -185,7 +185,8 @@ def boost_training_set(
     after = withdraw_then_save(events, behaviour).groupBy(USER).agg(
         F.sum("subsequent_save_count").alias("saves_after_withdraw")
     )
-    return lookup_join(result, after, [USER], "left").withColumn(
+    # no aggregation relies on this join's partitions, so adaptive execution may split a large user
+    return result.join(after, USER, "left").withColumn(
         "has_withdrawn_and_saved", F.coalesce(F.col("saves_after_withdraw") > 0, F.lit(False))
     )
 

@@ -1,4 +1,9 @@
-"""Cohort and conversion analysis. Times are epoch milliseconds, months yyyy-MM-dd text."""
+"""Cohort and conversion analysis. Times are epoch milliseconds, months yyyy-MM-dd text.
+
+Joins to a one-row-per-user table are plain where no aggregation by user follows: adaptive execution
+then splits a large user's partition by itself. Where one follows it may not, as the aggregation
+relies on the partitions, and ``lookup_join`` is used.
+"""
 
 from __future__ import annotations
 
@@ -61,7 +66,7 @@ def never_redeemed_boosts(events: DataFrame) -> DataFrame:
     offers = events.where(event_prefix(C.BOOST_CREATED)).select(
         USER, "event_type", "context", F.col("created_at").alias("boost_creation_time")
     )
-    return lookup_join(offers, redeemed, [USER], "left_anti")
+    return offers.join(redeemed, USER, "left_anti")
 
 
 # --- saving after a withdrawal -----------------------------------------------------------
@@ -114,7 +119,7 @@ def open_to_withdrawal(events: DataFrame) -> DataFrame:
     )
     opened = _times_of(events, C.ACCOUNT_CREATED, "account_open_time").distinct()
     days = days_between(F.col("first_withdraw_time"), F.col("account_open_time"))
-    return lookup_join(opened, first, [USER], "inner").withColumn("days_to_withdraw", days)
+    return opened.join(first, USER).withColumn("days_to_withdraw", days)
 
 
 def days_to_withdraw_summary(events: DataFrame) -> DataFrame:
@@ -237,7 +242,7 @@ def cohort_savings(events: DataFrame, behaviour: DataFrame) -> DataFrame:
         .groupBy(USER, "account_open_time")
         .agg(F.count(F.lit(1)).alias("times"))
     )
-    return lookup_join(opened, saved, [USER], "inner").select(
+    return opened.join(saved, USER).select(
         USER,
         "account_open_time",
         (F.col("n") * F.col("times")).alias("count_save_events"),
