@@ -48,14 +48,19 @@ ev AS (
 ub AS (
   SELECT user_id, 'acc-' || user_id AS account_id,
     CASE kind WHEN 'purchase' THEN 'SAVING_EVENT' ELSE 'WITHDRAWAL' END AS tx,
-    cast(round(value * 100) AS bigint) * 50000 AS amount, 'HUNDREDTH_CENT' AS unit, t
+    cast(round(value * 100) AS bigint) * 50000 AS amount, 'HUNDREDTH_CENT' AS unit, t, t + (event_id % 7) * 60000 AS c
   FROM raw WHERE kind IN ('purchase', 'error')),
 saves AS (SELECT user_id, amount, t FROM ub WHERE tx = 'SAVING_EVENT'),
 wds AS (SELECT user_id, amount, t FROM ub WHERE tx = 'WITHDRAWAL'),
-fl AS (
-  SELECT DISTINCT user_id, 'acc-' || user_id AS account_id, 'single_very_large_saving_event' AS rule_label,
-    {ms('2024-01-15')} AS created_at
-  FROM raw WHERE cast(user_id AS int) % 3 = 0),
+fl AS (SELECT * FROM (
+  SELECT user_id, account_id, c AS created_at,
+    CASE WHEN tx = 'SAVING_EVENT' AND amount > 1000000000 THEN 'single_very_large_saving_event'
+         WHEN tx = 'SAVING_EVENT' AND amount > 500000000 THEN 'saving_events_greater_than_benchmark_within_six_months'
+         WHEN tx = 'SAVING_EVENT' AND amount > 400000000 THEN 'latest_saving_event_greater_than_six_months_average'
+         WHEN tx = 'WITHDRAWAL' AND amount > 500000000 THEN 'withdrawals_within_two_days_of_saving_events_during_one_month'
+         WHEN tx = 'WITHDRAWAL' AND amount > 400000000 THEN 'withdrawals_within_one_day_of_saving_events_during_one_week'
+    END AS rule_label
+  FROM ub WHERE c < {ms('2024-01-15')}) WHERE rule_label IS NOT NULL),
 offers AS (
   SELECT user_id, t, c, context, json_extract_string(context, '$.boostId') AS boost_id,
     json_extract_string(context, '$.boostType') AS boost_type,
@@ -265,11 +270,13 @@ F_AS_OF = "2024-01-30"
 NEVER = -2208988800
 
 
-def pair_count(hours: int, since: int, strict: bool = False) -> str:
+def pair_count(hours: int, since: int, strict: bool = False, rule: str = "") -> str:
+    cut = f"LEFT JOIN cuts f ON f.user_id = w.user_id AND f.rule_label = '{rule}'" if rule else ""
+    after = f"AND w.t > coalesce(f.cut, {NEVER}) AND s.t > coalesce(f.cut, {NEVER})" if rule else ""
     return (
-        f"SELECT w.user_id, count(*) AS pairs FROM wds w JOIN saves s ON w.user_id = s.user_id "
-        f"AND s.amount * 0.95::double <= w.amount AND w.amount <= s.amount AND w.t - s.t <= {hours * HOUR} "
-        f"AND w.t >= {since} AND s.t >= {since} {'AND w.t >= s.t' if strict else ''} GROUP BY w.user_id"
+        f"SELECT w.user_id, count(*) AS pairs FROM wds w JOIN saves s ON w.user_id = s.user_id {cut} "
+        f"WHERE s.amount * 0.95::double <= w.amount AND w.amount <= s.amount AND w.t - s.t <= {hours * HOUR} "
+        f"AND w.t >= {since} AND s.t >= {since} {after} {'AND w.t >= s.t' if strict else ''} GROUP BY w.user_id"
     )
 
 
@@ -279,17 +286,30 @@ SQL["last_flag_times"] = q(
     "SELECT user_id, rule_label, max(created_at) AS last_flag_time FROM fl GROUP BY user_id, rule_label"
 )
 SIX_MONTHS = ms("2023-08-01")  # 182 days before
+CUTS = "cuts AS (SELECT user_id, rule_label, max(created_at) AS cut FROM fl GROUP BY user_id, rule_label)"
+
+
+def since_cut(label: str) -> str:
+    return f"u.t > coalesce((SELECT cut FROM cuts f WHERE f.user_id = u.user_id AND f.rule_label = '{label}'), {NEVER})"
+
+
+TWO_DAYS = "withdrawals_within_two_days_of_saving_events_during_one_month"
+ONE_DAY = "withdrawals_within_one_day_of_saving_events_during_one_week"
 FACTS = f"""
+{CUTS},
+marked AS (SELECT *, {since_cut('single_very_large_saving_event')} AS after1,
+  {since_cut('saving_events_greater_than_benchmark_within_six_months')} AS after2,
+  {since_cut('latest_saving_event_greater_than_six_months_average')} AS after3 FROM ub u),
 facts AS (
   SELECT u.user_id, max(account_id) AS account_id,
-    count(*) FILTER (tx = 'SAVING_EVENT' AND amount > 1000000000 AND u.t > coalesce(cut, {NEVER})) AS saves_above_100k,
-    count(*) FILTER (tx = 'SAVING_EVENT' AND amount > 500000000 AND u.t >= {SIX_MONTHS}) AS saves_above_50k_6m,
-    coalesce(arg_max(CASE WHEN tx = 'SAVING_EVENT' THEN amount END, CASE WHEN tx = 'SAVING_EVENT' THEN u.t::hugeint * 1000000000000 + amount END), 0) / 10000.0 AS latest_save,
-    coalesce(avg(amount) FILTER (tx = 'SAVING_EVENT' AND u.t >= {SIX_MONTHS}), 0) / 10000.0 * 10 AS average_save_6m_x10,
+    count(*) FILTER (tx = 'SAVING_EVENT' AND amount > 1000000000 AND after1) AS saves_above_100k,
+    count(*) FILTER (tx = 'SAVING_EVENT' AND amount > 500000000 AND after2 AND u.t >= {SIX_MONTHS}) AS saves_above_50k_6m,
+    coalesce(arg_max(amount, u.t::hugeint * 1000000000000 + amount) FILTER (tx = 'SAVING_EVENT' AND after3), 0) / 10000.0 AS latest_save,
+    coalesce(avg(amount) FILTER (tx = 'SAVING_EVENT' AND after3 AND u.t >= {SIX_MONTHS}), 0) / 10000.0 * 10 AS average_save_6m_x10,
     coalesce(any_value(p1.pairs), 0) AS within_48h_30d, coalesce(any_value(p2.pairs), 0) AS within_24h_7d
-  FROM ub u LEFT JOIN (SELECT user_id, max(created_at) AS cut FROM fl GROUP BY 1) f ON f.user_id = u.user_id
-    LEFT JOIN ({pair_count(48, ms('2023-12-31'))}) p1 ON p1.user_id = u.user_id
-    LEFT JOIN ({pair_count(24, ms('2024-01-23'))}) p2 ON p2.user_id = u.user_id
+  FROM marked u
+    LEFT JOIN ({pair_count(48, ms('2023-12-31'), rule=TWO_DAYS)}) p1 ON p1.user_id = u.user_id
+    LEFT JOIN ({pair_count(24, ms('2024-01-23'), rule=ONE_DAY)}) p2 ON p2.user_id = u.user_id
   GROUP BY u.user_id)"""
 SQL["fraud_facts"] = q(
     "SELECT user_id, account_id, saves_above_100k, saves_above_50k_6m, round(latest_save, 6) AS latest_save, "
@@ -527,3 +547,59 @@ SQL["score_input"] = q(
     RCOUNT,
     CANDIDATES,
 )
+
+# --- ingest --------------------------------------------------------------------------------
+NOW = ms("2024-01-31")
+SECRET = "shared-secret"
+
+
+def _pad(x: int) -> str:
+    return "'" + "".join(f"\\x{b ^ x:02X}" for b in SECRET.encode().ljust(64, b"\0")) + "'::blob"
+
+
+HMAC = f"sha256({_pad(0x5C)} || unhex(sha256({_pad(0x36)} || encode('{SECRET}_' || event_type))))"
+NOTES = f"""notes AS (SELECT user_id, event_type, t AS time_transaction_occurred, context,
+  CASE WHEN value >= 5 THEN {HMAC} ELSE 'forged' END AS hash, {HMAC} AS expected FROM (
+  SELECT user_id, t, value, CASE WHEN kind = 'purchase' THEN '{{"accountId":"acc-' || user_id || '"}}' ELSE '' END AS context,
+    CASE WHEN kind = 'signup' THEN 'USER_CREATED_ACCOUNT' WHEN kind = 'purchase' THEN 'SAVING_PAYMENT_SUCCESSFUL'
+         WHEN kind = 'error' THEN 'ADMIN_SETTLED_WITHDRAWAL' WHEN kind = 'view' AND k % 2 = 0 THEN 'USER_OPENED_APP'
+         WHEN kind = 'view' THEN 'USER_INITIATED_ADD_CASH' WHEN k % 4 = 0 THEN 'BOOST_CREATED'
+         WHEN k % 4 = 1 THEN 'BOOST_REDEEMED' WHEN k % 4 = 2 THEN 'BOOST_EXPIRED' ELSE 'MESSAGE_SENT' END AS event_type
+  FROM raw))"""
+SQL["normalise_sns"] = q("SELECT user_id, event_type, time_transaction_occurred, context FROM notes", NOTES)
+SQL["verify_signature"] = q(
+    "SELECT user_id, event_type, time_transaction_occurred, hash = expected AS genuine FROM notes", NOTES
+)
+STAMPED = (
+    f"SELECT user_id, event_type, t AS time_transaction_occurred, 'INTERNAL_SERVICES' AS source_of_event, "
+    f"{NOW} AS created_at, {NOW} AS updated_at, context FROM ev"
+)
+SQL["stamp_events"] = q(STAMPED)
+SQL["ingest_stream"] = q(STAMPED)
+PAYMENTS = """pay AS (SELECT user_id, kind, k, t, cast(round(value * 100) AS bigint) AS cents,
+  CASE WHEN kind NOT IN ('purchase', 'error') THEN 'no account' WHEN k % 10 = 8 THEN 'no amount'
+       WHEN k % 10 = 7 THEN 'unreadable amount' END AS reject_reason FROM raw)"""
+MOVED = f"""SELECT user_id, 'acc-' || user_id AS account_id,
+  CASE kind WHEN 'purchase' THEN 'SAVING_EVENT' ELSE 'WITHDRAWAL' END AS transaction_type,
+  CASE k % 3 WHEN 2 THEN cents // 100 * 10000 ELSE cents * 100 END AS amount, 'HUNDREDTH_CENT' AS unit, 'ZAR' AS currency,
+  t AS time_transaction_occurred, {NOW} AS created_at, {NOW} AS updated_at FROM pay WHERE reject_reason IS NULL"""
+SQL["to_behaviour"] = q(MOVED, PAYMENTS)
+SQL["behaviour_stream"] = q(MOVED, PAYMENTS)
+SQL["rejected_payments"] = q(
+    "SELECT reject_reason, count(*) AS rows FROM pay WHERE reject_reason IS NOT NULL GROUP BY reject_reason", PAYMENTS
+)
+EXPORT = f"""ex AS (SELECT *, CASE WHEN k % 11 IN (0, 1) THEN (100000 + user_id::bigint)::varchar ELSE user_id END AS uid,
+  CASE WHEN k % 4 = 0 THEN t // 1000 * 1000 ELSE t END AS at_ms FROM raw)"""
+SQL["flatten_export"] = q(
+    f"""SELECT uid AS user_id, at_ms AS time_transaction_occurred, 'AMPLITUDE' AS source_of_event, {NOW} AS created_at,
+  uid AS context_user_id, 'i-' || event_id AS insert_id, CASE WHEN k % 3 <> 0 THEN 'Cape Town' END AS city,
+  CASE WHEN k % 2 = 0 THEN 'true' ELSE 'false' END AS paying, k::varchar AS property_k,
+  CASE WHEN k % 2 = 0 THEN 'True' ELSE 'False' END AS property_even, kind AS property_kind, 'user_properties' AS last_property
+FROM ex WHERE k NOT IN (50, 51, 52)""",
+    EXPORT,
+)
+SQL["bad_export_lines"] = q("SELECT count(*) AS rows FROM raw WHERE k IN (50, 51, 52)")
+SQL["events_per_hour_stream"] = q(
+    f"SELECT t // {HOUR} * {HOUR} AS hour, event_type, count(*) AS rows FROM ev GROUP BY 1, 2"
+)
+SQL["deduplicated_stream"] = q("SELECT DISTINCT user_id, event_type, t AS time_transaction_occurred, context FROM ev")

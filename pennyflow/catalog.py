@@ -12,9 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pennyflow import constants as C
-from pennyflow.operators import columns, filters
+from pennyflow.functions.signature import signature_holds
+from pennyflow.operators import columns, filters, ingest
 from pennyflow.plans import boosts, cohorts, fraud, funnel, metrics
 from pennyflow.sources import mapped
+from pennyflow.streaming import runs
 from pennyflow.timebox import Window, day_start
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -237,3 +239,73 @@ on_both(
         ev, ub, recent_openers(ev), FRAUD_AS_OF, 10, "GAME::TAP_SCREEN"
     ),
 )
+
+# --- ingest ------------------------------------------------------------------------------
+INGEST_NOW = day_start("2024-01-31")
+SECRET = "shared-secret"
+
+
+def _notes(spark: SparkSession, folder: str) -> DataFrame:
+    return mapped.notifications(spark, folder, SECRET)
+
+
+def _verified(spark: SparkSession, folder: str) -> DataFrame:
+    genuine = signature_holds(F.col("hash"), F.col("eventType"), SECRET)
+    return _notes(spark, folder).select(
+        F.col("userId").alias("user_id"),
+        F.col("eventType").alias("event_type"),
+        F.col("timestamp").alias(_T),
+        genuine.alias("genuine"),
+    )
+
+
+def _flattened(spark: SparkSession, folder: str) -> DataFrame:
+    rows = ingest.flatten_export(ingest.parse_export(mapped.export_lines(spark, folder)), INGEST_NOW)
+    context = lambda path: F.get_json_object("context", f"$.{path}")
+    return rows.select(
+        "user_id",
+        _T,
+        "source_of_event",
+        "created_at",
+        context("user_id").alias("context_user_id"),
+        context("insert_id").alias("insert_id"),
+        context("city").alias("city"),
+        context("paying").alias("paying"),
+        context("event_properties[0].value").alias("property_k"),
+        context("event_properties[1].value").alias("property_even"),
+        context("event_properties[2].value").alias("property_kind"),
+        context("event_properties[3].property_type").alias("last_property"),
+    )
+
+
+register("normalise_sns", lambda spark, d: ingest.normalise_notification(_notes(spark, d)))
+register("verify_signature", _verified)
+on_events(
+    "stamp_events",
+    lambda ev: ingest.stamp_events(
+        ingest.decode_messages(ingest.encode_messages(ev)), C.SERVICE_SOURCE, INGEST_NOW
+    ),
+)
+register(
+    "to_behaviour", lambda spark, d: ingest.to_behaviour(mapped.payment_events(spark, d), INGEST_NOW)
+)
+register(
+    "rejected_payments",
+    lambda spark, d: ingest.rejected_payments(mapped.payment_events(spark, d))
+    .groupBy("reject_reason")
+    .agg(F.count(F.lit(1)).alias("rows")),
+)
+register("flatten_export", _flattened)
+register(
+    "bad_export_lines",
+    lambda spark, d: ingest.bad_export_lines(ingest.parse_export(mapped.export_lines(spark, d))).agg(
+        F.count(F.lit(1)).alias("rows")
+    ),
+)
+
+# --- streams -----------------------------------------------------------------------------
+register("ingest_stream", lambda spark, d: runs.run_ingest(spark, d, INGEST_NOW))
+register("behaviour_stream", lambda spark, d: runs.run_behaviour(spark, d, INGEST_NOW))
+register("fraud_stream", lambda spark, d: runs.run_fraud(spark, d, ("2024-01-11", "2024-01-21")))
+register("events_per_hour_stream", runs.run_hourly_counts)
+register("deduplicated_stream", runs.run_deduplicated)

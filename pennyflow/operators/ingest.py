@@ -32,7 +32,9 @@ def normalise_notification(df: DataFrame) -> DataFrame:
 def encode_messages(df: DataFrame) -> DataFrame:
     """Rows to queued messages: the base64 text of a one-element JSON list."""
     row = F.struct("user_id", "event_type", "time_transaction_occurred", "context")
-    return df.select(F.base64(F.to_json(F.array(row)).cast("binary")).alias("value"))
+    text = F.base64(F.to_json(F.array(row)).cast("binary"))
+    # the encoder breaks long texts into lines
+    return df.select(F.translate(text, "\r\n", "").alias("value"))
 
 
 def decode_messages(df: DataFrame, column: str = "value") -> DataFrame:
@@ -131,26 +133,25 @@ def parse_export(lines: DataFrame, column: str = "value") -> DataFrame:
     """Text lines to export fields; an unreadable line keeps its text in the bad-record column."""
     options = {"columnNameOfCorruptRecord": S.BAD_RECORD, "mode": "PERMISSIVE"}
     blank = F.trim(F.col(column)).isin("", "null")
-    parsed = lines.withColumn("line", F.from_json(column, S.EXPORT_LINE, options))
+    maps = T.StructType(
+        [T.StructField(n, T.MapType(T.StringType(), T.VariantType())) for n in S.EXPORT_PROPERTY_MAPS]
+    )
+    # the property maps are read as variants, which tell a truth value from a text
+    parsed = lines.withColumns(
+        {"line": F.from_json(column, S.EXPORT_LINE, options), "_maps": F.from_json(column, maps)}
+    )
     return parsed.select(
-        *[F.col("line").getField(n).alias(n) for n in S.EXPORT_FIELDS + list(S.EXPORT_PROPERTY_MAPS)],
+        *[F.col("line").getField(n).alias(n) for n in S.EXPORT_FIELDS],
         F.coalesce(
             F.col("line").getField(S.BAD_RECORD),
             F.when(blank | F.col("line").isNull(), F.col(column)),
         ).alias(S.BAD_RECORD),
-        F.col(column).alias("_text"),
+        "_maps",
     )
 
 
 def collect_properties() -> Column:
-    """All entries of the five property maps as one list; truth values become 'True' / 'False'.
-
-    The values are read from the line as variants, which tells the truth value from the text.
-    """
-    maps = T.StructType(
-        [T.StructField(n, T.MapType(T.StringType(), T.VariantType())) for n in S.EXPORT_PROPERTY_MAPS]
-    )
-    typed = F.from_json("_text", maps)
+    """All entries of the five property maps as one list; truth values become 'True' / 'False'."""
 
     def entries(name: str) -> Column:
         def item(e: Column) -> Column:
@@ -163,7 +164,7 @@ def collect_properties() -> Column:
                 F.when(is_bool, text).otherwise(e["value"]).alias("value"),
             )
 
-        return F.transform(F.map_entries(typed[name]), item)
+        return F.transform(F.map_entries(F.col("_maps").getField(name)), item)
 
     lists = [entries(n) for n in S.EXPORT_PROPERTY_MAPS]
     return F.flatten(F.array_compact(F.array(*lists)))

@@ -86,6 +86,5 @@ _EXPORT_KINDS = {
 BAD_RECORD = "_bad_record"
 EXPORT_LINE = T.StructType(
     [T.StructField(n, _EXPORT_KINDS.get(n, _S)) for n in EXPORT_FIELDS]
-    + [T.StructField(n, T.MapType(_S, _S)) for n in EXPORT_PROPERTY_MAPS]
     + [T.StructField(BAD_RECORD, _S)]
 )

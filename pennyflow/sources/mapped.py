@@ -10,12 +10,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pennyflow import constants as C
+from pennyflow.functions.signature import hmac_sha256
+from pennyflow.schemas import EXPORT_FIELDS
 from pennyflow.timebox import day_start
 
 SEEDED_FLAG_TIME = day_start("2024-01-15")
 
 
-def _raw(spark: SparkSession, folder: str) -> DataFrame:
+def _raw(spark: SparkSession, folder: str, *more: str) -> DataFrame:
     k = F.get_json_object("props", "$.k").cast("int")
     # a time without zone is read as UTC; the cast also floors microseconds to milliseconds
     ms = F.unix_millis(F.col("ts").cast("timestamp"))
@@ -26,6 +28,7 @@ def _raw(spark: SparkSession, folder: str) -> DataFrame:
         "value",
         k.alias("k"),
         ms.alias("ms"),
+        *more,
     )
 
 
@@ -102,14 +105,101 @@ def behaviour(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def flags(spark: SparkSession, folder: str) -> DataFrame:
-    """One earlier flag for every third user, so that cut-off times have something to cut."""
-    users = _raw(spark, folder).select("user_id").distinct()
-    return users.where(F.col("user_id").cast("int") % 3 == 0).select(
+    """Flags given before ``SEEDED_FLAG_TIME``, so that every rule has users with a cut-off.
+
+    Any payment above a limit gave its user a flag at the payment's processing time.
+    """
+    saving, amount = F.col("transaction_type") == C.SAVING, F.col("amount")
+    label = (
+        F.when(saving & (amount > 1_000_000_000), C.RULE_VERY_LARGE)
+        .when(saving & (amount > 500_000_000), C.RULE_SEVERAL_LARGE)
+        .when(saving & (amount > 400_000_000), C.RULE_ABOVE_AVERAGE)
+        .when(~saving & (amount > 500_000_000), C.RULE_TWO_DAYS)
+        .when(~saving & (amount > 400_000_000), C.RULE_ONE_DAY)
+    )
+    return (
+        behaviour(spark, folder)
+        .where(F.col("created_at") < SEEDED_FLAG_TIME)
+        .withColumn("rule_label", label)
+        .where(F.col("rule_label").isNotNull())
+        .select(
+            "user_id",
+            "account_id",
+            "rule_label",
+            F.lit("earlier payment").alias("reason"),
+            F.lit(C.ACCURACY_PENDING).alias("accuracy"),
+            "created_at",
+            "updated_at",
+        )
+    )
+
+
+# --- raw inputs, as the services and the app send them -----------------------------------
+
+
+def payment_events(spark: SparkSession, folder: str) -> DataFrame:
+    """Events as they reach the behaviour table's loader: amounts in three units, some unreadable
+    and some without an amount."""
+    k, cents = F.col("k"), F.round(F.col("value") * 100).cast("bigint")
+    packed = (
+        F.when(k % 10 == 7, F.lit("abc::WHOLE_CENT::ZAR"))
+        .when(k % 3 == 0, F.concat(cents.cast("string"), F.lit("::WHOLE_CENT::ZAR")))
+        .when(k % 3 == 1, F.concat((cents * 100).cast("string"), F.lit("::HUNDREDTH_CENT::ZAR")))
+        .otherwise(F.concat(F.floor(cents / 100).cast("string"), F.lit("::WHOLE_CURRENCY::ZAR")))
+    )
+    amount = F.when(k % 10 == 8, "").otherwise(F.concat(F.lit(',"savedAmount":"'), packed, F.lit('"')))
+    context = F.concat(F.lit('{"accountId":"acc-'), "user_id", F.lit('"'), amount, F.lit("}"))
+    pays = F.col("event_type").isin("purchase", "error")
+    return _raw(spark, folder).select(
         "user_id",
-        F.concat(F.lit("acc-"), "user_id").alias("account_id"),
-        F.lit(C.RULE_VERY_LARGE).alias("rule_label"),
-        F.lit("seeded").alias("reason"),
-        F.lit(C.ACCURACY_PENDING).alias("accuracy"),
-        F.lit(SEEDED_FLAG_TIME).alias("created_at"),
-        F.lit(SEEDED_FLAG_TIME).alias("updated_at"),
+        F.when(F.col("event_type") == "error", C.WITHDRAWAL_CONFIRMED)
+        .otherwise(_event_type())
+        .alias("event_type"),
+        F.col("ms").alias("time_transaction_occurred"),
+        F.when(pays, context).otherwise("").alias("context"),
+    )
+
+
+def notifications(spark: SparkSession, folder: str, secret: str) -> DataFrame:
+    """Service notifications; those of small values carry a forged signature."""
+    event_type = _event_type()
+    signed = hmac_sha256(F.concat(F.lit(f"{secret}_"), event_type), secret)
+    context = F.create_map(F.lit("accountId"), F.concat(F.lit("acc-"), "user_id"))
+    return _raw(spark, folder).select(
+        event_type.alias("eventType"),
+        F.col("user_id").alias("userId"),
+        F.col("ms").alias("timestamp"),
+        F.when(F.col("event_type") == "purchase", context).alias("context"),
+        F.when(F.col("value") >= 5, signed).otherwise(F.lit("forged")).alias("hash"),
+    )
+
+
+def export_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of the app export, with users known only by device, times without a fraction, lines
+    that break off and blank ones."""
+    k = F.col("k")
+    time = F.col("ts").cast("timestamp")
+    text = F.when(k % 4 == 0, F.date_format(time, "yyyy-MM-dd HH:mm:ss")).otherwise(
+        F.date_format(time, "yyyy-MM-dd HH:mm:ss.SSSSSS")
     )
+    given = {
+        "client_event_time": text,
+        "$insert_id": F.concat(F.lit("i-"), F.col("event_id").cast("string")),
+        "app": F.lit(240_000),
+        "user_id": F.when(k % 11 == 0, "null").when(k % 11 == 1, F.lit(None)).otherwise(F.col("user_id")),
+        "city": F.when(k % 3 == 0, "null").otherwise("Cape Town"),
+        "event_type": F.col("mapped_type"),
+        "paying": F.when(k % 2 == 0, F.lit(True)),
+        "amplitude_id": F.lit(100_000) + F.col("user_id").cast("long"),
+        "is_attribution_event": F.lit(False),
+        "location_lat": F.col("value"),
+    }
+    fields = [given.get(f, F.lit(None).cast("string")).alias(f) for f in EXPORT_FIELDS]
+    properties = F.struct(
+        k.alias("k"), (k % 2 == 0).alias("even"), F.col("event_type").alias("kind")
+    ).alias("event_properties")
+    extra = F.struct(F.col("value").alias("value")).alias("user_properties")
+    line = F.to_json(F.struct(*fields, properties, extra), {"ignoreNullFields": "false"})
+    broken = F.when(k == 50, F.substring(line, 1, 40)).when(k == 51, "null").when(k == 52, "")
+    raw = _raw(spark, folder, "ts").withColumn("mapped_type", _event_type())
+    return raw.select(F.coalesce(broken, line).alias("value"))
