@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pennyflow import constants as C
 from pennyflow.functions.signature import signature_holds
 from pennyflow.operators import columns, filters, ingest
-from pennyflow.plans import boosts, cohorts, fraud, funnel, metrics
+from pennyflow.plans import boosts, cohorts, fraud, funnel, metrics, ml
 from pennyflow.sources import mapped
 from pennyflow.streaming import runs
 from pennyflow.timebox import Window, day_start
@@ -309,3 +309,48 @@ register("behaviour_stream", lambda spark, d: runs.run_behaviour(spark, d, INGES
 register("fraud_stream", lambda spark, d: runs.run_fraud(spark, d, ("2024-01-11", "2024-01-21")))
 register("events_per_hour_stream", runs.run_hourly_counts)
 register("deduplicated_stream", runs.run_deduplicated)
+
+# --- models ------------------------------------------------------------------------------
+
+
+def _training_rows(spark: SparkSession, folder: str) -> DataFrame:
+    training = boosts.boost_training_set(mapped.event_log(spark, folder))
+    return ml.materialise(spark, ml.model_input(training))
+
+
+def _linear(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _training_rows(spark, folder)
+    train, test = ml.split(rows)
+    scores = ml.evaluate(ml.train_linear(train).transform(test))
+    return ml.training_result(scores, rows, FRAUD_AS_OF)
+
+
+def _boosted(spark: SparkSession, folder: str) -> DataFrame:
+    train, test = ml.split(_training_rows(spark, folder))
+    return ml.evaluate(ml.train_boosted_trees(train).transform(test))
+
+
+def _importance(spark: SparkSession, folder: str) -> DataFrame:
+    train, _ = ml.split(_training_rows(spark, folder))
+    return ml.feature_importance(spark, ml.train_boosted_trees(train))
+
+
+def _scores(spark: SparkSession, folder: str) -> DataFrame:
+    train, _ = ml.split(_training_rows(spark, folder))
+    events, payments = mapped.event_log(spark, folder), mapped.behaviour(spark, folder)
+    return ml.score_users(
+        events,
+        payments,
+        recent_openers(events),
+        ml.train_linear(train),
+        FRAUD_AS_OF,
+        10,
+        "GAME::TAP_SCREEN",
+    )
+
+
+register("train_linear", _linear)
+register("train_gbt", _boosted)
+register("model_portfolio", lambda spark, d: ml.compare_models(*ml.split(_training_rows(spark, d))))
+register("feature_importance", _importance)
+register("score_users", _scores)
