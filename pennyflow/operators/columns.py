@@ -20,8 +20,8 @@ def distinct_and_null_count(df: DataFrame, column: str) -> DataFrame:
 def describe_whole_numbers(df: DataFrame, column: str) -> DataFrame:
     """count, mean, std, min, quartiles and max, exact. Values are counted first, so that each
     distinct value reaches the final step once."""
-    v, n = F.col(column), F.col("n")
-    counts = df.where(v.isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    v, n = F.col(column), F.col("_rows")
+    counts = df.where(v.isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_rows"))
     rows, total, squares = F.sum(n), F.sum(v * n), F.sum((v * v).cast("double") * n)
     spread = (squares - total.cast("double") * total / rows) / F.nullif(rows - 1, F.lit(0))
     quantile = lambda p: F.percentile(v, F.lit(p), n)
