@@ -259,22 +259,28 @@ def _verified(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+FLATTENED = (
+    "user_id string, insert_id string, city string, paying string, "
+    "event_properties array<struct<property_type: string, value: string>>"
+)
+
+
 def _flattened(spark: SparkSession, folder: str) -> DataFrame:
     rows = ingest.flatten_export(ingest.parse_export(mapped.export_lines(spark, folder)), INGEST_NOW)
-    context = lambda path: F.get_json_object("context", f"$.{path}")
-    return rows.select(
+    properties = F.col("ctx.event_properties")
+    return rows.withColumn("ctx", F.from_json("context", FLATTENED)).select(
         "user_id",
         _T,
         "source_of_event",
         "created_at",
-        context("user_id").alias("context_user_id"),
-        context("insert_id").alias("insert_id"),
-        context("city").alias("city"),
-        context("paying").alias("paying"),
-        context("event_properties[0].value").alias("property_k"),
-        context("event_properties[1].value").alias("property_even"),
-        context("event_properties[2].value").alias("property_kind"),
-        context("event_properties[3].property_type").alias("last_property"),
+        F.col("ctx.user_id").alias("context_user_id"),
+        "ctx.insert_id",
+        "ctx.city",
+        "ctx.paying",
+        properties[0]["value"].alias("property_k"),
+        properties[1]["value"].alias("property_even"),
+        properties[2]["value"].alias("property_kind"),
+        properties[3]["property_type"].alias("last_property"),
     )
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from pennyflow import constants as C
 from pennyflow import schemas as S
 from pennyflow.functions.money import parse_saved_amount, transaction_type
+from pennyflow.functions.plans import once
 from pennyflow.functions.text import default_false, fallback_user_id, null_token
 from pennyflow.functions.times import parse_client_time
 
@@ -85,17 +86,21 @@ def reject_reason() -> Column:
 
 def judge_payments(events: DataFrame) -> DataFrame:
     """Events with parsed payment fields and a ``reject_reason`` column."""
-    parsed = events.withColumn("_ctx", F.from_json("context", S.PAYMENT_CONTEXT))
+    context = F.from_json("context", S.PAYMENT_CONTEXT)
     return (
-        parsed.withColumns(
-            {
-                "account_id": F.col("_ctx.accountId"),
-                "payment": parse_saved_amount(F.col("_ctx.savedAmount")),
-                "transaction_type": transaction_type(F.col("event_type")),
-            }
+        events.withColumn("_ctx", once(context))
+        .withColumn(
+            "_pay",
+            once(
+                F.struct(
+                    F.col("_ctx.accountId").alias("account_id"),
+                    parse_saved_amount(F.col("_ctx.savedAmount")).alias("payment"),
+                    transaction_type(F.col("event_type")).alias("transaction_type"),
+                )
+            ),
         )
+        .select(*events.columns, "_pay.*")
         .withColumn("reject_reason", reject_reason())
-        .drop("_ctx")
     )
 
 
@@ -132,21 +137,20 @@ def rejected_payments(events: DataFrame) -> DataFrame:
 def parse_export(lines: DataFrame, column: str = "value") -> DataFrame:
     """Text lines to export fields; an unreadable line keeps its text in the bad-record column."""
     options = {"columnNameOfCorruptRecord": S.BAD_RECORD, "mode": "PERMISSIVE"}
-    blank = F.trim(F.col(column)).isin("", "null")
     maps = T.StructType(
         [T.StructField(n, T.MapType(T.StringType(), T.VariantType())) for n in S.EXPORT_PROPERTY_MAPS]
     )
     # the property maps are read as variants, which tell a truth value from a text
-    parsed = lines.withColumns(
-        {"line": F.from_json(column, S.EXPORT_LINE, options), "_maps": F.from_json(column, maps)}
-    )
+    both = F.struct(F.from_json(column, S.EXPORT_LINE, options).alias("line"), F.from_json(column, maps).alias("maps"))
+    parsed = lines.select(F.col(column).alias("_text"), once(both).alias("p"))
+    blank = F.trim("_text").isin("", "null")
+    line = F.col("p.line")
     return parsed.select(
-        *[F.col("line").getField(n).alias(n) for n in S.EXPORT_FIELDS],
+        *[line.getField(n).alias(n) for n in S.EXPORT_FIELDS],
         F.coalesce(
-            F.col("line").getField(S.BAD_RECORD),
-            F.when(blank | F.col("line").isNull(), F.col(column)),
+            line.getField(S.BAD_RECORD), F.when(blank | line.isNull(), F.col("_text"))
         ).alias(S.BAD_RECORD),
-        "_maps",
+        F.col("p.maps").alias("_maps"),
     )
 
 

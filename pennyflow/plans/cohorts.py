@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pennyflow import constants as C
@@ -142,12 +142,11 @@ def message_app_open(events: DataFrame, as_of: date | str) -> DataFrame:
         F.when(~sent, F.col(T)).alias("open_time"),
     )
     opened = F.col("open_time")
-    # the same hour may hold several messages; one row for it is enough
-    rows = rows.where(opened.isNotNull()).unionByName(rows.where(opened.isNull()).distinct())
     seen = look_around(
         rows, [USER], "t", [Look("earliest_app_open", "min", opened, "after")], opened.isNull()
     )
-    return _led_on(seen, "t", "earliest_app_open", as_of, 48).select(
+    hours = seen.select(USER, "t", "earliest_app_open").distinct()
+    return _led_on(hours, "t", "earliest_app_open", as_of, 48).select(
         USER, F.col("t").alias("message_hour"), "earliest_app_open"
     )
 
@@ -197,13 +196,21 @@ def _monthly_rate(df: DataFrame, t: str, following: str, names: tuple[str, str,
 
 
 def _every_month(df: DataFrame, month: str, fill: dict[str, int]) -> DataFrame:
-    """Add the months without rows between the first and the last month."""
-    ends = df.agg(F.min(month).alias("a"), F.max(month).alias("b")).where(F.col("a").isNotNull())
-    months = F.sequence(F.to_date("a"), F.to_date("b"), F.expr("interval 1 month"))
-    calendar = ends.select(F.explode(months).alias("d")).select(
-        F.date_format("d", "yyyy-MM-dd").alias(month)
+    """Add the months without rows between the first and the last month.
+
+    ``df`` has one row per month, so one task can put them in order; each month is followed by the
+    empty ones up to the next.
+    """
+    this = F.to_date(month)
+    following = F.lead(this).over(Window.orderBy(month))
+    last = F.coalesce(F.add_months(following, -1), this)
+    months = F.sequence(this, last, F.expr("interval 1 month"))
+    others = [c for c in df.columns if c != month]
+    filled = df.withColumn("_months", months).select("*", F.posexplode("_months").alias("_i", "_m"))
+    return filled.select(
+        F.date_format("_m", "yyyy-MM-dd").alias(month),
+        *[F.when(F.col("_i") == 0, F.col(c)).otherwise(fill.get(c)).alias(c) for c in others],
     )
-    return calendar.join(df, month, "left").fillna(fill)
 
 
 def boost_monthly_stats(events: DataFrame, as_of: date | str) -> DataFrame:

@@ -88,12 +88,18 @@ def _assembler() -> VectorAssembler:
 # --- models ------------------------------------------------------------------------------
 
 
-def train_linear(train: DataFrame, costs: Sequence[float] = (1.0, 10.0, 100.0), folds: int = 2, seed: int = 7) -> PipelineModel:
+def train_linear(
+    train: DataFrame,
+    costs: Sequence[float] = (1.0, 10.0, 100.0),
+    folds: int = 2,
+    max_iter: int = 20,
+    seed: int = 7,
+) -> PipelineModel:
     """Linear support vector machine with balanced classes; the penalty is chosen on ``folds`` folds
     of the training rows only."""
     prepared = weighted(train)
     n = train.count()
-    svc = LinearSVC(labelCol=LABEL, weightCol="weight", maxIter=30, tol=1e-4)
+    svc = LinearSVC(labelCol=LABEL, weightCol="weight", maxIter=max_iter, tol=1e-4)
     grid = ParamGridBuilder().addGrid(svc.regParam, [1.0 / (c * max(n, 1)) for c in costs]).build()
     search = CrossValidator(
         estimator=Pipeline(stages=[_assembler(), svc]),

@@ -26,7 +26,7 @@ def training(spark):
 
 @pytest.fixture(scope="module")
 def linear(training):
-    return ml.train_linear(ml.split(training)[0])
+    return ml.train_linear(ml.split(training)[0], costs=(1.0, 10.0), max_iter=8)
 
 
 def test_split_does_not_depend_on_partitions(training):
