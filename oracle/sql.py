@@ -603,3 +603,16 @@ SQL["events_per_hour_stream"] = q(
     f"SELECT t // {HOUR} * {HOUR} AS hour, event_type, count(*) AS rows FROM ev GROUP BY 1, 2"
 )
 SQL["deduplicated_stream"] = q("SELECT DISTINCT user_id, event_type, t AS time_transaction_occurred, context FROM ev")
+SQL["last_flag_stream"] = SQL["last_flag_times"]
+SQL["group_size"] = q(
+    "SELECT user_id, event_type, c AS created_at, count(*) OVER (PARTITION BY user_id) AS group_size FROM ev"
+)
+for _name, _order in (("first_per_group", "ASC"), ("last_per_group", "DESC")):
+    SQL[_name] = q(
+        "SELECT user_id, "
+        + ", ".join(
+            f"(list({c} ORDER BY c {_order}, {c} {_order}) FILTER ({c} IS NOT NULL))[1] AS {name}"
+            for c, name in (("event_type", "event_type"), ("c", "created_at"), ("ctx", "context"))
+        )
+        + " FROM (SELECT *, nullif(context, '') AS ctx FROM ev) GROUP BY user_id"
+    )

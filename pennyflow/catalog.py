@@ -198,6 +198,20 @@ on_payments("recency_histogram", lambda ub: cohorts.recency_histogram(ub, COHORT
 on_events("value_counts", lambda ev: columns.value_counts(ev, "event_type"))
 on_events("distinct_and_null_count", lambda ev: columns.distinct_and_null_count(ev, "user_id"))
 
+on_events(
+    "group_size",
+    lambda ev: columns.with_group_size(ev.select("user_id", "event_type", "created_at"), ["user_id"]),
+)
+for _name, _edge in (("first_per_group", columns.first_per_group), ("last_per_group", columns.last_per_group)):
+    on_events(
+        _name,
+        lambda ev, edge=_edge: edge(
+            ev.select("user_id", "event_type", "created_at", F.nullif("context", F.lit("")).alias("context")),
+            ["user_id"],
+            "created_at",
+        ),
+    )
+
 # --- offers ------------------------------------------------------------------------------
 _T = "time_transaction_occurred"
 _RENAMED = lambda df: df.withColumnRenamed(_T, "t")
@@ -313,6 +327,7 @@ register(
 register("ingest_stream", lambda spark, d: runs.run_ingest(spark, d, INGEST_NOW))
 register("behaviour_stream", lambda spark, d: runs.run_behaviour(spark, d, INGEST_NOW))
 register("fraud_stream", lambda spark, d: runs.run_fraud(spark, d, ("2024-01-11", "2024-01-21")))
+register("last_flag_stream", runs.run_last_flags)
 register("events_per_hour_stream", runs.run_hourly_counts)
 register("deduplicated_stream", runs.run_deduplicated)
 

@@ -1,8 +1,12 @@
 """Small summaries of any column."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pennyflow.operators.skew import HOT_ROWS, lookup_join
+
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     """Rows per value, most frequent first."""
@@ -10,6 +14,32 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
     return counts.agg(F.count(F.lit(1)).alias("rows")).orderBy(F.desc("rows"), column)
 
 
+def with_group_size(
+    df: DataFrame, key: Sequence[str], name: str = "group_size", hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Each row with the number of rows of its group. A window over the group would hold a whole
+    group in one task; counting first and looking the counts up does not."""
+    sizes = df.groupBy(*key).agg(F.count(F.lit(1)).alias(name))
+    return lookup_join(df, sizes, key, hot_rows=hot_rows)
+
+
+def first_per_group(df: DataFrame, key: Sequence[str], order: str) -> DataFrame:
+    """One row per group with each column's first value that is not null, in ``order``."""
+    return _edge(df, key, order, F.min_by)
+
+
+def last_per_group(df: DataFrame, key: Sequence[str], order: str) -> DataFrame:
+    """One row per group with each column's last value that is not null, in ``order``."""
+    return _edge(df, key, order, F.max_by)
+
+
+def _edge(df: DataFrame, key: Sequence[str], order: str, pick) -> DataFrame:
+    # equal places in the order are decided by the value
+    place = lambda c: F.when(F.col(c).isNotNull(), F.struct(order, F.col(c).alias("_v")))
+    others = [c for c in df.columns if c not in key]
+    return df.groupBy(*key).agg(*[pick(c, place(c)).alias(c) for c in others])
+
+
 def distinct_and_null_count(df: DataFrame, column: str) -> DataFrame:
     return df.agg(
         F.count_distinct(column).alias("distinct_values"),

@@ -117,6 +117,24 @@ def fraud_stream(payments: DataFrame, history: str, flags: str, checkpoint: str)
     return _start(payments, checkpoint, write)
 
 
+def last_flag_stream(flags: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+    """Keep the last flag time per user and rule as state; each batch writes what it changed, and a
+    reader takes the largest time. Times only grow, so a repeated batch does no harm."""
+    last = flags.groupBy("user_id", "rule_label").agg(F.max("created_at").alias("last_flag_time"))
+    return (
+        last.writeStream.outputMode("update")
+        .foreachBatch(lambda batch, number: _put(batch, out, number))
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def newest_flag_times(spark: SparkSession, out: str) -> DataFrame:
+    rows = spark.read.schema("user_id string, rule_label string, last_flag_time long").parquet(out)
+    return rows.groupBy("user_id", "rule_label").agg(F.max("last_flag_time").alias("last_flag_time"))
+
+
 # --- counts and duplicates ---------------------------------------------------------------
 
 

@@ -65,6 +65,14 @@ def run_fraud(spark: SparkSession, folder: str, days: tuple[str, ...]) -> DataFr
     return _columns_of(S.FLAGS, spark.read.schema(S.FLAGS).parquet(f"{work}/flags"))
 
 
+def run_last_flags(spark: SparkSession, folder: str) -> DataFrame:
+    work = shared_folder(spark, "last-flags")
+    mapped.flags(spark, folder).write.option("maxRecordsPerFile", ROWS_PER_FILE // 20).parquet(f"{work}/flags")
+    flags = spark.readStream.schema(S.FLAGS).option("maxFilesPerTrigger", 2).parquet(f"{work}/flags")
+    jobs.last_flag_stream(flags, f"{work}/last", f"{work}/checkpoint").awaitTermination()
+    return jobs.newest_flag_times(spark, f"{work}/last")
+
+
 def run_hourly_counts(spark: SparkSession, folder: str) -> DataFrame:
     work = shared_folder(spark, "hourly")
     events = _event_files(spark, mapped.event_log(spark, folder), work)

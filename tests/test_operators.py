@@ -164,3 +164,16 @@ def test_column_summaries(spark):
     assert abs(d["mean"] - 3.75) < 1e-9 and abs(d["std"] - 4.193248541803041) < 1e-9
     one = columns.describe_whole_numbers(df.limit(1), "n").first()
     assert one["std"] is None and one["mean"] == 1.0
+
+
+def test_first_and_last_skip_nulls(spark):
+    df = spark.createDataFrame([("g", 1, None, 5), ("g", 2, "b", None), ("g", 3, None, 7)], "k string, t int, a string, n int")
+    assert tuple(columns.first_per_group(df, ["k"], "t").first()) == ("g", 1, "b", 5)
+    assert tuple(columns.last_per_group(df, ["k"], "t").first()) == ("g", 3, "b", 7)
+
+
+@pytest.mark.parametrize("hot_rows", [NEVER_HOT, ALL_HOT])
+def test_group_size(spark, hot_rows):
+    df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "k string, t int")
+    got = sorted(tuple(r) for r in columns.with_group_size(df, ["k"], hot_rows=hot_rows).collect())
+    assert got == [("a", 1, 2), ("a", 2, 2), ("b", 3, 1)]
