@@ -245,10 +245,10 @@ UNION ALL SELECT 3, 'How many saved yesterday', n3, n3::varchar FROM n
 UNION ALL SELECT 4, 'Number users opened account yesterday', n4, n4::varchar FROM n
 UNION ALL SELECT 5, 'Number of those who saved', n5, n5::varchar FROM n
 UNION ALL SELECT 6, 'Number opened account in last week', n6, n6::varchar FROM n
-UNION ALL SELECT 7, '% who completed save', round_even(100.0 * n7 / n6, 2), printf('%.2f', round_even(100.0 * n7 / n6, 2)) FROM n
+UNION ALL SELECT 7, '% who completed save', round_even(coalesce(100.0 * n7 / nullif(n6, 0), 0), 2), printf('%.2f', round_even(coalesce(100.0 * n7 / nullif(n6, 0), 0), 2)) FROM n
 UNION ALL SELECT 8, 'Number users sent msg yesterday', n8, n8::varchar FROM n
 UNION ALL SELECT 9, 'Number of those who opened app', n9, n9::varchar FROM n
-UNION ALL SELECT 10, '% of messages led to open', round_even(100.0 * n9 / n8, 0), round_even(100.0 * n9 / n8, 0)::bigint || '%' FROM n
+UNION ALL SELECT 10, '% of messages led to open', round_even(coalesce(100.0 * n9 / nullif(n8, 0), 0), 0), round_even(coalesce(100.0 * n9 / nullif(n8, 0), 0), 0)::bigint || '%' FROM n
 UNION ALL SELECT 11, '% whose boosts expired', p, printf('%.6f', p) FROM x)
 """,
     *EXPIRED,

@@ -17,7 +17,7 @@ from pennyflow.operators import columns, filters, ingest
 from pennyflow.plans import boosts, cohorts, fraud, funnel, metrics, ml
 from pennyflow.sources import mapped
 from pennyflow.streaming import runs
-from pennyflow.timebox import Window, day_start
+from pennyflow.timebox import Window, day_start, days_before
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -222,8 +222,8 @@ _OFFERS_AND_SAVES = lambda ev: ev.where(
 
 def recent_openers(events: DataFrame) -> DataFrame:
     """The candidates for an offer: users that opened the app in the last two days."""
-    since = filters.since_days(FRAUD_AS_OF, 2)
-    return events.where(filters.event_is(C.APP_OPENED) & since).select("user_id").distinct()
+    recent = filters.since(events, day_start(days_before(FRAUD_AS_OF, 2)))
+    return recent.where(filters.event_is(C.APP_OPENED)).select("user_id").distinct()
 
 
 on_events(

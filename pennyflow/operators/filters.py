@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pennyflow import constants as C
-from pennyflow.timebox import Window, day_end, days_before
+from pennyflow.timebox import Window
 
 T = "time_transaction_occurred"
 
@@ -17,12 +17,27 @@ def in_window(window: Window, t: str = T) -> Column:
     return window.holds(F.col(t))
 
 
+def _days(df: DataFrame, start: int | None, end: int | None) -> DataFrame:
+    """On a table laid out by ``event_date``, leave out the days that cannot matter; their files are
+    then not even listed."""
+    if "event_date" not in df.columns:
+        return df
+    day = lambda ms: F.to_date(F.timestamp_millis(F.lit(ms)))
+    if start is not None:
+        df = df.where(F.col("event_date") >= day(start))
+    return df if end is None else df.where(F.col("event_date") <= day(end))
+
+
 def within(df: DataFrame, window: Window) -> DataFrame:
-    """Rows of the window; on a table laid out by ``event_date`` other days are not even listed."""
-    if "event_date" in df.columns:
-        day = lambda ms: F.to_date(F.timestamp_millis(F.lit(ms)))
-        df = df.where(F.col("event_date").between(day(window.start), day(window.end)))
-    return df.where(in_window(window))
+    return _days(df, window.start, window.end).where(in_window(window))
+
+
+def since(df: DataFrame, start: int) -> DataFrame:
+    return _days(df, start, None).where(F.col(T) >= start)
+
+
+def up_to(df: DataFrame, end: int) -> DataFrame:
+    return _days(df, None, end).where(F.col(T) <= end)
 
 
 def event_is(event_type: str) -> Column:
@@ -62,16 +77,6 @@ def older_than(t: Column, now_ms: int, days: int) -> Column:
     return t < now_ms - days * C.DAY_MS
 
 
-def seen_by(day, t: str = T) -> Column:
-    return F.col(t) <= day_end(day)
-
-
-def since_days(as_of, n: int, t: str = T) -> Column:
-    from pennyflow.timebox import day_start
-
-    return F.col(t) >= day_start(days_before(as_of, n))
-
-
 def has_save_requirement() -> Column:
     return F.col("save_type").isNotNull()
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from pennyflow import constants as C
 from pennyflow.functions.money import PER_CURRENCY, whole_currency
-from pennyflow.operators.filters import after_cutoff, amount_above, transaction_is
+from pennyflow.operators.filters import after_cutoff, amount_above, since, transaction_is
 from pennyflow.operators.pairs import Case, matching_pairs
 from pennyflow.operators.skew import HOT_ROWS, hot_keys, lookup_join
 from pennyflow.timebox import day_start, days_before, months_before
@@ -55,7 +55,7 @@ def quick_withdrawals(
     behaviour: DataFrame, hours: int, days: int, as_of: date | str, strict: bool = False
 ) -> DataFrame:
     """(user_id, pairs): matching withdrawals within ``hours`` of a saving, over ``days`` days."""
-    recent = behaviour.where(F.col(T) >= day_start(days_before(as_of, days)))
+    recent = since(behaviour, day_start(days_before(as_of, days)))
     return matching_pairs(recent, [Case("asked", hours, F.lit(True))], strict).select(USER, "pairs")
 
 
@@ -76,20 +76,20 @@ def fraud_facts(
     )
     very_large = saving & amount_above(C.VERY_LARGE_SAVE) & after_cutoff(_cut(C.RULE_VERY_LARGE))
     large = saving & amount_above(C.LARGE_SAVE) & half_year & after_cutoff(_cut(C.RULE_SEVERAL_LARGE))
-    since = saving & after_cutoff(_cut(C.RULE_ABOVE_AVERAGE))
+    uncut = saving & after_cutoff(_cut(C.RULE_ABOVE_AVERAGE))
     newest = F.struct(F.col(T), F.col("amount"))
     single = rows.groupBy(USER).agg(
         F.max_by("account_id", F.struct(F.col(T), F.col("account_id"))).alias("account_id"),
         F.count_if(very_large).alias("saves_above_100k"),
         F.count_if(large).alias("saves_above_50k_6m"),
-        whole_currency(F.max(F.when(since, newest))["amount"]).alias("latest_save"),
+        whole_currency(F.max(F.when(uncut, newest))["amount"]).alias("latest_save"),
         (
-            F.coalesce(F.avg(F.when(since & half_year, F.col("amount"))), F.lit(0.0))
+            F.coalesce(F.avg(F.when(uncut & half_year, F.col("amount"))), F.lit(0.0))
             / PER_CURRENCY
             * C.AVERAGE_MULTIPLIER
         ).alias("average_save_6m_x10"),
     )
-    recent = behaviour.where(F.col(T) >= day_start(days_before(as_of, 30)))
+    recent = since(behaviour, day_start(days_before(as_of, 30)))
     # a plain join: nothing relies on its partitions, so adaptive execution may split a large user
     recent = recent.select(USER, "transaction_type", "amount", T).join(cutoffs, USER, "left")
     cases = quick_withdrawal_cases(as_of)

@@ -15,9 +15,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pennyflow import constants as C
-from pennyflow.operators.filters import event_in, event_is, in_window
+from pennyflow.operators.filters import event_in, event_is, in_window, up_to
 from pennyflow.plans.metrics import flags_per_user
-from pennyflow.timebox import Window, day_start, days_before
+from pennyflow.timebox import Window, days_before
 
 USER, T = "user_id", "time_transaction_occurred"
 
@@ -47,7 +47,7 @@ def _dropped(step: Step, window: Window) -> dict[str, Column]:
 
 
 def drop_off_users(events: DataFrame, step: Step, window: Window) -> DataFrame:
-    users = flags_per_user(events, _dropped(step, window))
+    users = flags_per_user(up_to(events, window.end), _dropped(step, window))
     return users.where(F.col("did") & ~F.col("went_on")).select(USER)
 
 
@@ -83,7 +83,8 @@ def recovered_users(
 
     ``literal`` keeps the published condition, which no user can meet.
     """
-    users = flags_per_user(events, _recovery_flags(step, as_of, mode, start_ms))
+    yesterday = Window.of_day(days_before(as_of, 1))
+    users = flags_per_user(up_to(events, yesterday.end), _recovery_flags(step, as_of, mode, start_ms))
     return users.where(F.col("recovered") & F.col("did") & ~F.col("went_on")).select(USER)
 
 
@@ -94,7 +95,8 @@ def _counts(events: DataFrame, asked: list[tuple[Step, str, Window]]) -> DataFra
     last = max(window.end for _, _, window in asked)
     first_next = {following: f"next_{i}" for i, following in enumerate(nexts)}
     users = (
-        events.where(event_in(names) & (F.col(T) <= last))
+        up_to(events, last)
+        .where(event_in(names))
         .groupBy(USER)
         .agg(
             *[F.min(F.when(event_in(f), F.col(T))).alias(n) for f, n in first_next.items()],
@@ -136,7 +138,8 @@ def drop_off_counts(
     for i, step in enumerate(steps):
         for part, condition in _recovery_flags(step, as_of, recovery_mode, None).items():
             names[f"{part}_{i}"] = condition
-    users = flags_per_user(events, names)
+    yesterday = Window.of_day(days_before(as_of, 1))
+    users = flags_per_user(up_to(events, yesterday.end), names)
     back = lambda i: F.col(f"recovered_{i}") & F.col(f"did_{i}") & ~F.col(f"went_on_{i}")
     counts = users.agg(*[F.count_if(back(i)).alias(f"n_{i}") for i in range(len(steps))])
     rows = [
@@ -165,7 +168,3 @@ def drop_off_daily_avg(
     asked = [(s, str(d), Window.of_day(d)) for s in steps for d in days]
     per_step = _counts(events, asked).groupBy("step").agg(F.sum("drop_offs").alias("total"))
     return per_step.select("step", (F.col("total") / F.lit(float(n))).alias("daily_average"))
-
-
-def unbounded_start() -> int:
-    return day_start("1970-01-01")

@@ -22,6 +22,7 @@ from pennyflow.operators.filters import (
     in_window,
     source_is,
     transaction_is,
+    up_to,
     within,
 )
 from pennyflow.timebox import Window, day_end, day_start, days_before
@@ -76,7 +77,7 @@ def user_ids_by_event(
 
 
 def total_users(events: DataFrame, until_ms: int) -> DataFrame:
-    rows = events.where(source_is(C.SERVICE_SOURCE) & (F.col(T) <= until_ms))
+    rows = up_to(events, until_ms).where(source_is(C.SERVICE_SOURCE))
     return rows.agg(F.count_distinct(USER).alias("users"))
 
 
@@ -207,10 +208,8 @@ def users_offered_boosts(
     """
     listed = ids.where(F.col("boost_id").isNotNull()).groupBy("boost_id")
     listed = listed.agg(F.count(F.lit(1)).alias("times"))
-    expired = events.where(
-        source_is(C.SERVICE_SOURCE)
-        & event_contains(C.BOOST_EXPIRED)
-        & in_window(Window(C.NEVER_FLAGGED, day_end(as_of)))
+    expired = within(events, Window(C.NEVER_FLAGGED, day_end(as_of))).where(
+        source_is(C.SERVICE_SOURCE) & event_contains(C.BOOST_EXPIRED)
     )
     if match == "key":
         found = expired.select(USER, F.get_json_object("context", "$.boostId").alias("boost_id"))
@@ -286,7 +285,7 @@ def daily_metrics(
     service, app = source_is(C.SERVICE_SOURCE), source_is(C.APP_SOURCE)
     created, saved = event_is(C.ACCOUNT_CREATED), event_is(C.SAVE_SUCCEEDED)
     users = flags_per_user(
-        events,
+        up_to(events, day_start(as_of)),
         {
             "known": service & (F.col(T) <= day_start(as_of)),
             "saved_y": saved & service & in_window(yesterday),

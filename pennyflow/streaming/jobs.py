@@ -83,8 +83,10 @@ def behaviour_stream(messages: DataFrame, out: str, rejected: str, checkpoint: s
     events = decode_messages(messages).where("decoded")
 
     def write(batch: DataFrame, number: int) -> None:
+        batch.persist()  # read by both writes
         _put(to_behaviour(batch, now_ms), out, number)
         _put(rejected_payments(batch), rejected, number)
+        batch.unpersist()
 
     return _start(events, checkpoint, write)
 
