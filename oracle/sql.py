@@ -616,3 +616,41 @@ for _name, _order in (("first_per_group", "ASC"), ("last_per_group", "DESC")):
         )
         + " FROM (SELECT *, nullif(context, '') AS ctx FROM ev) GROUP BY user_id"
     )
+
+# --- tables and files ----------------------------------------------------------------------
+LOG = "user_id, event_type, t AS time_transaction_occurred, source AS source_of_event, c AS created_at, c AS updated_at, context"
+SQL["read_events"] = q(f"SELECT {LOG} FROM ev WHERE t {WEEK}")
+# a CSV does not tell an empty context from a missing one
+SQL["read_events_csv"] = q("SELECT " + LOG.replace("context", "nullif(context, '') AS context") + " FROM ev")
+SQL["read_behaviour"] = q(
+    "SELECT user_id, account_id, tx AS transaction_type, amount, unit, 'ZAR' AS currency, t AS time_transaction_occurred, "
+    "c AS created_at, c AS updated_at FROM ub"
+)
+SQL["read_flags"] = q(
+    "SELECT user_id, account_id, rule_label, 'earlier payment' AS reason, 'PENDING_CONFIRMATION' AS accuracy, created_at, "
+    "created_at AS updated_at FROM fl"
+)
+SQL["export_files"] = q(
+    f"""SELECT uid AS user_id, CASE WHEN kind = 'signup' THEN 'USER_CREATED_ACCOUNT' WHEN kind = 'purchase' THEN 'SAVING_PAYMENT_SUCCESSFUL'
+  WHEN kind = 'error' THEN 'ADMIN_SETTLED_WITHDRAWAL' WHEN kind = 'view' AND k % 2 = 0 THEN 'USER_OPENED_APP'
+  WHEN kind = 'view' THEN 'USER_INITIATED_ADD_CASH' WHEN k % 4 = 0 THEN 'BOOST_CREATED' WHEN k % 4 = 1 THEN 'BOOST_REDEEMED'
+  WHEN k % 4 = 2 THEN 'BOOST_EXPIRED' ELSE 'MESSAGE_SENT' END AS event_type, at_ms AS time_transaction_occurred,
+  'AMPLITUDE' AS source_of_event, {NOW} AS created_at, {NOW} AS updated_at FROM ex WHERE k NOT IN (50, 51, 52)""",
+    EXPORT,
+)
+SQL["write_features_csv"] = SQL["boost_dataset"]
+SQL["dummies"] = q(
+    "SELECT boost_type || '::' || boost_category AS boost_type_category, "
+    "row_number() OVER (ORDER BY count(*) DESC, boost_type || '::' || boost_category) - 1 AS \"column\" FROM offers GROUP BY 1"
+)
+SQL["evaluate"] = q(
+    """SELECT n AS rows, tp + fn AS positives, round(coalesce(tp / nullif(tp + fp, 0)::double, 0), 6) AS precision,
+  round(coalesce(tp / nullif(tp + fn, 0)::double, 0), 6) AS recall, round(f1, 6) AS f_score, round((tp + tn) / n::double, 6) AS accuracy,
+  round((f1 + f0) / 2, 6) AS macro_f1, round(auc, 6) AS roc_auc
+FROM (SELECT *, coalesce(2 * tp / nullif(2 * tp + fp + fn, 0)::double, 0) AS f1, coalesce(2 * tn / nullif(2 * tn + fp + fn, 0)::double, 0) AS f0
+  FROM (SELECT count(*) AS n, count(*) FILTER (y AND p) AS tp, count(*) FILTER (NOT y AND p) AS fp,
+          count(*) FILTER (y AND NOT p) AS fn, count(*) FILTER (NOT y AND NOT p) AS tn FROM guess)),
+  (SELECT avg(CASE WHEN a.s > b.s THEN 1.0 WHEN a.s = b.s THEN 0.5 ELSE 0 END) AS auc FROM guess a JOIN guess b ON a.y AND NOT b.y)""",
+    *TRAIN,
+    f"guess AS (SELECT boost_prior_saves AS s, boost_prior_saves > 5 AS p, is_save_within_day AS y FROM (SELECT {_TRAIN_COLS} {_TRAIN_FROM}))",
+)

@@ -8,6 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import wraps
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +16,7 @@ from pennyflow import constants as C
 from pennyflow.functions.signature import signature_holds
 from pennyflow.operators import columns, filters, ingest
 from pennyflow.plans import boosts, cohorts, fraud, funnel, metrics, ml
-from pennyflow.sources import mapped
+from pennyflow.sources import mapped, round_trips
 from pennyflow.streaming import runs
 from pennyflow.timebox import Window, day_start, days_before
 
@@ -375,3 +376,33 @@ register("train_gbt", _boosted)
 register("model_portfolio", lambda spark, d: ml.compare_models(*ml.split(_training_rows(spark, d))))
 register("feature_importance", _importance)
 register("score_users", _scores)
+
+# --- tables and files --------------------------------------------------------------------
+MOST_BAD_LINES = 10**9  # the made-up export has a fixed share of bad lines
+register("read_events", lambda spark, d: filters.within(round_trips.event_table(spark, d), LAST_WEEK).drop("event_date"))
+register("read_behaviour", lambda spark, d: round_trips.behaviour_table(spark, d).drop("event_date"))
+register("read_flags", round_trips.flag_table)
+register("read_events_csv", round_trips.csv_log)
+register(
+    "export_files",
+    lambda spark, d: round_trips.export_files(spark, d, INGEST_NOW, MOST_BAD_LINES).drop("context"),
+)
+register("write_features_csv", lambda spark, d: round_trips.feature_files(spark, d, FRAUD_AS_OF))
+
+
+def _dummies(spark: SparkSession, folder: str) -> DataFrame:
+    offers = boosts.boost_fields(mapped.event_log(spark, folder)).select("boost_type_category")
+    column = F.array_position(vector_to_array("boost_type_category_vec"), 1.0) - 1
+    return ml.dummies(offers, "boost_type_category").groupBy("boost_type_category").agg(F.max(column).alias("column"))
+
+
+def _rule_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """How well "has saved more than five times" foretells the label."""
+    rows = ml.model_input(boosts.boost_training_set(mapped.event_log(spark, folder)))
+    saves = F.col("boost_prior_saves")
+    guess = rows.withColumns({"prediction": (saves > 5).cast("double"), "score": saves.cast("double")})
+    return ml.evaluate(guess.select(ml.LABEL, "prediction", "score"), "score")
+
+
+register("dummies", _dummies)
+register("evaluate", _rule_scores)

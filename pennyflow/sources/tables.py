@@ -28,7 +28,8 @@ def read_flags(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_events_csv(spark: SparkSession, path: str) -> DataFrame:
-    """The event log as CSV with a header; quotes inside the JSON context are doubled."""
+    """The event log as CSV with a header; quotes inside the JSON context are doubled and an empty
+    context is read as missing."""
     return spark.read.schema(S.EVENTS).csv(path, header=True, escape='"', multiLine=False)
 
 
