@@ -94,27 +94,42 @@ def behaviour_stream(messages: DataFrame, out: str, rejected: str, checkpoint: s
 # --- fraud flags -------------------------------------------------------------------------
 
 
-def fraud_stream(payments: DataFrame, history: str, flags: str, checkpoint: str) -> StreamingQuery:
+def _user_bucket(buckets: int):
+    return F.pmod(F.xxhash64("user_id"), F.lit(buckets)).cast("long").alias("bucket")
+
+
+def fraud_stream(
+    payments: DataFrame, history: str, flags: str, checkpoint: str, buckets: int = 64
+) -> StreamingQuery:
     """After each batch of payments, check the users in it against their whole history.
 
     Flags of earlier batches count as cut-offs, those of the batch itself do not, so a repeated
     batch comes to the same flags. The batch's newest processing time serves as "now".
+
+    The history is kept in folders by a hash of the user. The join with the batch's users names the
+    folder too, so a batch of few users reads only their folders.
     """
+    stored = StructType(S.BEHAVIOUR.fields + [StructField("bucket", LongType())])
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        _put(batch, history, number)
-        fresh = spark.read.schema(S.BEHAVIOUR).parquet(f"{history}/batch={number}")
+        path = f"{history}/batch={number}"
+        placed = batch.select(*S.BEHAVIOUR.names, _user_bucket(buckets)).hint("rebalance", "bucket")
+        placed.write.mode("overwrite").partitionBy("bucket").parquet(path)
+        fresh = spark.read.schema(stored).parquet(path)
         newest = fresh.agg(F.max("created_at")).first()[0]
         if newest is None:
             return
-        users = fresh.select("user_id").distinct()
-        known = _read_batches(spark, history, S.BEHAVIOUR, number).join(users, "user_id", "left_semi")
+        users = fresh.select("user_id", "bucket").distinct()
+        known = _read_batches(spark, history, stored, number)
+        # the facts ask for these rows several times
+        known = known.join(users, ["bucket", "user_id"], "left_semi").drop("bucket").persist()
         earlier = spark.createDataFrame([], S.FLAGS)
         if number > 0:
             earlier = _read_batches(spark, flags, S.FLAGS, number - 1).join(users, "user_id", "left_semi")
         as_of = datetime.fromtimestamp(newest / 1000, timezone.utc).date()
         _put(fraud_flags(known, earlier, as_of, newest), flags, number)
+        known.unpersist()
 
     return _start(payments, checkpoint, write)
 
