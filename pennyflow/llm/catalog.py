@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from pennyflow.llm import language, licenses, linededup, mixing, pii, prints, quality, sentencepieces, simhash, tokencounts
 from pennyflow.llm.common import documents
 
@@ -92,6 +93,7 @@ QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_licenses": op9_licenses,
     "op10_quality": op10_quality,
+    "pipeline": corpus_pipeline.run,
 }
 SQL: dict[str, str] = {
     "op4_line_dedup": linededup.SQL,

@@ -128,7 +128,8 @@ def mix(
     text_col: str = "text",
     most_patterns: int = 100_000,
 ) -> tuple[DataFrame, DataFrame]:
-    """Per row: its id, `size`, `pattern` and `taken` (words, repeats counted); and the plan per source.
+    """Per row: its id, `key` (a hash of the text), `size`, `sources` and `taken` (words, repeats counted); and the plan
+    per source.
 
     `sources` is the column with the list of a document's sources. Without `weights`, sources in order of
     code points, null last, weigh WEIGHTS in turn. The text is read once; sizes are kept in the shared folder.
@@ -137,6 +138,7 @@ def mix(
     order = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("null"))))
     sized = df.select(
         F.col(f"`{id_col}`").alias("id"),
+        F.xxhash64(F.col(f"`{text_col}`")).alias("key"),
         size_of(F.col(f"`{text_col}`")).alias("size"),
         F.array_sort(F.array_distinct(sources)).alias("sources"),
         order.alias("place"),
@@ -178,7 +180,7 @@ def mix(
     rows = rows.join(begins, ["pattern", "bucket"])
     extra = ((F.col("begin") + F.col("before")) * 2 + F.col("size") <= F.col("rest") * 2) & (F.col("rest") > 0)
     taken = F.col("size") * (F.col("passes") + extra.cast("bigint"))
-    return rows.select(F.col("id").alias(id_col), "size", "sources", taken.alias("taken")), plan
+    return rows.select(F.col("id").alias(id_col), "key", "size", "sources", taken.alias("taken")), plan
 
 
 #: The same in DuckDB for documents of one source each, where every source's flow is its rounded target.

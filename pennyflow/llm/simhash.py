@@ -127,41 +127,43 @@ def anchors(block: np.ndarray, extra: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([r for r, _ in found]), np.concatenate([a for _, a in found])
 
 
-def _at_anchors(prints: DataFrame, blocks: int, extra: int) -> DataFrame:
-    """(anchor, print): the fingerprints at every anchor of every block; the block's number is in the anchor."""
+def _at_anchors(prints: DataFrame, words: int, extra: int, name: str) -> DataFrame:
+    """(`name`, `name`0, ...): every anchor of every block, with the number of the block in its upper bits, and the
+    words of the fingerprint that is there."""
+    columns = [f"{name}{i}" for i in range(words)]
 
     def run(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            words = np.array(batch.column("print").to_pylist(), np.int64).view(np.uint64)
-            for k in range(blocks):
-                block = (words[:, k // 2] >> np.uint64(BLOCK * (1 - k % 2)) & np.uint64(0xFFFFFFFF)).astype(np.int64)
+            whole = np.array(batch.column("print").to_pylist(), np.int64)
+            for k in range(2 * words):
+                block = (whole[:, k // 2].view(np.uint64) >> np.uint64(BLOCK * (1 - k % 2)) & np.uint64(0xFFFFFFFF)).astype(np.int64)
                 rows, found = anchors(block, extra)
                 for i in range(0, len(rows), 100_000):
                     part = slice(i, i + 100_000)
+                    of = whole[rows[part]]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(found[part] | k << BLOCK, pa.int64()), batch.column("print").take(pa.array(rows[part]))],
-                        ["anchor", "print"],
+                        [pa.array(found[part] | k << BLOCK), *(pa.array(of[:, w]) for w in range(words))], [name, *columns]
                     )
 
-    return prints.select("print").mapInArrow(run, "anchor bigint, print array<bigint>")
-
-
-def _distance(a: Column, b: Column, words: int) -> Column:
-    return sum((F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(words)), F.lit(0))
+    return prints.select("print").mapInArrow(run, ", ".join(f"{c} bigint" for c in [name, *columns]))
 
 
 def links(prints: DataFrame, bits: int = 64, threshold: int = 3, reach: int | None = None) -> DataFrame:
     """(a, b), a < b: different fingerprints that differ in `threshold` bits or fewer, and, where `reach` is
     below threshold // blocks, in `reach` or fewer in some block. `prints` has each fingerprint once."""
-    blocks = bits // BLOCK
-    reach = threshold // blocks if reach is None else reach
+    words = bits // 64
+    reach = threshold // (bits // BLOCK) if reach is None else reach
     near, far = reach // 2, reach - reach // 2
-    home = _at_anchors(prints, blocks, near).withColumnRenamed("print", "a")
-    away = _at_anchors(prints, blocks, far).withColumnRenamed("print", "b")
-    close = (F.col("a") < F.col("b")) & (_distance(F.col("a"), F.col("b"), bits // 64) <= threshold)
-    return home.join(away.withColumnRenamed("anchor", "at"), (F.col("anchor") == F.col("at")) & close).select("a", "b").distinct()
+    # A fingerprint becomes many rows, so its few bytes are dealt to all tasks first.
+    spread = prints.repartition(int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")), "print")
+    home, away = _at_anchors(spread, words, near, "a"), _at_anchors(spread, words, far, "b")
+    a, b = ([F.col(f"{side}{i}") for i in range(words)] for side in "ab")
+    distance = sum((F.bit_count(x.bitwiseXOR(y)) for x, y in zip(a, b)), F.lit(0))
+    ordered = F.struct(*a) < F.struct(*b) if words > 1 else a[0] < b[0]
+    found = home.join(away, (F.col("a") == F.col("b")) & ordered & (distance <= threshold))
+    return found.select(F.array(*a).alias("a"), F.array(*b).alias("b")).distinct()
 
 
 def _stored(df: DataFrame, folder: str, name: str) -> DataFrame:
