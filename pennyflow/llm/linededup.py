@@ -13,7 +13,7 @@ and the repeats are marked by a join, whose large keys Spark splits; no group is
 
 Rows equal in id and text are one document: they keep and lose the same lines. A null text stays null and an
 empty one empty, with 0 and 1 lines. A text that loses all its chunks becomes empty. Other columns pass
-through; none may be named like the three that are added or their working columns, which start with `_ld_`.
+through, except that columns named like the two that are added, or with `_ld_` in front, give way.
 """
 
 from __future__ import annotations
@@ -71,6 +71,7 @@ def _removable() -> Column:
 
 def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", divisor: int = DIVISOR) -> DataFrame:
     """The rows of `df` with the text cleaned, and `n_lines`, `n_removed` (lines)."""
+    df = df.select(*(F.col(f"`{c}`") for c in df.columns if c not in ("n_lines", "n_removed") and not c.startswith("_ld_")))
     # A document is known by its id and the hash of its text: no numbering of rows that a lost task may change.
     source = df.select(F.col(f"`{id_col}`").alias("_ld_id"), F.col(f"`{text_col}`").alias("_ld_text"))
     source = source.withColumn("_ld_key", F.xxhash64("_ld_text"))
@@ -92,12 +93,11 @@ def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     )
     gone = candidates.join(firsts, ["hash", "chunk"]).where(~place.eqNullSafe(F.col("first")))
     per_document = gone.groupBy(F.col("_ld_id").alias("_ld_gone_id"), F.col("_ld_key").alias("_ld_gone_key")).agg(
-        F.collect_set("no").alias("_ld_gone"), F.sum(F.col("n")).alias("_ld_n")
+        F.collect_set("no").alias("_ld_gone")
     )
-    # Repeated rows add up the same lines, so lines are counted from the text below, not from `_ld_n`.
     rows = df.withColumn("_ld_key", F.xxhash64(F.col(f"`{text_col}`")))
     joined = rows.join(
-        per_document.drop("_ld_n").hint("shuffle_hash"),
+        per_document.hint("shuffle_hash"),
         F.col(f"`{id_col}`").eqNullSafe(F.col("_ld_gone_id")) & (F.col("_ld_key") == F.col("_ld_gone_key")),
         "left",
     )

@@ -18,7 +18,7 @@ inside each bucket, so no pattern is ordered in one task, even if it holds all r
 
 A null or empty text has size 0 and is taken 0 times. Rows with equal ids are rows of their own and stand
 next to each other in the order; if their sizes differ the smaller comes first. A null id is an id like
-others. A null source is a source; an empty list of sources belongs to none and is not taken. Runs repeat.
+others. A null source is a source; with a null or empty list of sources a document is not taken. Runs repeat.
 """
 
 from __future__ import annotations
@@ -140,7 +140,7 @@ def mix(
         F.col(f"`{id_col}`").alias("id"),
         F.xxhash64(F.col(f"`{text_col}`")).alias("key"),
         size_of(F.col(f"`{text_col}`")).alias("size"),
-        F.array_sort(F.array_distinct(sources)).alias("sources"),
+        F.array_sort(F.array_distinct(F.coalesce(sources, F.array().cast("array<string>")))).alias("sources"),
         order.alias("place"),
     ).withColumn("pattern", F.to_json("sources"))
     sized.write.parquet(f"{folder}/sizes")
