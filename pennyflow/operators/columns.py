@@ -5,7 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pennyflow.operators.skew import HOT_ROWS, lookup_join
+from pennyflow.operators.skew import lookup_join
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
@@ -14,13 +14,11 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
     return counts.agg(F.count(F.lit(1)).alias("rows")).orderBy(F.desc("rows"), column)
 
 
-def with_group_size(
-    df: DataFrame, key: Sequence[str], name: str = "group_size", hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def with_group_size(df: DataFrame, key: Sequence[str], name: str = "group_size") -> DataFrame:
     """Each row with the number of rows of its group. A window over the group would hold a whole
     group in one task; counting first and looking the counts up does not."""
     sizes = df.groupBy(*key).agg(F.count(F.lit(1)).alias(name))
-    return lookup_join(df, sizes, key, hot_rows=hot_rows)
+    return lookup_join(df, sizes, key)
 
 
 def first_per_group(df: DataFrame, key: Sequence[str], order: str) -> DataFrame:

@@ -1,14 +1,4 @@
-"""Joins that keep their balance when one key holds a large part of all rows.
-
-A key is *hot* when it is among the ``MAX_HOT_KEYS`` largest keys and holds more than ``HOT_ROWS``
-rows. The number of hot keys is bounded whatever the table's size, which makes broadcasting them
-safe. Every other key holds at most ``max(HOT_ROWS, rows / MAX_HOT_KEYS)`` rows, since no more than
-``MAX_HOT_KEYS`` keys can hold a larger share. Nothing is left out: ordinary and hot keys only take
-different ways to the same result.
-
-Where no key is hot, adaptive execution sees the empty broadcast and drops the hot branch, so an
-even table pays only for the count per key.
-"""
+"""A join that keeps its balance when one key holds a large part of all rows."""
 
 from __future__ import annotations
 
@@ -17,39 +7,21 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOT_ROWS = 2_000_000
-MAX_HOT_KEYS = 50_000
-
-
-def hot_keys(rows: DataFrame, key: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The keys of ``rows`` that one task should not hold; at most ``MAX_HOT_KEYS`` rows."""
-    counts = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_rows"))
-    large = counts.where(F.col("_rows") > hot_rows)
-    return large.orderBy(F.desc("_rows"), *key).limit(MAX_HOT_KEYS).select(*key)
-
-
-def split_hot(rows: DataFrame, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows of ordinary keys, rows of hot keys) for the key columns that ``hot`` has."""
-    bounded, key = F.broadcast(hot), hot.columns
-    return rows.join(bounded, key, "left_anti"), rows.join(bounded, key, "left_semi")
+SALTS = 16
 
 
 def lookup_join(
-    rows: DataFrame,
-    table: DataFrame,
-    key: Sequence[str],
-    how: str = "left",
-    hot: DataFrame | None = None,
-    hot_rows: int = HOT_ROWS,
+    rows: DataFrame, table: DataFrame, key: Sequence[str], how: str = "left", salts: int = SALTS
 ) -> DataFrame:
     """Join many ``rows`` to a ``table`` with at most one row per key.
 
-    Hot keys meet their table rows by broadcast, so their rows stay where they were read; the rest
-    is an ordinary equi join. The broadcast part of ``table`` has at most one row per hot key.
-    ``hot`` is found by counting when not given.
+    The table is repeated ``salts`` times, and the rows of a key are dealt to the copies by the
+    number of the partition they were read from, which stays the same when a task is repeated. An
+    aggregation by key after the join is then made in two steps, of which the first is spread.
+    Adaptive execution splits a plain join by itself; this one is for joins whose partitions a later
+    step would rely on.
     """
     key = list(key)
-    hot = hot_keys(rows, key, hot_rows) if hot is None else hot
-    ordinary, heavy = split_hot(rows, hot)
-    of_hot = table.join(F.broadcast(hot), key, "left_semi")
-    return ordinary.join(table, key, how).unionByName(heavy.join(F.broadcast(of_hot), key, how))
+    copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    dealt = rows.withColumn("_salt", F.spark_partition_id() % salts)
+    return dealt.join(copies, [*key, "_salt"], how).drop("_salt")

@@ -2,10 +2,13 @@
 
 "How many saves came before this offer" and "when is the next save" are asked of every row of a
 table that mixes both kinds of event. A self join would pair every offer with every save of the
-user; a window over the user answers in one sort. A user with a very large share of the rows does
-not fit one window, so hot users go another way with the same answers: their rows are condensed to
-one row per millisecond, cut into minutes (at most 60 000 rows each), and each minute is given what
-the earlier or later minutes add up to.
+user. Here a timeline is cut into cells of an hour. A window over a key's cell answers from the rows
+of the cell, a second one over the key's cells adds what the cells before or after hold, and one
+join brings both together. All keys go this way: a key with a third of all rows has many cells, and
+no task holds more than a cell's rows or a row per cell of a key.
+
+A question with an offset is asked at the row's own time of rows that are moved by the offset, so a
+row asks all its questions in one place.
 """
 
 from __future__ import annotations
@@ -16,9 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pennyflow.operators.skew import HOT_ROWS, hot_keys, split_hot
-
-CELL_MS = 60_000
+CELL_MS = 3_600_000
 _COMBINE = {"count": F.sum, "min": F.min, "max": F.max}
 
 
@@ -36,31 +37,63 @@ class Look:
     side: str  # before | after
     offset: int = 0
 
+    def counted(self) -> Column:
+        """What is combined: the value, or 1 for each."""
+        return F.when(self.value.isNotNull(), F.lit(1).cast("long")) if self.kind == "count" else self.value
+
 
 def look_around(
-    rows: DataFrame,
-    key: Sequence[str],
-    t: str,
-    looks: Sequence[Look],
-    asks: Column,
-    hot: DataFrame | None = None,
-    hot_rows: int = HOT_ROWS,
+    rows: DataFrame, key: Sequence[str], t: str, looks: Sequence[Look], asks: Column, cell_ms: int | None = None
 ) -> DataFrame:
     """The rows where ``asks`` holds, each with one added column per look.
 
-    A count with nothing to count is 0; a minimum or maximum of nothing is null. ``hot`` names the
-    keys too large for one window, by all or some of the key columns; it is found by counting when
-    not given.
+    A count with nothing to count is 0; a minimum or maximum of nothing is null. Rows whose key is
+    null form a timeline like others.
     """
-    key = list(key)
-    valued = rows.withColumns({_v(look): look.value for look in looks} | {"_asks": asks})
-    ordinary, heavy = split_hot(valued, hot_keys(rows, key, hot_rows) if hot is None else hot)
-    drop = [_v(look) for look in looks] + ["_asks"]
-    return (
-        _by_window(ordinary, key, t, looks)
-        .unionByName(_by_cells(heavy, key, t, looks))
-        .drop(*drop)
+    # a struct is never null, and equal to another with nulls in the same places
+    owner = F.struct(*key).alias("_key")
+    kept = rows.columns
+    valued = rows.withColumns({_v(look): look.counted() for look in looks} | {"_asks": F.coalesce(asks, F.lit(False))})
+    kinds = dict(valued.dtypes)
+
+    def moments(*payload: Column) -> DataFrame:
+        """Per asking row a moment with its payload, per row with values a moment at each offset."""
+
+        def moment(at: Column, of: int | None, cargo: Sequence[Column]) -> Column:
+            own = [
+                (F.col(_v(look)) if look.offset == of else F.lit(None).cast(kinds[_v(look)])).alias(_v(look))
+                for look in looks
+            ]
+            return F.struct(at.cast("long").alias("_at"), *own, *cargo)
+
+        nothing = [F.lit(None).cast(valued.select(c).schema[0].dataType).alias("_row") for c in payload]
+        made = [F.when(F.col("_asks"), moment(F.col(t), None, payload))]
+        for offset in sorted({look.offset for look in looks}):
+            holds = [F.col(_v(look)).isNotNull() for look in looks if look.offset == offset]
+            some = holds[0]
+            for more in holds[1:]:
+                some = some | more
+            made.append(F.when(some, moment(F.col(t) - F.lit(offset), offset, nothing)))
+        exploded = valued.select(owner, F.explode(F.array_compact(F.array(*made))).alias("_m"))
+        return exploded.select("_key", "_m.*").withColumn("_cell", F.floor(F.col("_at") / (cell_ms or CELL_MS)))
+
+    inside = _frames(["_key", "_cell"], "_at")
+    within = moments(F.struct(*kept).alias("_row")).select(
+        "_key", "_cell", "_row", *[_running(look, inside).alias(f"_in_{look.name}") for look in looks]
     )
+    cells = moments().groupBy("_key", "_cell").agg(*[_COMBINE[look.kind](_v(look)).alias(_v(look)) for look in looks])
+    across = _frames(["_key"], "_cell")
+    carried = cells.select("_key", "_cell", *[_running(look, across).alias(f"_out_{look.name}") for look in looks])
+
+    def total(look: Look) -> Column:
+        near, far = F.col(f"_in_{look.name}"), F.col(f"_out_{look.name}")
+        if look.kind == "count":
+            zero = F.lit(0).cast("long")
+            return F.coalesce(near, zero) + F.coalesce(far, zero)
+        return (F.least if look.kind == "min" else F.greatest)(near, far)
+
+    answered = within.where(F.col("_row").isNotNull()).join(carried, ["_key", "_cell"])
+    return answered.select("_row.*", *[total(look).alias(look.name) for look in looks])
 
 
 def _v(look: Look) -> str:
@@ -75,76 +108,6 @@ def _frames(key: Sequence[str], t: str) -> dict[str, Window]:
     }
 
 
-def _running(look: Look, value: Column, frames: dict[str, Window], offset: int) -> Column:
-    last = offset - 1 if look.side == "before" else -offset - 1
-    frame = frames[look.side].rangeBetween(Window.unboundedPreceding, last)
-    return _COMBINE[look.kind](value).over(frame)
-
-
-def _by_window(rows: DataFrame, key: list[str], t: str, looks: Sequence[Look]) -> DataFrame:
-    frames = _frames(key, t)
-
-    def answer(look: Look) -> Column:
-        value = F.col(_v(look))
-        if look.kind == "count":
-            marked = F.when(value.isNotNull(), F.lit(1).cast("long"))
-            return F.coalesce(_running(look, marked, frames, look.offset), F.lit(0).cast("long"))
-        return _running(look, value, frames, look.offset)
-
-    return rows.withColumns({look.name: answer(look) for look in looks}).where("_asks")
-
-
-def _by_cells(rows: DataFrame, key: list[str], t: str, looks: Sequence[Look]) -> DataFrame:
-    agg = {"count": F.count, "min": F.min, "max": F.max}
-    values = [_v(look) for look in looks]
-    offsets = sorted({look.offset for look in looks})
-
-    # one row per key and millisecond: what happened then, and the instants asked about
-    moments = [F.struct(F.col(t).alias("_t"), *values)]
-    for offset in (o for o in offsets if o):
-        asked = F.struct((F.col(t) + F.lit(offset)).alias("_t"), *_nothing(rows, values))
-        moments.append(F.when(F.col("_asks"), asked))
-    instants = (
-        rows.select(*key, F.explode(F.array_compact(F.array(*moments))).alias("_m"))
-        .select(*key, "_m.*")
-        .groupBy(*key, "_t")
-        .agg(*[agg[look.kind](_v(look)).alias(_v(look)) for look in looks])
-        .withColumn("_cell", F.floor(F.col("_t") / CELL_MS))
-    )
-    inside = _frames([*key, "_cell"], "_t")
-    within = instants.withColumns(
-        {f"_in_{look.name}": _running(look, F.col(_v(look)), inside, 0) for look in looks}
-    )
-    cells = instants.groupBy(*key, "_cell").agg(
-        *[_COMBINE[look.kind](_v(look)).alias(_v(look)) for look in looks]
-    )
-    across = _frames(key, "_cell")
-    carried = cells.select(
-        *key,
-        "_cell",
-        *[_running(look, F.col(_v(look)), across, 0).alias(f"_out_{look.name}") for look in looks],
-    )
-
-    def total(look: Look) -> Column:
-        near, far = F.col(f"_in_{look.name}"), F.col(f"_out_{look.name}")
-        if look.kind == "count":
-            zero = F.lit(0).cast("long")
-            return F.coalesce(near, zero) + F.coalesce(far, zero)
-        return (F.least if look.kind == "min" else F.greatest)(near, far)
-
-    answers = within.join(carried, [*key, "_cell"]).select(
-        *key, "_t", *[total(look).alias(look.name) for look in looks]
-    )
-    out = rows.where("_asks")
-    for offset in offsets:
-        names = [look.name for look in looks if look.offset == offset]
-        out = out.withColumn("_t", F.col(t) + F.lit(offset)).join(
-            answers.select(*key, "_t", *names), [*key, "_t"]
-        )
-        out = out.drop("_t")
-    return out
-
-
-def _nothing(rows: DataFrame, values: list[str]) -> list[Column]:
-    kinds = dict(rows.dtypes)
-    return [F.lit(None).cast(kinds[v]).alias(v) for v in values]
+def _running(look: Look, frames: dict[str, Window]) -> Column:
+    frame = frames[look.side].rangeBetween(Window.unboundedPreceding, -1)
+    return _COMBINE[look.kind](F.col(_v(look))).over(frame)

@@ -21,7 +21,6 @@ from pennyflow.operators.filters import (
     has_save_requirement,
     transaction_is,
 )
-from pennyflow.operators.skew import HOT_ROWS, hot_keys
 from pennyflow.operators.timeline import Look, look_around
 from pennyflow.plans.cohorts import withdraw_then_save
 from pennyflow.timebox import as_date, day_start
@@ -58,7 +57,7 @@ def save_requirements(events: DataFrame) -> DataFrame:
     )
 
 
-def boosts_with_saves(events: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def boosts_with_saves(events: DataFrame) -> DataFrame:
     """Every offer with the number of saves before it and whether one followed within 48 hours."""
     save_time = F.when(_saves(), F.col(T))
     rows = events.where(_offers() | _saves()).select(USER, T, "event_type", "context")
@@ -66,7 +65,7 @@ def boosts_with_saves(events: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
         Look("prior_save_count", "count", save_time, "before"),
         Look("next_save", "min", save_time, "after"),
     ]
-    seen = look_around(rows, [USER], T, looks, _offers(), hot_rows=hot_rows)
+    seen = look_around(rows, [USER], T, looks, _offers())
     soon = F.col("next_save") - F.col(T) < 48 * C.HOUR_MS
     return seen.withColumn("save_within_48", F.coalesce(soon, F.lit(False)))
 
@@ -113,7 +112,6 @@ def boost_training_set(
     events: DataFrame,
     behaviour: DataFrame | None = None,
     top_users: int = 2,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """One row per user and offer id that has both an earlier and a later save.
 
@@ -137,8 +135,7 @@ def boost_training_set(
         Look("prior_redeems", "count", redeem_time, "before", -AN_HOUR),
         Look("other_redeems", "count", redeem_time, "after", -C.HOUR_MS),
     ]
-    hot = hot_keys(events.where(_offers() | _saves() | redeemed), [USER], hot_rows)
-    seen = look_around(rows, [USER], "t", looks, _offers(), hot=hot)
+    seen = look_around(rows, [USER], "t", looks, _offers())
     fields = offer_fields(F.col("offer"))
     offers = seen.withColumn("offer", parse_offer(F.col("context"))).select(
         USER,

@@ -1,7 +1,7 @@
 """Per-user fraud facts, the rules over them and the flag rows they give.
 
-All facts of all users come from two scans: one aggregation of the payments and one count of
-withdrawal/saving pairs over the last thirty days. Each rule has its own cut-off, the time of the
+The facts of all users come from one aggregation of the payments and one count of withdrawal/saving
+pairs over the last thirty days, which reads the payments a few times more. Each rule has its own cut-off, the time of the
 user's last flag for that rule; the five cut-offs are one small row per user.
 """
 
@@ -17,7 +17,7 @@ from pennyflow import constants as C
 from pennyflow.functions.money import PER_CURRENCY, whole_currency
 from pennyflow.operators.filters import after_cutoff, amount_above, since, transaction_is
 from pennyflow.operators.pairs import Case, matching_pairs
-from pennyflow.operators.skew import HOT_ROWS, hot_keys, lookup_join
+from pennyflow.operators.skew import lookup_join
 from pennyflow.timebox import day_start, days_before, months_before
 
 USER, T = "user_id", "time_transaction_occurred"
@@ -64,15 +64,13 @@ def fraud_facts(
     flags: DataFrame,
     as_of: date | str,
     strict: bool = False,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """One row per user with the six facts; amounts in whole currency."""
-    hot = hot_keys(behaviour, [USER], hot_rows)
     cutoffs = cutoffs_per_user(flags)
     half_year = F.col(T) >= day_start(months_before(as_of, 6))
     saving = transaction_is(C.SAVING)
     rows = lookup_join(
-        behaviour.select(USER, "account_id", "transaction_type", "amount", T), cutoffs, [USER], hot=hot
+        behaviour.select(USER, "account_id", "transaction_type", "amount", T), cutoffs, [USER]
     )
     very_large = saving & amount_above(C.VERY_LARGE_SAVE) & after_cutoff(_cut(C.RULE_VERY_LARGE))
     large = saving & amount_above(C.LARGE_SAVE) & half_year & after_cutoff(_cut(C.RULE_SEVERAL_LARGE))
@@ -93,7 +91,7 @@ def fraud_facts(
     # a plain join: nothing relies on its partitions, so adaptive execution may split a large user
     recent = recent.select(USER, "transaction_type", "amount", T).join(cutoffs, USER, "left")
     cases = quick_withdrawal_cases(as_of)
-    pairs = matching_pairs(recent, cases, strict, hot=hot)
+    pairs = matching_pairs(recent, cases, strict)
     pair_counts = pairs.groupBy(USER).agg(
         *[F.sum(F.when(F.col("case") == c.name, F.col("pairs"))).alias(c.name) for c in cases]
     )

@@ -8,21 +8,20 @@ from pennyflow import constants as C
 from pennyflow.operators import columns
 from pennyflow.operators.filters import drop_top_users, top_users, within
 from pennyflow.operators.pairs import Case, highest_match, matching_pairs
-from pennyflow.operators.skew import hot_keys, lookup_join
+from pennyflow.operators.skew import lookup_join
 from pennyflow.operators.timeline import Look, look_around
 from pennyflow.plans.fraud import quick_withdrawals
 from pennyflow.timebox import Window, day_start
 
-NEVER_HOT, SOME_HOT, ALL_HOT = 10**9, 40, 0
 HOUR = C.HOUR_MS
 
 
 def crowd(seed, users=6, rows=300, span=3 * 60_000):
-    """Events of a few users, one of whom has a third of all; many share a millisecond or a minute."""
+    """Events of a few users, one of whom has half of all; many share a millisecond or a minute."""
     rng = random.Random(seed)
     return [
         (
-            "big" if rng.random() < 1 / 3 else f"u{rng.randrange(users)}",
+            "big" if rng.random() < 1 / 2 else f"u{rng.randrange(users)}",
             rng.choice("ask point other".split()),
             rng.choice([rng.randrange(span), rng.randrange(50), 60_000]),
         )
@@ -42,13 +41,13 @@ LOOKS = [
 ]
 
 
-@pytest.mark.parametrize("hot_rows", [NEVER_HOT, SOME_HOT, ALL_HOT])
-def test_look_around_equals_brute_force(spark, hot_rows):
-    rows = crowd(1)
+@pytest.mark.parametrize("cell_ms", [7, 60_000, None])
+def test_look_around_equals_brute_force(spark, cell_ms):
+    rows = [(None if user == "u1" else user, kind, t) for user, kind, t in crowd(1)]
     df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "id int, user string, kind string, t long")
     value = F.when(F.col("kind") == "point", F.col("t"))
     looks = [Look(name, kind, value, side, offset) for name, kind, side, offset in LOOKS]
-    out = look_around(df, ["user"], "t", looks, F.col("kind") == "ask", hot_rows=hot_rows)
+    out = look_around(df, ["user"], "t", looks, F.col("kind") == "ask", cell_ms)
     got = {r["id"]: tuple(r[look.name] for look in looks) for r in out.collect()}
 
     points = defaultdict(list)
@@ -70,23 +69,16 @@ def test_look_around_equals_brute_force(spark, hot_rows):
     assert got == wanted
 
 
-@pytest.mark.parametrize("hot_rows", [NEVER_HOT, SOME_HOT, ALL_HOT])
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
-def test_lookup_join_equals_join(spark, how, hot_rows):
+def test_lookup_join_equals_join(spark, how):
     rows = spark.createDataFrame([(u, t) for u, _, t in crowd(2)], "user string, t long")
     table = spark.createDataFrame([("big", 1), ("u1", 2), ("u2", 3), ("absent", 4)], "user string, x int")
-    got = lookup_join(rows, table, ["user"], how, hot_rows=hot_rows)
+    got = lookup_join(rows.repartition(5), table, ["user"], how)
     wanted = rows.join(table, "user", how)
     assert got.columns == wanted.columns
     assert Counter(map(tuple, got.collect())) == Counter(map(tuple, wanted.collect()))
 
 
-def test_hot_keys(spark):
-    rows = spark.createDataFrame([("a",)] * 9 + [("b",)] * 3 + [("c",)], "user string")
-    assert [r[0] for r in hot_keys(rows, ["user"], 2).collect()] == ["a", "b"]
-    assert hot_keys(rows, ["user"], 9).count() == 0
-
-
 def brute_pairs(rows, hours, strict=False):
     saves, withdrawals, counts = defaultdict(list), defaultdict(list), Counter()
     for user, kind, amount, t in rows:
@@ -109,8 +101,7 @@ def test_pair_cases(payments, withdrawn, hours, expected):
 
 
 @pytest.mark.parametrize("strict", [False, True])
-@pytest.mark.parametrize("hot_rows", [NEVER_HOT, SOME_HOT, ALL_HOT])
-def test_pairs_equal_brute_force(payments, hot_rows, strict):
+def test_pairs_equal_brute_force(payments, strict):
     rng = random.Random(3)
     amount = lambda: rng.choice([0, 0.0001, 0.0007, 1, 100, 100 * rng.uniform(0.9, 1.05), 10 ** rng.uniform(-4, 7)])
     rows = [
@@ -119,7 +110,7 @@ def test_pairs_equal_brute_force(payments, hot_rows, strict):
     ]
     df = payments(rows)
     cases = [Case("a", 48, F.lit(True)), Case("b", 6, F.col("time_transaction_occurred") > 50 * HOUR)]
-    got = {(r["user_id"], r["case"]): r["pairs"] for r in matching_pairs(df, cases, strict, hot_rows=hot_rows).collect()}
+    got = {(r["user_id"], r["case"]): r["pairs"] for r in matching_pairs(df, cases, strict).collect()}
     late = [r for r in rows if r[3] > 50 * HOUR]
     wanted = {(u, "a"): n for u, n in brute_pairs(rows, 48, strict).items()}
     wanted |= {(u, "b"): n for u, n in brute_pairs(late, 6, strict).items()}
@@ -172,8 +163,7 @@ def test_first_and_last_skip_nulls(spark):
     assert tuple(columns.last_per_group(df, ["k"], "t").first()) == ("g", 3, "b", 7)
 
 
-@pytest.mark.parametrize("hot_rows", [NEVER_HOT, ALL_HOT])
-def test_group_size(spark, hot_rows):
+def test_group_size(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "k string, t int")
-    got = sorted(tuple(r) for r in columns.with_group_size(df, ["k"], hot_rows=hot_rows).collect())
+    got = sorted(tuple(r) for r in columns.with_group_size(df, ["k"]).collect())
     assert got == [("a", 1, 2), ("a", 2, 2), ("b", 3, 1)]

@@ -157,9 +157,8 @@ MOVES = (
 )
 
 
-@pytest.mark.parametrize("hot_rows", [10**9, 3, 0])
-def test_rules(spark, payments, hot_rows):
-    got = labels(facts_of(spark, payments, MOVES, hot_rows=hot_rows))
+def test_rules(spark, payments):
+    got = labels(facts_of(spark, payments, MOVES))
     assert got == {
         ("huge", C.RULE_VERY_LARGE),
         # no save in six months: the average is 0 and any earlier save is above it
@@ -172,8 +171,7 @@ def test_rules(spark, payments, hot_rows):
     }
 
 
-@pytest.mark.parametrize("hot_rows", [10**9, 0])
-def test_cutoffs_are_per_user_and_rule(spark, payments, hot_rows):
+def test_cutoffs_are_per_user_and_rule(spark, payments):
     flags = [
         ("huge", C.RULE_VERY_LARGE, TODAY - 300 * DAY),  # not strictly after: no longer counted
         ("three", C.RULE_SEVERAL_LARGE, TODAY - 3 * DAY),
@@ -181,7 +179,7 @@ def test_cutoffs_are_per_user_and_rule(spark, payments, hot_rows):
         ("quick", C.RULE_TWO_DAYS, TODAY - 5 * DAY),
         ("jump", C.RULE_VERY_LARGE, TODAY),  # another rule's flag
     ]
-    got = labels(facts_of(spark, payments, MOVES, flags, hot_rows=hot_rows))
+    got = labels(facts_of(spark, payments, MOVES, flags))
     assert got == {
         ("huge", C.RULE_ABOVE_AVERAGE),
         ("three", C.NOT_FLAGGED),
@@ -309,9 +307,11 @@ def test_busiest_pairs(events):
     assert [tuple(r) for r in got] == [("a", 6), ("b", 5)]
 
 
-def test_hot_users_get_the_same_rows(events):
+def test_cells_do_not_change_the_rows(events, monkeypatch):
     import random
 
+    from pennyflow.operators import timeline
+
     rng = random.Random(5)
     log = []
     for u in "abcd":
@@ -320,7 +320,8 @@ def test_hot_users_get_the_same_rows(events):
         log += log_of(u, [(t(), f"b{rng.randrange(3)}", rng.randrange(9)) for _ in range(n)], [t() for _ in range(n)], [t() for _ in range(n // 4)])
     ev = events(log)
     plain = rows(boosts.boost_training_set(ev, top_users=0))
-    assert plain and plain == rows(boosts.boost_training_set(ev, top_users=0, hot_rows=30))
+    monkeypatch.setattr(timeline, "CELL_MS", 40 * DAY)
+    assert plain and plain == rows(boosts.boost_training_set(ev, top_users=0))
 
 
 def test_scoring_input(spark, events, payments):
