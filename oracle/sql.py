@@ -19,21 +19,29 @@ def days(first: str, last: str) -> str:
     return f"BETWEEN {ms(first)} AND {ms(last) + DAY - 1000}"
 
 
+def event_type() -> str:
+    """How the test table's kinds map to event types."""
+    return """CASE WHEN kind = 'signup' THEN 'USER_CREATED_ACCOUNT' WHEN kind = 'purchase' THEN 'SAVING_PAYMENT_SUCCESSFUL'
+         WHEN kind = 'error' THEN 'ADMIN_SETTLED_WITHDRAWAL'
+         WHEN kind = 'view' AND k % 2 = 0 THEN 'USER_OPENED_APP'
+         WHEN kind = 'view' AND k < 54 THEN ['USER_ENTERED_INTRO', 'USER_ENTERED_REFERRAL_SCREEN',
+           'USER_ENTERED_VALID_REFERRAL_CODE', 'USER_PROFILE_REGISTER_SUCCEEDED', 'USER_PROFILE_PASSWORD_SUCCEEDED',
+           'USER_INITIATED_FIRST_ADD_CASH', 'USER_LEFT_APP_AT_PAYMENT_LINK', 'USER_RETURNED_TO_PAYMENT_LINK',
+           'PAYMENT_SUCCEEDED'][(k // 2) % 9 + 1]
+         WHEN kind = 'view' THEN 'USER_INITIATED_ADD_CASH'
+         WHEN k % 4 = 0 THEN 'BOOST_CREATED' WHEN k % 4 = 1 THEN 'BOOST_REDEEMED'
+         WHEN k % 4 = 2 THEN 'BOOST_EXPIRED' ELSE 'MESSAGE_SENT' END"""
+
+
 # --- the test tables as event log, money movements and flags -------------------------------
 BASE = f"""
 raw AS (
   SELECT event_id, cast(user_id AS varchar) AS user_id, event_type AS kind, value,
-         cast(json_extract(props, '$.k') AS int) AS k, epoch_us(ts) // 1000 AS t
+         cast(json_extract(props, '$.k') AS int) AS k, epoch_us(ts) // 1000 AS t, ts
   FROM events),
 ev AS (
   SELECT user_id,
-    CASE WHEN kind = 'signup' THEN 'USER_CREATED_ACCOUNT'
-         WHEN kind = 'purchase' THEN 'SAVING_PAYMENT_SUCCESSFUL'
-         WHEN kind = 'error' THEN 'ADMIN_SETTLED_WITHDRAWAL'
-         WHEN kind = 'view' AND k % 2 = 0 THEN 'USER_OPENED_APP'
-         WHEN kind = 'view' THEN 'USER_INITIATED_ADD_CASH'
-         WHEN k % 4 = 0 THEN 'BOOST_CREATED' WHEN k % 4 = 1 THEN 'BOOST_REDEEMED'
-         WHEN k % 4 = 2 THEN 'BOOST_EXPIRED' ELSE 'MESSAGE_SENT' END AS event_type,
+    {event_type()} AS event_type,
     t, CASE WHEN kind = 'view' OR event_id % 5 = 0 THEN 'AMPLITUDE' ELSE 'INTERNAL_SERVICES' END AS source,
     t + (event_id % 7) * 60000 AS c,
     CASE WHEN kind = 'click' AND k % 4 < 3 THEN
@@ -118,11 +126,21 @@ SQL["drop_off_counts"] = q(
         for i, (a, b) in enumerate(CHAIN)
     )
 )
+STAGES = [
+    ("USER_INITIATED_FIRST_ADD_CASH", "USER_LEFT_APP_AT_PAYMENT_LINK"),
+    ("USER_INITIATED_ADD_CASH", "USER_LEFT_APP_AT_PAYMENT_LINK"),
+    ("USER_LEFT_APP_AT_PAYMENT_LINK", "USER_RETURNED_TO_PAYMENT_LINK"),
+    ("USER_RETURNED_TO_PAYMENT_LINK", "PAYMENT_SUCCEEDED"),
+    ("USER_ENTERED_REFERRAL_SCREEN", "USER_ENTERED_VALID_REFERRAL_CODE"),
+    ("USER_ENTERED_VALID_REFERRAL_CODE", "USER_PROFILE_REGISTER_SUCCEEDED"),
+    ("USER_PROFILE_REGISTER_SUCCEEDED", "USER_PROFILE_PASSWORD_SUCCEEDED"),
+    ("USER_PROFILE_PASSWORD_SUCCEEDED", "USER_INITIATED_FIRST_ADD_CASH"),
+]
 SQL["drop_off_by_stage"] = q(
     " UNION ALL ".join(
         f"SELECT {i} AS position, '{a}' AS step, '{b}' AS next_steps, count(*) AS drop_offs "
         f"FROM ({drop_off(a, repr(b), '2024-01-02', '2024-01-02')})"
-        for i, (a, b) in enumerate(CHAIN)
+        for i, (a, b) in enumerate(STAGES)
     )
 )
 SQL["drop_off_daily_avg"] = q(
@@ -349,6 +367,56 @@ SQL["fraud_flags"] = q(
     ),
     FACTS,
 )
+
+
+def _period(i: int, first: str, stop: str) -> list[str]:
+    """The flags given after the i-th batch of payments: its users' whole history, cut off by the flags of earlier batches."""
+    day = "strftime(make_timestamp(c * 1000), '%Y-%m-%d')"
+    given = " UNION ALL ".join(f"SELECT * FROM given{n}" for n in range(i)) or (
+        "SELECT '' AS user_id, '' AS account_id, '' AS rule_label, '' AS reason, 0 AS created_at WHERE false"
+    )
+    since = lambda days: f"(SELECT today - {days * DAY} FROM now{i})"
+    cut = lambda label, u="u": (
+        f"{u}.t > coalesce((SELECT cut FROM cuts{i} f WHERE f.user_id = {u}.user_id AND f.rule_label = '{label}'), {NEVER})"
+    )
+    pairs = lambda hours, days, label: (
+        f"(SELECT count(*) FROM known{i} w JOIN known{i} s ON w.user_id = s.user_id WHERE w.user_id = u.user_id "
+        f"AND w.tx = 'WITHDRAWAL' AND s.tx = 'SAVING_EVENT' AND s.amount * 0.95::double <= w.amount AND w.amount <= s.amount "
+        f"AND w.t - s.t <= {hours * HOUR} AND w.t >= {since(days)} AND s.t >= {since(days)} AND {cut(label, 'w')} AND {cut(label, 's')})"
+    )
+    labels = [label for _, label, _ in _RULES]
+    return [
+        f"batch{i} AS (SELECT * FROM ub WHERE {day} >= '{first}' AND {day} < '{stop}')",
+        f"now{i} AS (SELECT max(c) AS now, max(c) // {DAY} * {DAY} AS today FROM batch{i})",
+        f"known{i} AS (SELECT * FROM ub WHERE {day} < '{stop}' AND user_id IN (SELECT user_id FROM batch{i}))",
+        f"cuts{i} AS (SELECT user_id, rule_label, max(created_at) AS cut FROM ({given}) GROUP BY user_id, rule_label)",
+        f"""marked{i} AS (SELECT *, {cut(labels[0])} AS after1, {cut(labels[1])} AS after2, {cut(labels[2])} AS after3,
+  u.t >= {since(182)} AS half FROM known{i} u)""",
+        f"""facts{i} AS (SELECT u.user_id, max(account_id) AS account_id,
+    count(*) FILTER (tx = 'SAVING_EVENT' AND amount > 1000000000 AND after1) AS saves_above_100k,
+    count(*) FILTER (tx = 'SAVING_EVENT' AND amount > 500000000 AND after2 AND half) AS saves_above_50k_6m,
+    coalesce(arg_max(amount, u.t::hugeint * 1000000000000 + amount) FILTER (tx = 'SAVING_EVENT' AND after3), 0) / 10000.0 AS latest_save,
+    coalesce(avg(amount) FILTER (tx = 'SAVING_EVENT' AND after3 AND half), 0) / 10000.0 * 10 AS average_save_6m_x10,
+    {pairs(48, 30, TWO_DAYS)} AS within_48h_30d, {pairs(24, 7, ONE_DAY)} AS within_24h_7d
+  FROM marked{i} u GROUP BY u.user_id)""",
+        f"given{i} AS ("
+        + " UNION ALL ".join(
+            f"SELECT user_id, account_id, '{label}' AS rule_label, '{reason}' AS reason, (SELECT now FROM now{i}) AS created_at "
+            f"FROM facts{i} WHERE {cond}"
+            for cond, label, reason in _RULES
+            + [(_NONE, "user_not_flagged", "User was not flagged by any of the rules")]
+        )
+        + ")",
+    ]
+
+
+SQL["fraud_stream"] = q(
+    "SELECT user_id, account_id, rule_label, reason, 'PENDING_CONFIRMATION' AS accuracy, created_at, created_at AS updated_at "
+    "FROM (SELECT * FROM given0 UNION ALL SELECT * FROM given1 UNION ALL SELECT * FROM given2)",
+    *_period(0, "0000-00-00", "2024-01-11"),
+    *_period(1, "2024-01-11", "2024-01-21"),
+    *_period(2, "2024-01-21", "9999-99-99"),
+)
 SQL["flags_for_user"] = q("SELECT user_id, account_id, rule_label, created_at FROM fl WHERE user_id = '3' AND account_id = 'acc-3'")
 
 # --- cohorts -------------------------------------------------------------------------------
@@ -561,10 +629,7 @@ HMAC = f"sha256({_pad(0x5C)} || unhex(sha256({_pad(0x36)} || encode('{SECRET}_'
 NOTES = f"""notes AS (SELECT user_id, event_type, t AS time_transaction_occurred, context,
   CASE WHEN value >= 5 THEN {HMAC} ELSE 'forged' END AS hash, {HMAC} AS expected FROM (
   SELECT user_id, t, value, CASE WHEN kind = 'purchase' THEN '{{"accountId":"acc-' || user_id || '"}}' ELSE '' END AS context,
-    CASE WHEN kind = 'signup' THEN 'USER_CREATED_ACCOUNT' WHEN kind = 'purchase' THEN 'SAVING_PAYMENT_SUCCESSFUL'
-         WHEN kind = 'error' THEN 'ADMIN_SETTLED_WITHDRAWAL' WHEN kind = 'view' AND k % 2 = 0 THEN 'USER_OPENED_APP'
-         WHEN kind = 'view' THEN 'USER_INITIATED_ADD_CASH' WHEN k % 4 = 0 THEN 'BOOST_CREATED'
-         WHEN k % 4 = 1 THEN 'BOOST_REDEEMED' WHEN k % 4 = 2 THEN 'BOOST_EXPIRED' ELSE 'MESSAGE_SENT' END AS event_type
+    {event_type()} AS event_type
   FROM raw))"""
 SQL["normalise_sns"] = q("SELECT user_id, event_type, time_transaction_occurred, context FROM notes", NOTES)
 SQL["verify_signature"] = q(
@@ -588,14 +653,38 @@ SQL["behaviour_stream"] = q(MOVED, PAYMENTS)
 SQL["rejected_payments"] = q(
     "SELECT reject_reason, count(*) AS rows FROM pay WHERE reject_reason IS NOT NULL GROUP BY reject_reason", PAYMENTS
 )
-EXPORT = f"""ex AS (SELECT *, CASE WHEN k % 11 IN (0, 1) THEN (100000 + user_id::bigint)::varchar ELSE user_id END AS uid,
-  CASE WHEN k % 4 = 0 THEN t // 1000 * 1000 ELSE t END AS at_ms FROM raw)"""
-SQL["flatten_export"] = q(
-    f"""SELECT uid AS user_id, at_ms AS time_transaction_occurred, 'AMPLITUDE' AS source_of_event, {NOW} AS created_at,
-  uid AS context_user_id, 'i-' || event_id AS insert_id, CASE WHEN k % 3 <> 0 THEN 'Cape Town' END AS city,
-  CASE WHEN k % 2 = 0 THEN 'true' ELSE 'false' END AS paying, k::varchar AS property_k,
-  CASE WHEN k % 2 = 0 THEN 'True' ELSE 'False' END AS property_even, kind AS property_kind, 'user_properties' AS last_property
-FROM ex WHERE k NOT IN (50, 51, 52)""",
+EXPORT = f"""ex AS (SELECT *, {event_type()} AS event_type,
+  CASE WHEN k % 11 IN (0, 1) THEN (100000 + user_id::bigint)::varchar ELSE user_id END AS uid,
+  CASE WHEN k % 4 = 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S') ELSE strftime(ts, '%Y-%m-%d %H:%M:%S.%f') END AS told,
+  CASE WHEN k % 4 = 0 THEN t // 1000 * 1000 ELSE t END AS at_ms FROM raw WHERE k NOT IN (50, 51, 52))"""
+_GIVEN = {
+    "client_event_time": "told",
+    "insert_id": "'i-' || event_id",
+    "app": "CASE WHEN k % 7 = 4 THEN '240' ELSE '240000' END",
+    "user_id": "uid",
+    "city": "CASE WHEN k % 3 <> 0 THEN 'Cape Town' END",
+    "event_type": "event_type",
+    "paying": "CASE WHEN k % 2 = 0 THEN 'true' ELSE 'false' END",
+    "amplitude_id": "(100000 + user_id::bigint)::varchar",
+    "is_attribution_event": "'false'",
+    "location_lat": "value",
+    "session_id": "CASE WHEN k % 7 <> 3 THEN event_id::varchar END",
+    "reference_time": "told",
+}
+_CONTEXT = (
+    "client_event_time ip_address library dma user_creation_time insert_id schema client_upload_time app user_id city "
+    "event_type device_carrier location_lat event_time platform is_attribution_event os_version paying amplitude_id "
+    "device_type sample_rate device_manufacturer start_version uuid version_name location_lng server_upload_time event_id "
+    "device_id device_family os_name adid amplitude_event_type device_brand country device_model language region "
+    "session_id idfa reference_time"
+).split()
+SQL["flatten_export"] = SQL["export_files"] = q(
+    f"""SELECT uid AS user_id, event_type, at_ms AS time_transaction_occurred, 'AMPLITUDE' AS source_of_event,
+  {NOW} AS created_at, {NOW} AS updated_at, {", ".join(f"{_GIVEN.get(n, 'NULL')} AS c_{n}" for n in _CONTEXT)},
+  concat_ws(',', 'event_properties:i-' || event_id || ':k:' || k,
+    'event_properties:i-' || event_id || ':even:' || CASE WHEN k % 2 = 0 THEN 'True' ELSE 'False' END,
+    'event_properties:i-' || event_id || ':kind:' || kind) AS properties,
+  'user_properties:i-' || event_id || ':value' AS last_property, value AS last_value, 4 AS n_properties FROM ex""",
     EXPORT,
 )
 SQL["bad_export_lines"] = q("SELECT count(*) AS rows FROM raw WHERE k IN (50, 51, 52)")
@@ -619,7 +708,7 @@ for _name, _order in (("first_per_group", "ASC"), ("last_per_group", "DESC")):
 
 # --- tables and files ----------------------------------------------------------------------
 LOG = "user_id, event_type, t AS time_transaction_occurred, source AS source_of_event, c AS created_at, c AS updated_at, context"
-SQL["read_events"] = q(f"SELECT {LOG} FROM ev WHERE t {WEEK}")
+SQL["read_events"] = q(f"SELECT {LOG} FROM ev")
 # a CSV does not tell an empty context from a missing one
 SQL["read_events_csv"] = q("SELECT " + LOG.replace("context", "nullif(context, '') AS context") + " FROM ev")
 SQL["read_behaviour"] = q(
@@ -630,27 +719,27 @@ SQL["read_flags"] = q(
     "SELECT user_id, account_id, rule_label, 'earlier payment' AS reason, 'PENDING_CONFIRMATION' AS accuracy, created_at, "
     "created_at AS updated_at FROM fl"
 )
-SQL["export_files"] = q(
-    f"""SELECT uid AS user_id, CASE WHEN kind = 'signup' THEN 'USER_CREATED_ACCOUNT' WHEN kind = 'purchase' THEN 'SAVING_PAYMENT_SUCCESSFUL'
-  WHEN kind = 'error' THEN 'ADMIN_SETTLED_WITHDRAWAL' WHEN kind = 'view' AND k % 2 = 0 THEN 'USER_OPENED_APP'
-  WHEN kind = 'view' THEN 'USER_INITIATED_ADD_CASH' WHEN k % 4 = 0 THEN 'BOOST_CREATED' WHEN k % 4 = 1 THEN 'BOOST_REDEEMED'
-  WHEN k % 4 = 2 THEN 'BOOST_EXPIRED' ELSE 'MESSAGE_SENT' END AS event_type, at_ms AS time_transaction_occurred,
-  'AMPLITUDE' AS source_of_event, {NOW} AS created_at, {NOW} AS updated_at FROM ex WHERE k NOT IN (50, 51, 52)""",
-    EXPORT,
-)
 SQL["write_features_csv"] = SQL["boost_dataset"]
 SQL["dummies"] = q(
-    "SELECT boost_type || '::' || boost_category AS boost_type_category, "
-    "row_number() OVER (ORDER BY count(*) DESC, boost_type || '::' || boost_category) - 1 AS \"column\" FROM offers GROUP BY 1"
+    "SELECT user_id, boost_id, c AS boost_type_category, "
+    + ", ".join(
+        f"(c = '{v}')::int AS \"boost_type_category_{v}\""
+        for v in ("GAME::TAP_SCREEN", "SIMPLE::SIMPLE_SAVE", "SOCIAL::NUMBER_FRIENDS")
+    )
+    + " FROM (SELECT *, boost_type || '::' || boost_category AS c FROM offers) x(user_id, t, own, context, boost_id, a, b, amount, rid, c)"
 )
-SQL["evaluate"] = q(
-    """SELECT n AS rows, tp + fn AS positives, round(coalesce(tp / nullif(tp + fp, 0)::double, 0), 6) AS precision,
+SCORES = """SELECT n AS rows, tp + fn AS positives, round(coalesce(tp / nullif(tp + fp, 0)::double, 0), 6) AS precision,
   round(coalesce(tp / nullif(tp + fn, 0)::double, 0), 6) AS recall, round(f1, 6) AS f_score, round((tp + tn) / n::double, 6) AS accuracy,
   round((f1 + f0) / 2, 6) AS macro_f1, round(auc, 6) AS roc_auc
 FROM (SELECT *, coalesce(2 * tp / nullif(2 * tp + fp + fn, 0)::double, 0) AS f1, coalesce(2 * tn / nullif(2 * tn + fp + fn, 0)::double, 0) AS f0
   FROM (SELECT count(*) AS n, count(*) FILTER (y AND p) AS tp, count(*) FILTER (NOT y AND p) AS fp,
           count(*) FILTER (y AND NOT p) AS fn, count(*) FILTER (NOT y AND NOT p) AS tn FROM guess)),
-  (SELECT avg(CASE WHEN a.s > b.s THEN 1.0 WHEN a.s = b.s THEN 0.5 ELSE 0 END) AS auc FROM guess a JOIN guess b ON a.y AND NOT b.y)""",
+  (SELECT avg(CASE WHEN a.s > b.s THEN 1.0 WHEN a.s = b.s THEN 0.5 ELSE 0 END) AS auc FROM guess a JOIN guess b ON a.y AND NOT b.y)"""
+SQL["evaluate"] = q(
+    SCORES,
     *TRAIN,
     f"guess AS (SELECT boost_prior_saves AS s, boost_prior_saves > 5 AS p, is_save_within_day AS y FROM (SELECT {_TRAIN_COLS} {_TRAIN_FROM}))",
 )
+SQL["evaluate_payments"] = q(
+    SCORES, "guess AS (SELECT amount AS s, amount > 100000000 AS p, tx = 'SAVING_EVENT' AS y FROM ub)"
+)

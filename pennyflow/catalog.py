@@ -8,11 +8,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import wraps
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pennyflow import constants as C
+from pennyflow import schemas as S
+from pennyflow.functions.plans import once
 from pennyflow.functions.signature import signature_holds
 from pennyflow.operators import columns, filters, ingest
 from pennyflow.plans import boosts, cohorts, fraud, funnel, metrics, ml
@@ -88,7 +89,8 @@ on_events(
         ev, CHAIN, funnel.default_window(FUNNEL_AS_OF), FUNNEL_AS_OF, recovery_mode="intent"
     ),
 )
-on_events("drop_off_by_stage", lambda ev: funnel.drop_off_by_stage(ev, CHAIN, "2024-01-02"))
+STAGES = funnel.Step.pairs((*C.SAVING_STAGES, *C.ONBOARDING_STAGES))
+on_events("drop_off_by_stage", lambda ev: funnel.drop_off_by_stage(ev, STAGES, "2024-01-02"))
 on_events("drop_off_daily_avg", lambda ev: funnel.drop_off_daily_avg(ev, CHAIN, FUNNEL_AS_OF, 3))
 
 # --- metrics -----------------------------------------------------------------------------
@@ -274,31 +276,38 @@ def _verified(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-FLATTENED = (
-    "user_id string, insert_id string, city string, paying string, "
-    "event_properties array<struct<property_type: string, value: string>>"
+CONTEXT_NAMES = [n.lstrip("$") for n in S.EXPORT_FIELDS] + ["reference_time"]
+FLATTENED = ", ".join(f"`{n}` string" for n in CONTEXT_NAMES) + (
+    ", event_properties array<struct<property_type: string, insert_id: string, key: string, value: string>>"
 )
 
 
-def _flattened(spark: SparkSession, folder: str) -> DataFrame:
-    rows = ingest.flatten_export(ingest.parse_export(mapped.export_lines(spark, folder)), INGEST_NOW)
+def _opened(rows: DataFrame) -> DataFrame:
+    """Export rows with every member of the context in a column of its own."""
+    as_number = lambda n: F.col(f"ctx.{n}").cast("double") if n == "location_lat" else F.col(f"ctx.{n}")
     properties = F.col("ctx.event_properties")
-    return rows.withColumn("ctx", F.from_json("context", FLATTENED)).select(
+    told = F.transform(
+        F.slice(properties, 1, 3), lambda p: F.concat_ws(":", p["property_type"], p["insert_id"], p["key"], p["value"])
+    )
+    return rows.withColumn("ctx", once(F.from_json("context", FLATTENED))).select(
         "user_id",
+        "event_type",
         _T,
         "source_of_event",
         "created_at",
-        F.col("ctx.user_id").alias("context_user_id"),
-        "ctx.insert_id",
-        "ctx.city",
-        "ctx.paying",
-        properties[0]["value"].alias("property_k"),
-        properties[1]["value"].alias("property_even"),
-        properties[2]["value"].alias("property_kind"),
-        properties[3]["property_type"].alias("last_property"),
+        "updated_at",
+        *[as_number(n).alias(f"c_{n}") for n in CONTEXT_NAMES],
+        F.array_join(told, ",").alias("properties"),
+        F.concat_ws(":", properties[3]["property_type"], properties[3]["insert_id"], properties[3]["key"]).alias("last_property"),
+        properties[3]["value"].cast("double").alias("last_value"),
+        F.size(properties).alias("n_properties"),
     )
 
 
+def _flattened(spark: SparkSession, folder: str) -> DataFrame:
+    return _opened(ingest.flatten_export(ingest.parse_export(mapped.export_lines(spark, folder)), INGEST_NOW))
+
+
 register("normalise_sns", lambda spark, d: ingest.normalise_notification(_notes(spark, d)))
 register("verify_signature", _verified)
 on_events(
@@ -378,22 +387,32 @@ register("feature_importance", _importance)
 register("score_users", _scores)
 
 # --- tables and files --------------------------------------------------------------------
-MOST_BAD_LINES = 10**9  # the made-up export has a fixed share of bad lines
-register("read_events", lambda spark, d: filters.within(round_trips.event_table(spark, d), LAST_WEEK).drop("event_date"))
+register("read_events", lambda spark, d: round_trips.event_table(spark, d).drop("event_date"))
 register("read_behaviour", lambda spark, d: round_trips.behaviour_table(spark, d).drop("event_date"))
 register("read_flags", round_trips.flag_table)
 register("read_events_csv", round_trips.csv_log)
 register(
     "export_files",
-    lambda spark, d: round_trips.export_files(spark, d, INGEST_NOW, MOST_BAD_LINES).drop("context"),
+    # the made-up export has a fixed share of bad lines, so none of them refuses the load
+    lambda spark, d: _opened(round_trips.export_files(spark, d, INGEST_NOW, None)),
 )
 register("write_features_csv", lambda spark, d: round_trips.feature_files(spark, d, FRAUD_AS_OF))
 
 
 def _dummies(spark: SparkSession, folder: str) -> DataFrame:
-    offers = boosts.boost_fields(mapped.event_log(spark, folder)).select("boost_type_category")
-    column = F.array_position(vector_to_array("boost_type_category_vec"), 1.0) - 1
-    return ml.dummies(offers, "boost_type_category").groupBy("boost_type_category").agg(F.max(column).alias("column"))
+    offers = boosts.boost_fields(mapped.event_log(spark, folder)).select("user_id", "boost_id", "boost_type_category")
+    return ml.dummies(offers, "boost_type_category")
+
+
+def _amount_scores(payments: DataFrame) -> DataFrame:
+    """How well the amount tells savings from withdrawals; nearly every payment has a score of its own."""
+    amount = F.col("amount")
+    rows = payments.select(
+        (F.col("transaction_type") == C.SAVING).cast("double").alias(ml.LABEL),
+        (amount > 100_000_000).cast("double").alias("prediction"),
+        amount.cast("double").alias("score"),
+    )
+    return ml.evaluate(rows, "score")
 
 
 def _rule_scores(spark: SparkSession, folder: str) -> DataFrame:
@@ -406,3 +425,4 @@ def _rule_scores(spark: SparkSession, folder: str) -> DataFrame:
 
 register("dummies", _dummies)
 register("evaluate", _rule_scores)
+on_payments("evaluate_payments", _amount_scores)

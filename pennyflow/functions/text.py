@@ -9,8 +9,8 @@ def null_token(value: Column) -> Column:
     return F.nullif(value, F.lit("null"))
 
 
-def default_false(value: Column) -> Column:
-    return F.coalesce(value, F.lit(False))
+def default_false(value: Column, no: Column | None = None) -> Column:
+    return F.coalesce(value, F.lit(False) if no is None else no)
 
 
 def fallback_user_id(user_id: Column, device_user: Column) -> Column:

@@ -135,23 +135,26 @@ def rejected_payments(events: DataFrame) -> DataFrame:
 
 
 def parse_export(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Text lines to export fields; an unreadable line keeps its text in the bad-record column."""
+    """Text lines to export fields; a line that is no JSON object keeps its text as a bad record.
+
+    Every field is read as a variant, so no line is lost for a text where a number is usual. A property
+    map that is none is read as missing. The parser reports such lines, and broken ones; only those are
+    looked at again.
+    """
     options = {"columnNameOfCorruptRecord": S.BAD_RECORD, "mode": "PERMISSIVE"}
-    maps = T.StructType(
-        [T.StructField(n, T.MapType(T.StringType(), T.VariantType())) for n in S.EXPORT_PROPERTY_MAPS]
-    )
-    # the property maps are read as variants, which tell a truth value from a text
-    both = F.struct(F.from_json(column, S.EXPORT_LINE, options).alias("line"), F.from_json(column, maps).alias("maps"))
-    parsed = lines.select(F.col(column).alias("_text"), once(both).alias("p"))
-    blank = F.trim("_text").isin("", "null")
-    line = F.col("p.line")
-    return parsed.select(
-        *[line.getField(n).alias(n) for n in S.EXPORT_FIELDS],
-        F.coalesce(
-            line.getField(S.BAD_RECORD), F.when(blank | line.isNull(), F.col("_text"))
-        ).alias(S.BAD_RECORD),
-        F.col("p.maps").alias("_maps"),
-    )
+    parsed = lines.select(F.col(column).alias("_text"), once(F.from_json(column, S.EXPORT_LINE, options)).alias("line"))
+    reported = F.col("line").isNull() | F.col("line").getField(S.BAD_RECORD).isNotNull() | F.trim("_text").isin("", "null")
+    is_object = F.coalesce(F.schema_of_variant(F.try_parse_json("_text")).startswith("OBJECT"), F.lit(False))
+    return parsed.select("line", F.when(reported, F.when(~is_object, F.col("_text"))).alias(S.BAD_RECORD))
+
+
+def _field(name: str) -> Column:
+    """A field's value as it came; null for JSON's null and for the text 'null'."""
+    return F.when(_text(name).isNotNull(), F.col("line").getField(name))
+
+
+def _text(name: str) -> Column:
+    return null_token(F.try_variant_get(F.col("line").getField(name), "$", "string"))
 
 
 def collect_properties() -> Column:
@@ -163,35 +166,28 @@ def collect_properties() -> Column:
             text = F.initcap(F.try_variant_get(e["value"], "$", "string")).cast("variant")
             return F.struct(
                 F.lit(name).alias("property_type"),
-                null_token(F.col("$insert_id")).alias("insert_id"),
+                _text("$insert_id").alias("insert_id"),
                 null_token(e["key"]).alias("key"),
                 F.when(is_bool, text).otherwise(e["value"]).alias("value"),
             )
 
-        return F.transform(F.map_entries(F.col("_maps").getField(name)), item)
+        return F.transform(F.map_entries(F.col("line").getField(name)), item)
 
     lists = [entries(n) for n in S.EXPORT_PROPERTY_MAPS]
     return F.flatten(F.array_compact(F.array(*lists)))
 
 
+def _user_id() -> Column:
+    return null_token(fallback_user_id(_text("user_id"), _text("amplitude_id")))
+
+
 def export_context() -> Column:
     """The context object: the export's fields in their order, then the reference time and the
     properties. Nulls are kept."""
-    kinds = {f.name: f.dataType for f in S.EXPORT_LINE}
-
-    def field(name: str) -> Column:
-        value = F.col(f"`{name}`")
-        if name == "user_id":
-            value = null_token(fallback_user_id(value, F.col("amplitude_id")))
-        elif name == "paying":
-            value = default_false(value)
-        elif isinstance(kinds[name], T.StringType):
-            value = null_token(value)
-        return value.alias(name.lstrip("$"))
-
+    special = {"user_id": _user_id(), "paying": default_false(_field("paying"), F.lit(False).cast("variant"))}
     return F.struct(
-        *[field(n) for n in S.EXPORT_FIELDS],
-        null_token(F.col("client_event_time")).alias("reference_time"),
+        *[special.get(n, _field(n)).alias(n.lstrip("$")) for n in S.EXPORT_FIELDS],
+        _text("client_event_time").alias("reference_time"),
         collect_properties().alias("event_properties"),
     )
 
@@ -200,9 +196,9 @@ def flatten_export(parsed: DataFrame, now_ms: int) -> DataFrame:
     """Parsed export lines to rows of the event table; bad records are left out here."""
     good = parsed.where(F.col(S.BAD_RECORD).isNull())
     rows = good.select(
-        null_token(fallback_user_id(F.col("user_id"), F.col("amplitude_id"))).alias("user_id"),
-        null_token(F.col("event_type")).alias("event_type"),
-        parse_client_time(null_token(F.col("client_event_time"))).alias("time_transaction_occurred"),
+        _user_id().alias("user_id"),
+        _text("event_type").alias("event_type"),
+        parse_client_time(_text("client_event_time")).alias("time_transaction_occurred"),
         F.to_json(export_context(), {"ignoreNullFields": "false"}).alias("context"),
     )
     return stamp_events(rows, C.APP_SOURCE, now_ms)

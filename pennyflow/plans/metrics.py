@@ -202,9 +202,10 @@ def users_offered_boosts(
     expired offer with it up to ``as_of``.
 
     ``literal`` finds the id anywhere in the context text, so ``b1`` also counts ``b12``; ``key``
-    compares the offer's own id. To find ids in texts without comparing every text to every id, a
-    text is cut into its distinct pieces of the lengths the ids have, and pieces join ids by
-    equality.
+    compares the offer's own id. To find ids in texts without comparing every text to every id, each
+    distinct text is cut once into its pieces of the lengths the ids have, and pieces join ids by
+    equality; the users come to the texts that hold an id. Users are made distinct per id by id and
+    user, so an offer made to everybody is spread over all tasks.
     """
     listed = ids.where(F.col("boost_id").isNotNull()).groupBy("boost_id")
     listed = listed.agg(F.count(F.lit(1)).alias("times"))
@@ -218,21 +219,18 @@ def users_offered_boosts(
         size = F.col("size")
         starts = F.sequence(F.lit(1), F.length("context") - size + 1)
         pieces = F.array_distinct(F.transform(starts, lambda p: F.substring(F.col("context"), p, size)))
-        found = (
-            expired.select(USER, "context")
+        cut = (
+            expired.select("context")
             .distinct()
             .withColumn("size", F.explode(lengths))
             .where((size > 0) & (F.length("context") >= size))
-            .select(USER, F.explode(pieces).alias("boost_id"))
+            .select("context", F.explode(pieces).alias("boost_id"))
         )
+        holding = cut.join(listed.select("boost_id"), "boost_id", "left_semi")
+        found = expired.select(USER, "context").join(holding, "context").select(USER, "boost_id")
     else:
         raise ValueError(f"match must be 'literal' or 'key', not {match!r}")
-    users = (
-        found.join(listed, "boost_id", "left_semi")
-        .distinct()
-        .groupBy("boost_id")
-        .agg(F.count(F.lit(1)).alias("users"))
-    )
+    users = found.distinct().groupBy("boost_id").agg(F.count(F.lit(1)).alias("users"))
     return listed.join(users, "boost_id", "left").select(
         "boost_id", "times", F.coalesce("users", F.lit(0)).cast("long").alias("users")
     )

@@ -14,7 +14,7 @@ from pyspark.ml.classification import (
     NaiveBayes,
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,21 +37,29 @@ INPUTS = (*NUMBERS, *_PLAIN.values())
 
 
 def model_input(training: DataFrame) -> DataFrame:
-    """The numbers and the fixed 0/1 columns the models use, and the label where there is one."""
+    """The numbers and the fixed 0/1 columns the models use, and the label where there is one.
+
+    A number that is not known, such as the amount of an offer with an unknown unit, counts as 0.
+    """
     hot = one_hot(F.col("boost_type_category"))
     frame = training.withColumns({_PLAIN[n]: c.cast("double") for n, c in hot.items()}).withColumns(
-        {n: F.col(n).cast("double") for n in NUMBERS}
+        {n: F.coalesce(F.col(n).cast("double"), F.lit(0.0)) for n in NUMBERS}
     )
     if "is_save_within_day" in training.columns:
         frame = frame.withColumn(LABEL, F.col("is_save_within_day").cast("double"))
     return frame
 
 
-def dummies(df: DataFrame, column: str) -> DataFrame:
-    """One 0/1 vector per value found in the data, in ``<column>_vec``."""
-    indexer = StringIndexer(inputCol=column, outputCol=f"{column}_idx", handleInvalid="keep")
-    encoder = OneHotEncoder(inputCols=[f"{column}_idx"], outputCols=[f"{column}_vec"], dropLast=False)
-    return Pipeline(stages=[indexer, encoder]).fit(df).transform(df)
+def dummies(df: DataFrame, column: str, most: int = 1_000) -> DataFrame:
+    """One 0/1 column per value found in the data, named ``<column>_<value>``, in order of the values.
+
+    The values become columns, so more than ``most`` of them are an error. A null has 0 everywhere.
+    """
+    values = sorted(r[0] for r in df.where(F.col(column).isNotNull()).select(column).distinct().limit(most + 1).collect())
+    if len(values) > most:
+        raise ValueError(f"more than {most} values in {column}")
+    is_value = lambda v: F.coalesce(F.col(column) == v, F.lit(False)).cast("int")
+    return df.withColumns({f"{column}_{v}": is_value(v) for v in values})
 
 
 def materialise(spark: SparkSession, df: DataFrame) -> DataFrame:
@@ -96,8 +104,9 @@ def train_linear(
     seed: int = 7,
 ) -> PipelineModel:
     """Linear support vector machine with balanced classes; the penalty is chosen on ``folds`` folds
-    of the training rows only."""
-    prepared = weighted(train)
+    of the training rows only, which a hash of the row's key makes."""
+    fold = F.pmod(F.xxhash64(F.lit(seed), F.lit("fold"), "user_id", "boost_id"), F.lit(folds)).cast("int")
+    prepared = weighted(train).withColumn("fold", fold)
     n = train.count()
     svc = LinearSVC(labelCol=LABEL, weightCol="weight", maxIter=max_iter, tol=1e-4)
     grid = ParamGridBuilder().addGrid(svc.regParam, [1.0 / (c * max(n, 1)) for c in costs]).build()
@@ -106,8 +115,8 @@ def train_linear(
         estimatorParamMaps=grid,
         evaluator=MulticlassClassificationEvaluator(labelCol=LABEL, metricName="accuracy"),
         numFolds=folds,
+        foldCol="fold",
         parallelism=2,
-        seed=seed,
     )
     return search.fit(prepared).bestModel
 
@@ -178,7 +187,8 @@ def evaluate(predictions: DataFrame, score: str = "rawPrediction") -> DataFrame:
     )
     tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
     f1, f0 = share(2 * tp, 2 * tp + fp + fn), share(2 * tn, 2 * tn + fp + fn)
-    auc = BinaryClassificationEvaluator(labelCol=LABEL, rawPredictionCol=score).evaluate(predictions)
+    # without bins every distinct score is a point of the curve
+    auc = BinaryClassificationEvaluator(labelCol=LABEL, rawPredictionCol=score, numBins=0).evaluate(predictions)
     return counts.select(
         "rows",
         "positives",

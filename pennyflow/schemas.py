@@ -2,7 +2,7 @@
 
 from pyspark.sql import types as T
 
-_S, _L, _D, _B = T.StringType(), T.LongType(), T.DoubleType(), T.BooleanType()
+_S, _L = T.StringType(), T.LongType()
 
 
 def _struct(required: str, kinds: dict, optional: tuple[str, ...] = ()) -> T.StructType:
@@ -63,28 +63,52 @@ PAYMENT_CONTEXT = T.StructType([T.StructField("accountId", _S), T.StructField("s
 # --- daily app export ------------------------------------------------------------------
 # The export's field names in the order in which they enter the context object.
 EXPORT_FIELDS = (
-    "client_event_time ip_address library dma user_creation_time $insert_id $schema "
-    "client_upload_time app user_id city event_type device_carrier location_lat event_time platform "
-    "is_attribution_event os_version paying amplitude_id device_type sample_rate "
-    "device_manufacturer start_version uuid version_name location_lng server_upload_time event_id "
-    "device_id device_family os_name adid amplitude_event_type device_brand country device_model "
-    "language region session_id idfa"
-).split()
+    "client_event_time",
+    "ip_address",
+    "library",
+    "dma",
+    "user_creation_time",
+    "$insert_id",
+    "$schema",
+    "client_upload_time",
+    "app",
+    "user_id",
+    "city",
+    "event_type",
+    "device_carrier",
+    "location_lat",
+    "event_time",
+    "platform",
+    "is_attribution_event",
+    "os_version",
+    "paying",
+    "amplitude_id",
+    "device_type",
+    "sample_rate",
+    "device_manufacturer",
+    "start_version",
+    "uuid",
+    "version_name",
+    "location_lng",
+    "server_upload_time",
+    "event_id",
+    "device_id",
+    "device_family",
+    "os_name",
+    "adid",
+    "amplitude_event_type",
+    "device_brand",
+    "country",
+    "device_model",
+    "language",
+    "region",
+    "session_id",
+    "idfa",
+)
 EXPORT_PROPERTY_MAPS = ("event_properties", "data", "groups", "group_properties", "user_properties")
-_EXPORT_KINDS = {
-    "$schema": _L,
-    "app": _L,
-    "location_lat": _D,
-    "is_attribution_event": _B,
-    "paying": _B,
-    "amplitude_id": _L,
-    "sample_rate": _D,
-    "location_lng": _D,
-    "event_id": _L,
-    "session_id": _L,
-}
 BAD_RECORD = "_bad_record"
 EXPORT_LINE = T.StructType(
-    [T.StructField(n, _EXPORT_KINDS.get(n, _S)) for n in EXPORT_FIELDS]
+    [T.StructField(n, T.VariantType()) for n in EXPORT_FIELDS]
+    + [T.StructField(n, T.MapType(_S, T.VariantType())) for n in EXPORT_PROPERTY_MAPS]
     + [T.StructField(BAD_RECORD, _S)]
 )

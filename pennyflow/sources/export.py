@@ -18,16 +18,17 @@ def read_export(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
-def load_ndjson(spark: SparkSession, path: str, max_bad: int = 25) -> DataFrame:
-    """Parsed lines without the bad ones; more than ``max_bad`` bad lines refuse the load."""
+def load_ndjson(spark: SparkSession, path: str, max_bad: int | None = 25) -> DataFrame:
+    """Parsed lines without the bad ones; more than ``max_bad`` bad lines refuse the load, None takes any."""
     parsed = parse_export(read_export(spark, path))
-    bad = parsed.where(F.col(S.BAD_RECORD).isNotNull()).limit(max_bad + 1).count()
-    if bad > max_bad:
-        raise TooManyBadRecords(f"more than {max_bad} unreadable lines in {path}")
+    if max_bad is not None:
+        bad = parsed.agg(F.count_if(F.col(S.BAD_RECORD).isNotNull())).first()[0]
+        if bad > max_bad:
+            raise TooManyBadRecords(f"{bad} unreadable lines in {path}, more than {max_bad}")
     return parsed.where(F.col(S.BAD_RECORD).isNull())
 
 
-def export_to_events(spark: SparkSession, path: str, now_ms: int, max_bad: int = 25) -> DataFrame:
+def export_to_events(spark: SparkSession, path: str, now_ms: int, max_bad: int | None = 25) -> DataFrame:
     return flatten_export(load_ndjson(spark, path, max_bad), now_ms)
 
 

@@ -32,6 +32,25 @@ def _raw(spark: SparkSession, folder: str, *more: str) -> DataFrame:
     )
 
 
+# The screens of the published stages: odd k below SCREENS_BELOW, in turn.
+SCREENS = (
+    C.INTRO_ENTERED,
+    C.REFERRAL_SCREEN,
+    C.VALID_REFERRAL_CODE,
+    C.REGISTER_SUCCEEDED,
+    C.PASSWORD_SUCCEEDED,
+    C.FIRST_ADD_CASH_STARTED,
+    C.LEFT_AT_PAYMENT_LINK,
+    C.RETURNED_TO_PAYMENT_LINK,
+    C.PAYMENT_SUCCEEDED,
+)
+SCREENS_BELOW = 54
+
+
+def _screen(k: Column) -> Column:
+    return F.element_at(F.array(*map(F.lit, SCREENS)), ((k / 2).cast("int") % len(SCREENS)) + 1)
+
+
 def _event_type() -> Column:
     kind, k = F.col("event_type"), F.col("k")
     return (
@@ -39,6 +58,7 @@ def _event_type() -> Column:
         .when(kind == "purchase", C.SAVE_SUCCEEDED)
         .when(kind == "error", C.WITHDRAWAL_SETTLED)
         .when((kind == "view") & (k % 2 == 0), C.APP_OPENED)
+        .when((kind == "view") & (k < SCREENS_BELOW), _screen(k))
         .when(kind == "view", C.ADD_CASH_STARTED)
         .when(k % 4 == 0, C.BOOST_CREATED)
         .when(k % 4 == 1, C.BOOST_REDEEMED)
@@ -185,7 +205,10 @@ def export_lines(spark: SparkSession, folder: str) -> DataFrame:
     given = {
         "client_event_time": text,
         "$insert_id": F.concat(F.lit("i-"), F.col("event_id").cast("string")),
-        "app": F.lit(240_000),
+        # some typed fields come as texts, some of them as the text 'null'
+        "app": F.when(k % 7 == 4, F.lit("240").cast("variant")).otherwise(F.lit(240_000).cast("variant")),
+        "session_id": F.when(k % 7 == 3, F.lit("null").cast("variant")).otherwise(F.col("event_id").cast("variant")),
+        "event_id": F.when(k % 7 == 5, "null"),
         "user_id": F.when(k % 11 == 0, "null").when(k % 11 == 1, F.lit(None)).otherwise(F.col("user_id")),
         "city": F.when(k % 3 == 0, "null").otherwise("Cape Town"),
         "event_type": F.col("mapped_type"),

@@ -38,7 +38,7 @@ def csv_log(spark: SparkSession, folder: str) -> DataFrame:
     return tables.read_events_csv(spark, path)
 
 
-def export_files(spark: SparkSession, folder: str, now_ms: int, max_bad: int) -> DataFrame:
+def export_files(spark: SparkSession, folder: str, now_ms: int, max_bad: int | None) -> DataFrame:
     """A day of the export: kept raw, loaded, flattened, written formatted and read again."""
     path = shared_folder(spark, "export")
     raw = export.archive_raw(mapped.export_lines(spark, folder), path, "2024-01-31")

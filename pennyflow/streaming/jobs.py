@@ -118,7 +118,8 @@ def fraud_stream(
         placed.write.mode("overwrite").partitionBy("bucket").parquet(path)
         fresh = spark.read.schema(stored).parquet(path)
         newest = fresh.agg(F.max("created_at")).first()[0]
-        if newest is None:
+        if newest is None:  # later batches read this one's flags, so there must be a folder
+            _put(spark.createDataFrame([], S.FLAGS), flags, number)
             return
         users = fresh.select("user_id", "bucket").distinct()
         known = _read_batches(spark, history, stored, number)
@@ -156,8 +157,9 @@ def newest_flag_times(spark: SparkSession, out: str) -> DataFrame:
 
 
 def events_per_window(events: DataFrame, out: str, checkpoint: str, size: str = "1 hour", late: str = "1 day") -> StreamingQuery:
-    """Rows per tumbling window and event type. ``late`` is how long a window stays open; each batch
-    writes the windows it changed, readers take a window's newest batch."""
+    """Rows per tumbling window and event type. ``late`` is how long a window stays open, after which its
+    rows are no longer counted; each batch writes the windows it changed, readers take a window's newest
+    batch."""
     at = F.timestamp_millis(F.col(T))
     counts = (
         events.withColumn("at", at)
@@ -182,10 +184,15 @@ def newest_windows(spark: SparkSession, out: str) -> DataFrame:
 
 def deduplicated_stream(events: DataFrame, out: str, checkpoint: str, late: str = "60 days") -> StreamingQuery:
     """Each event once, however often it is delivered within ``late``. Off unless asked for: the
-    event log itself keeps repeated deliveries."""
-    at = F.timestamp_millis(F.col(T))
-    key = ["user_id", "event_type", T, "context"]
-    unique = events.withColumn("at", at).withWatermark("at", late).dropDuplicatesWithinWatermark(key).drop("at")
+    event log itself keeps repeated deliveries.
+
+    A row that comes more than ``late`` after the newest one seen is left out, as nothing is known any
+    more about its earlier deliveries. The state holds a digest of the context instead of the text.
+    """
+    digest = F.sha2(F.coalesce("context", F.lit("\0none")), 256)
+    marked = events.withColumns({"at": F.timestamp_millis(F.col(T)), "digest": digest}).withWatermark("at", late)
+    key = ["user_id", "event_type", T, "digest"]
+    unique = marked.dropDuplicatesWithinWatermark(key).drop("at", "digest")
     return (
         unique.writeStream.format("parquet")
         .option("path", out)

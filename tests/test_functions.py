@@ -29,15 +29,15 @@ def test_dates_before():
 
 def test_client_time(spark):
     rows = [
-        ("2020-01-15 00:00:00.8730",),
-        ("2020-01-15 23:59:59.1564",),
-        ("2019-04-03 00:00:00",),
-        ("2019-11-12 14:43:48.924000",),
+        ("2022-06-01 00:00:00.4560",),
+        ("2022-06-01 23:59:59.7894",),
+        ("2022-06-02 00:00:00",),
+        ("2021-03-05 06:07:08.090000",),
         ("yesterday",),
         (None,),
     ]
     got = [r[0] for r in values(spark, rows, "s string", parse_client_time(F.col("s")))]
-    assert got == [1579046400873, 1579132799156, 1554249600000, 1573569828924, None, None]
+    assert got == [1654041600456, 1654127999789, 1654128000000, 1614924428090, None, None]
 
 
 def test_hours_are_cut_toward_zero(spark):

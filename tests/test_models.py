@@ -84,8 +84,27 @@ def test_portfolio(training):
 
 
 def test_dummies(spark):
-    got = ml.dummies(spark.createDataFrame([("a",), ("b",), ("a",)], "k string"), "k").select("k", "k_vec").collect()
-    assert got[0]["k_vec"] == got[2]["k_vec"] != got[1]["k_vec"]
+    got = ml.dummies(spark.createDataFrame([("a",), ("b",), ("a",)], "k string"), "k").collect()
+    assert [tuple(r) for r in got] == [("a", 1, 0), ("b", 0, 1), ("a", 1, 0)]
+    with pytest.raises(ValueError):
+        ml.dummies(spark.createDataFrame([("a",), ("b",)], "k string"), "k", most=1)
+
+
+def test_unknown_amounts_do_not_end_a_run(spark, training, linear):
+    unknown = ml.model_input(training.limit(5).withColumn("boost_amount_whole_currency", F.lit(None).cast("double")))
+    assert linear.transform(unknown).count() == 5
+
+
+def test_area_is_exact_for_many_scores(spark):
+    rows = spark.range(6000).select(
+        ((F.col("id") * 7919) % 6007 / 6007.0).alias("s"), (F.pmod(F.xxhash64("id"), F.lit(3)) == 0).cast("double").alias("label")
+    ).withColumn("prediction", F.lit(0.0))
+    pairs = [(r["s"], r["label"]) for r in rows.collect()]
+    order = sorted(pairs)
+    ranks = sum(i + 1 for i, (_, y) in enumerate(order) if y)
+    n = sum(y for _, y in pairs)
+    exact = (ranks - n * (n + 1) / 2) / (n * (len(pairs) - n))
+    assert abs(ml.evaluate(rows, "s").first()["roc_auc"] - exact) < 1e-9
 
 
 def test_scoring_users(spark, events, payments, linear):

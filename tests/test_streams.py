@@ -91,6 +91,15 @@ def test_fraud_stream_equals_batches(spark, payments, tmp_path):
     ])
 
 
+def test_fraud_stream_goes_on_after_an_empty_batch(spark, payments, tmp_path):
+    history, flags = str(tmp_path / "history"), str(tmp_path / "flags")
+    for i, moves in enumerate([[], [("big", C.SAVING, 200_000, START)]]):
+        payments(moves).coalesce(1).write.parquet(str(tmp_path / "in" / f"part={i}"))
+        stream = spark.readStream.schema(S.BEHAVIOUR).parquet(str(tmp_path / "in" / "part=*"))
+        jobs.fraud_stream(stream.select(*S.BEHAVIOUR.names), history, flags, str(tmp_path / "cp")).awaitTermination()
+    assert [r[2] for r in table(spark, flags, S.FLAGS)] == [C.RULE_VERY_LARGE]
+
+
 @pytest.fixture
 def event_files(events, tmp_path):
     def write(*parts):
