@@ -56,7 +56,7 @@ ev AS (
 ub AS (
   SELECT user_id, 'acc-' || user_id AS account_id,
     CASE kind WHEN 'purchase' THEN 'SAVING_EVENT' ELSE 'WITHDRAWAL' END AS tx,
-    cast(round(value * 100) AS bigint) * 50000 AS amount, 'HUNDREDTH_CENT' AS unit, t, t + (event_id % 7) * 60000 AS c
+    cast(round(value * 100) AS bigint) * CASE WHEN t >= {ms('2024-01-29')} AND k % 5 = 0 THEN 1000000 ELSE 50000 END AS amount, 'HUNDREDTH_CENT' AS unit, t, t + (event_id % 7) * 60000 AS c
   FROM raw WHERE kind IN ('purchase', 'error')),
 saves AS (SELECT user_id, amount, t FROM ub WHERE tx = 'SAVING_EVENT'),
 wds AS (SELECT user_id, amount, t FROM ub WHERE tx = 'WITHDRAWAL'),
@@ -743,3 +743,23 @@ SQL["evaluate"] = q(
 SQL["evaluate_payments"] = q(
     SCORES, "guess AS (SELECT amount AS s, amount > 100000000 AS p, tx = 'SAVING_EVENT' AS y FROM ub)"
 )
+SQL["training_log"] = q(
+    f"SELECT '2024-01-30' AS run_date, rows AS n, positives AS n_positive, precision, recall, f_score, accuracy FROM ({SCORES})",
+    *TRAIN,
+    f"guess AS (SELECT boost_prior_saves AS s, boost_prior_saves > 5 AS p, is_save_within_day AS y FROM (SELECT {_TRAIN_COLS} {_TRAIN_FROM}))",
+)
+_ON_TRIAL = [*((c, label) for c, label, _ in _RULES), ("saves_above_50k_6m > 0", "any_large_saving_event")]
+
+
+def _flag_counts(rules: list[tuple[str, str]], on: str) -> str:
+    none = "NOT (" + " OR ".join(c for c, _ in rules) + ")"
+    return " UNION ALL ".join(
+        f"SELECT {on} AS on_trial, '{label}' AS rule_label FROM facts WHERE {cond}"
+        for cond, label in [*rules, (none, "user_not_flagged")]
+    )
+
+
+SQL["rules_on_trial"] = q(
+    f"SELECT on_trial, rule_label, count(*) AS flags FROM ({_flag_counts(_ON_TRIAL[:-1], 'false')} UNION ALL {_flag_counts(_ON_TRIAL, 'true')}) GROUP BY ALL",
+    FACTS,
+)

@@ -423,6 +423,40 @@ def _rule_scores(spark: SparkSession, folder: str) -> DataFrame:
     return ml.evaluate(guess.select(ml.LABEL, "prediction", "score"), "score")
 
 
+def _training_log(spark: SparkSession, folder: str) -> DataFrame:
+    """The figures of a run, appended to a table and read back."""
+    rows = ml.model_input(boosts.boost_training_set(mapped.event_log(spark, folder)))
+    saves = F.col("boost_prior_saves")
+    guess = rows.withColumns({"prediction": (saves > 5).cast("double"), "score": saves.cast("double")})
+    return round_trips.training_log(ml.training_result(ml.evaluate(guess, "score"), rows, FRAUD_AS_OF))
+
+
+def _saved_model(spark: SparkSession, folder: str) -> DataFrame:
+    """What a model says of the test rows before it is saved and after it is loaded."""
+    train, test = ml.split(_training_rows(spark, folder))
+    model = ml.train_boosted_trees(train, rounds=3)
+    again = round_trips.saved_model(spark, model, FRAUD_AS_OF)
+    key = ["user_id", "boost_id"]
+    told = [m.transform(test).select(*key, F.col("prediction").alias(n)) for m, n in ((model, "before"), (again, "after"))]
+    return told[0].join(told[1], key)
+
+
+# a rule on trial, beside the published ones
+TRIAL = fraud.Rule("any_large_saving_event", "User has any large saving_event", "saves_above_50k_6m", 0, experimental=True)
+
+
+def _rules_on_trial(spark: SparkSession, folder: str) -> DataFrame:
+    """Flags per rule, without and with the rules on trial."""
+    facts = fraud.fraud_facts(mapped.behaviour(spark, folder), mapped.flags(spark, folder), FRAUD_AS_OF)
+    both = [
+        fraud.evaluate_rules(facts, NOW_MS, (*fraud.RULES, TRIAL), on).withColumn("on_trial", F.lit(on)) for on in (False, True)
+    ]
+    return both[0].unionByName(both[1]).groupBy("on_trial", "rule_label").agg(F.count(F.lit(1)).alias("flags"))
+
+
+register("training_log", _training_log)
+register("saved_model", _saved_model)
+register("rules_on_trial", _rules_on_trial)
 register("dummies", _dummies)
 register("evaluate", _rule_scores)
 on_payments("evaluate_payments", _amount_scores)

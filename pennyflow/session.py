@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -30,6 +33,14 @@ def build_session(name: str = "pennyflow", **extra: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+@lru_cache(maxsize=1)
+def _local_root() -> str:
+    """One temporary folder for this process, gone with it."""
+    root = tempfile.mkdtemp(prefix="pennyflow-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 
@@ -40,5 +51,5 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="pennyflow-")
+        root = _local_root()
     return os.path.join(root, f"{purpose}-{uuid.uuid4().hex}")

@@ -15,6 +15,7 @@ from pennyflow.schemas import EXPORT_FIELDS
 from pennyflow.timebox import day_start
 
 SEEDED_FLAG_TIME = day_start("2024-01-15")
+LARGE_FROM = day_start("2024-01-29")
 
 
 def _raw(spark: SparkSession, folder: str, *more: str) -> DataFrame:
@@ -108,6 +109,8 @@ def event_log(spark: SparkSession, folder: str) -> DataFrame:
 
 def behaviour(spark: SparkSession, folder: str) -> DataFrame:
     raw = _raw(spark, folder).where(F.col("event_type").isin("purchase", "error"))
+    # some users' last savings are far above their average
+    large = (F.col("ms") >= LARGE_FROM) & (F.col("k") % 5 == 0)
     stamped = F.col("ms") + (F.col("event_id") % 7) * 60_000
     return raw.select(
         "user_id",
@@ -115,7 +118,7 @@ def behaviour(spark: SparkSession, folder: str) -> DataFrame:
         F.when(F.col("event_type") == "purchase", C.SAVING)
         .otherwise(C.WITHDRAWAL)
         .alias("transaction_type"),
-        (F.round(F.col("value") * 100).cast("bigint") * 50_000).alias("amount"),
+        (F.round(F.col("value") * 100).cast("bigint") * F.when(large, 1_000_000).otherwise(50_000)).alias("amount"),
         F.lit(C.HUNDREDTH_CENT).alias("unit"),
         F.lit("ZAR").alias("currency"),
         F.col("ms").alias("time_transaction_occurred"),

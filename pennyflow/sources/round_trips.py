@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
 from pennyflow import schemas as S
 from pennyflow.operators.ingest import flatten_export
+from pennyflow.plans import ml
 from pennyflow.plans.boosts import boost_dataset
 from pennyflow.session import shared_folder
 from pennyflow.sources import export, mapped, tables
@@ -51,3 +53,15 @@ def feature_files(spark: SparkSession, folder: str, as_of: str) -> DataFrame:
     features = boost_dataset(mapped.event_log(spark, folder))
     written = tables.write_features_csv(features, shared_folder(spark, "features"), as_of)
     return spark.read.schema(features.schema).csv(written, header=True)
+
+
+def training_log(result: DataFrame) -> DataFrame:
+    spark, path = result.sparkSession, shared_folder(result.sparkSession, "training-log")
+    tables.write_training_result(result, path)
+    return spark.read.schema(result.schema).parquet(path)
+
+
+def saved_model(spark: SparkSession, model: PipelineModel, as_of: str) -> PipelineModel:
+    path = shared_folder(spark, "model")
+    ml.save_model(model, path, as_of)
+    return ml.load_model(path)

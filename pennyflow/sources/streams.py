@@ -8,20 +8,25 @@ from pyspark.sql import functions as F
 from pennyflow import schemas as S
 
 
-def read_message_stream(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
-    """Message files, one base64 text per line."""
-    reader = spark.readStream
+def _bounded(reader, files_per_batch: int | None, bytes_per_batch: int | None):
+    """A batch takes so many files or bytes at most; without either, all that has come."""
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.text(folder)
+    return reader.option("maxBytesPerTrigger", bytes_per_batch) if bytes_per_batch else reader
+
+
+def read_message_stream(
+    spark: SparkSession, folder: str, files_per_batch: int | None = None, bytes_per_batch: int | None = None
+) -> DataFrame:
+    """Message files, one base64 text per line."""
+    return _bounded(spark.readStream, files_per_batch, bytes_per_batch).text(folder)
 
 
-def read_event_stream(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
+def read_event_stream(
+    spark: SparkSession, folder: str, files_per_batch: int | None = None, bytes_per_batch: int | None = None
+) -> DataFrame:
     """Event rows as JSON files of the declared schema."""
-    reader = spark.readStream.schema(S.EVENTS)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.json(folder)
+    return _bounded(spark.readStream.schema(S.EVENTS), files_per_batch, bytes_per_batch).json(folder)
 
 
 def read_broker_stream(spark: SparkSession, servers: str, topic: str) -> DataFrame:

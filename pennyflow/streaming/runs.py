@@ -14,18 +14,18 @@ from pennyflow.sources import mapped
 from pennyflow.sources.streams import read_event_stream, read_message_stream
 from pennyflow.streaming import jobs
 
-ROWS_PER_FILE = 4_000
+BYTES_PER_BATCH = 4 << 30
 T = "time_transaction_occurred"
 
 
 def _message_files(spark: SparkSession, events: DataFrame, work: str) -> DataFrame:
-    encode_messages(events).write.option("maxRecordsPerFile", ROWS_PER_FILE).text(f"{work}/messages")
-    return read_message_stream(spark, f"{work}/messages", files_per_batch=8)
+    encode_messages(events).write.text(f"{work}/messages")
+    return read_message_stream(spark, f"{work}/messages", bytes_per_batch=BYTES_PER_BATCH)
 
 
 def _event_files(spark: SparkSession, events: DataFrame, work: str) -> DataFrame:
-    events.write.option("maxRecordsPerFile", ROWS_PER_FILE).json(f"{work}/events")
-    return read_event_stream(spark, f"{work}/events", files_per_batch=8)
+    events.write.json(f"{work}/events")
+    return read_event_stream(spark, f"{work}/events", bytes_per_batch=BYTES_PER_BATCH)
 
 
 def _columns_of(schema: StructType, df: DataFrame) -> DataFrame:
@@ -67,8 +67,8 @@ def run_fraud(spark: SparkSession, folder: str, days: tuple[str, ...]) -> DataFr
 
 def run_last_flags(spark: SparkSession, folder: str) -> DataFrame:
     work = shared_folder(spark, "last-flags")
-    mapped.flags(spark, folder).write.option("maxRecordsPerFile", ROWS_PER_FILE // 20).parquet(f"{work}/flags")
-    flags = spark.readStream.schema(S.FLAGS).option("maxFilesPerTrigger", 2).parquet(f"{work}/flags")
+    mapped.flags(spark, folder).write.parquet(f"{work}/flags")
+    flags = spark.readStream.schema(S.FLAGS).option("maxBytesPerTrigger", BYTES_PER_BATCH).parquet(f"{work}/flags")
     jobs.last_flag_stream(flags, f"{work}/last", f"{work}/checkpoint").awaitTermination()
     return jobs.newest_flag_times(spark, f"{work}/last")
 
