@@ -38,7 +38,7 @@ from pennyflow.llm.common import arrow_map, own_columns
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: Stretches and pairs of pieces that a Python worker remembers; beyond it starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 STRETCH = re.compile("▁*[^▁]+|▁+")
 MARK = 0x1FFFFE  # above all characters, below END
 END = 0x1FFFFF
@@ -80,7 +80,7 @@ class Model:
         self._low = self._as_text(keys)
         self._high = self._as_text(np.where(keys == 0, END, keys))
         self._fits: dict[int, bool] = {}
-        self._known: dict[str, list[int]] = {}
+        self._known: dict[str, bytes] = {}
         self._bytes = [
             bytes([int(t[3:5], 16)]) if source.is_byte(i) else b"" if source.is_control(i) else
             " ⁇ ".encode() if source.is_unknown(i) else t.replace(SPACE, " ").encode()
@@ -131,13 +131,28 @@ class Model:
     def _suffixes(self, codes: np.ndarray) -> np.ndarray:
         """Places of the suffixes in order of their first `longest` characters."""
         # Marks behind the end: no suffix of the batch then looks beyond what follows it.
-        padded = np.concatenate([codes, np.full(2 * self.longest, MARK, np.uint32)])
-        rank, width = np.unique(padded, return_inverse=True)[1], 1
-        while width < self.longest:
-            follow = np.concatenate([rank[width:], np.zeros(width, rank.dtype)])
-            rank = np.unique(rank * (len(padded) + 1) + follow, return_inverse=True)[1]
+        padded = np.concatenate([codes, np.full(4 * self.longest, MARK, np.uint32)])
+        there = np.zeros(END, bool)
+        there[padded] = True
+        small = (np.cumsum(there) - 1)[padded]  # characters numbered in order, so that several fit a number
+        bits = max(1, int(there.sum() - 1).bit_length())
+        width, rank = 1, small
+        while width * 2 * bits <= 62 and width < self.longest:
+            rank = rank << (width * bits) | self._after(rank, width)
             width *= 2
-        return np.argsort(rank[: len(codes)], kind="stable")
+        while True:
+            order = np.argsort(rank)
+            if width >= self.longest:
+                return order[order < len(codes)]
+            ordered = rank[order]
+            place = np.empty_like(rank)
+            place[order] = np.cumsum(np.concatenate([[False], ordered[1:] != ordered[:-1]]))
+            rank = place * len(padded) + self._after(place, width)
+            width *= 2
+
+    @staticmethod
+    def _after(rank: np.ndarray, width: int) -> np.ndarray:
+        return np.concatenate([rank[width:], np.zeros(width, rank.dtype)])
 
     def _edges(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(start, piece) of every occurrence of every usable piece."""
@@ -152,9 +167,9 @@ class Model:
 
     def learn(self, stretches: set[str]) -> None:
         """Encode the stretches that are not remembered."""
-        if len(self._known) > REMEMBERED:
-            self._known.clear()
-        if len(self._fits) > 4 * REMEMBERED:
+        if len(self._known) > REMEMBERED:  # what is frequent is in this batch, too
+            self._known = {s: self._known[s] for s in stretches if s in self._known}
+        if len(self._fits) > 3 * REMEMBERED:
             self._fits.clear()
         new = [s for s in stretches if s not in self._known]
         if not new:
@@ -172,7 +187,7 @@ class Model:
         start, piece = np.concatenate([start, lone]), np.concatenate([piece, np.full(len(lone), UNKNOWN)])
         end = start + self.length[piece]
         step = offset[end - 1] + 1
-        by_step = np.argsort(step, kind="stable")
+        by_step = np.argsort(step)
         start, piece, end = start[by_step], piece[by_step], end[by_step]
         cuts = np.searchsorted(step[by_step], np.arange(1, int(lengths.max()) + 2))
         taken = np.full(len(codes) + 1, UNKNOWN, np.int64)
@@ -185,25 +200,40 @@ class Model:
             ask = np.flatnonzero(~fits)
             fits[ask] = self._fit(left[ask], p[ask])
             taken[end[a:b][fits]] = p[fits]
-        self._remember(new, starts.tolist(), lengths.tolist(), taken.tolist())
-
-    def _remember(self, new: list[str], starts: list[int], lengths: list[int], taken: list[int]) -> None:
-        width = self.length.tolist()
-        for text, first, n in zip(new, starts, lengths):
-            ids, at = [], first + n
-            while at > first:
-                piece = taken[at]
-                if piece == UNKNOWN:
-                    ids.extend(self.byte_ids[b] for b in reversed(text[at - first - 1].encode()))
-                else:
-                    ids.append(piece)
-                at -= width[piece]
-            self._known[text] = ids[::-1]
-
-    def encode(self, texts: list[str | None]) -> list[list[int] | None]:
+        self._remember(new, starts, lengths, taken)
+
+    def _remember(self, new: list[str], starts: np.ndarray, lengths: np.ndarray, taken: np.ndarray) -> None:
+        """Walk back from the ends of all stretches at once, and keep each one's ids as bytes."""
+        at, row = starts + lengths, np.arange(len(new))
+        rows, ids, ends = [], [], []
+        while len(row):
+            piece = taken[at]
+            rows.append(row), ids.append(piece), ends.append(at)
+            at = at - self.length[piece]
+            more = at > starts[row]
+            at, row = at[more], row[more]
+        rows, ids, ends = np.concatenate(rows), np.concatenate(ids), np.concatenate(ends)
+        order = np.argsort(ends)  # stretches lie one after the other
+        rows, ids, ends = rows[order], ids[order].astype(np.int32), ends[order]
+        data = ids.tobytes()
+        bounds = (np.searchsorted(rows, np.arange(len(new) + 1)) * 4).tolist()
+        self._known.update((text, data[a:b]) for text, a, b in zip(new, bounds[:-1], bounds[1:]))
+        for row in np.unique(rows[ids == UNKNOWN]).tolist():
+            text, own = new[row], []
+            for k in range(bounds[row] // 4, bounds[row + 1] // 4):
+                lone = text[ends[k] - starts[row] - 1]
+                own += [int(ids[k])] if ids[k] != UNKNOWN else [self.byte_ids[b] for b in lone.encode()]
+            self._known[text] = np.array(own, np.int32).tobytes()
+
+    def encode_packed(self, texts: list[str | None]) -> list[bytes | None]:
+        """The ids of each text as 32-bit integers one after the other."""
         cut = [None if t is None else STRETCH.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
         self.learn(set(chain.from_iterable(c for c in cut if c)))
-        return [None if c is None else list(chain.from_iterable(map(self._known.__getitem__, c))) for c in cut]
+        known = self._known.__getitem__
+        return [None if c is None else b"".join(map(known, c)) for c in cut]
+
+    def encode(self, texts: list[str | None]) -> list[list[int] | None]:
+        return [None if p is None else np.frombuffer(p, np.int32).tolist() for p in self.encode_packed(texts)]
 
     def decode(self, ids: list[int] | None) -> str | None:
         if ids is None:
@@ -221,15 +251,14 @@ def encoded(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             texts = batch.column(text_col).to_pylist()
-            ids = own.encode(texts)
-            back = [None if t is None else own.decode(i) == t for t, i in zip(texts, ids)]
+            packed = own.encode_packed(texts)
+            ids = [None if p is None else np.frombuffer(p, np.int32) for p in packed]
+            back = [None if t is None else own.decode(i.tolist()) == t for t, i in zip(texts, ids)]
+            counts = np.array([0 if i is None else len(i) for i in ids], np.int64)
+            offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32), mask=np.array([*(i is None for i in ids), False]))
+            values = pa.array(np.frombuffer(b"".join(p for p in packed if p), np.int32))
             return pa.RecordBatch.from_arrays(
-                [
-                    batch.column(id_col),
-                    pa.array([0 if i is None else len(i) for i in ids], pa.int64()),
-                    pa.array([None if i is None else np.array(i, np.int32) for i in ids], pa.list_(pa.int32())),
-                    pa.array(back, pa.bool_()),
-                ],
+                [batch.column(id_col), pa.array(counts), pa.ListArray.from_arrays(offsets, values), pa.array(back, pa.bool_())],
                 [id_col, "n_tokens", "ids", "round_trip"],
             )
 
