@@ -9,8 +9,6 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A word: a run of anything but the six ASCII white space characters.
-WORD = r"[^\x20\x09-\x0D]+"
 #: Texts are handled this many bytes at a time at most inside a batch, whatever the batch holds.
 CHUNK_BYTES = 4 << 20
 

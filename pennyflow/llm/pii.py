@@ -12,7 +12,6 @@ rows and repeated ids give repeated results. Work is linear in the length of a t
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator
 
@@ -148,7 +147,3 @@ def personal_data(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     span = "struct<kind: string, start: bigint, end: bigint, score: double, base: boolean>"
     return arrow_map(kept, text_col, f"`{id_col}` {kind}, found array<{span}>", start)
-
-
-def digest(spans: str) -> str:
-    return hashlib.sha256(spans.encode()).hexdigest()
