@@ -32,11 +32,6 @@ def day_number(ms: Column) -> Column:
     return F.floor(ms / DAY_MS)
 
 
-def within_some_day(ms: Column) -> Column:
-    """False in the last 999 ms of a day, which no day report covers."""
-    return F.pmod(ms, F.lit(DAY_MS)) <= DAY_MS - 1000
-
-
 def month_start(ms: Column) -> Column:
     """First day of the month as text, yyyy-MM-dd."""
     return F.date_format(F.date_trunc("month", instant(ms)), "yyyy-MM-dd")
