@@ -8,7 +8,7 @@ outside is rejected. Texts of fewer than `LEAST_TOKENS` tokens have no stable fi
 judge them.
 
 Words are cut one by one and remembered, so a word that is frequent in the corpus is cut once per task;
-the memory is emptied when it holds over `REMEMBERED` words.
+when it holds over `REMEMBERED` words, those of the next batch stay.
 
 A null text has no words; a text without words fails the base rules (fewer than 50 words). A null or
 unlisted language falls back to the script. Rows are independent of each other, so repeated rows and ids
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pennyflow.llm.common import arrow_map, own_columns
 
 VOCABULARIES = ("/opt/tokenizers/piece_bpe_32k.model", "/opt/tokenizers/byte_bpe_50k.tiktoken")
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 LEAST_TOKENS = 50
 #: Fixed values. Per language or script: least and most letters and digits per token (of any vocabulary),
 #: most share of byte tokens, least entropy in bits. Too little entropy is a text that repeats few tokens.
@@ -93,8 +93,8 @@ class Fertility:
 
     def learn(self, counts: list[Counter]) -> None:
         """Cut the words that are not known yet. Called before `measure`, once per batch."""
-        if len(self._known) > REMEMBERED:
-            self._known.clear()
+        if len(self._known) > REMEMBERED:  # what is frequent is in this batch, too
+            self._known = {w: self._known[w] for count in counts for w in count if w in self._known}
         new = list({w for count in counts for w in count if w not in self._known})
         words = [w.decode() for w in new]
         others = zip(*(map(len, cut(words)) for cut in self._others)) if self._others else [()] * len(new)
