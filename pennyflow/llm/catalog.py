@@ -63,7 +63,7 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = licenses.scan(documents(spark, sf_dir))
+    found = licenses.scan(documents(spark, sf_dir), wrapped=True)
     base = F.transform("places", lambda p: p["label"])
     n = F.size("places")
     return found.select(

@@ -14,6 +14,10 @@ template:
    min(i, j) + 1 + min(what follows i, what follows j) words; a pair that cannot reach `need` goes.
 5. **Check.** The words that are left are compared.
 
+A notice that is wrapped over lines stands in no block. With `wrapped`, `wrapped_matches` also looks at all runs of
+words, across lines, that are a template's length and a quarter more (1 / `CONTAINMENT`): only texts that hold enough
+words of a template are walked through, from each of its words. What the SQL compares are the lines alone.
+
 Beside that, `phrases` finds the places where the words of a short phrase stand one after the other.
 Everything is built from DataFrame functions. A null text has no words and no blocks. Rows equal in id and
 text get the same answer. A word is a run of ASCII letters and digits and of anything beyond ASCII. Lower-casing
@@ -51,6 +55,8 @@ TEMPLATES = (
 )
 _SETS = [(label, sorted(set(text.split()))) for label, text in TEMPLATES]
 _NEED = [math.ceil(CONTAINMENT * len(words)) for _, words in _SETS]
+#: Words that a run may have: what it must hold is as large a part of it as of the template.
+_SPANS = [math.ceil(len(text.split()) / CONTAINMENT) for _, text in TEMPLATES]
 _VOCABULARY = sorted({w for _, words in _SETS for w in words})
 
 
@@ -121,12 +127,35 @@ def template_matches(df: DataFrame, text: Column) -> DataFrame:
     ).distinct()
 
 
-def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def wrapped_matches(df: DataFrame, text: Column) -> DataFrame:
+    """(id, key, label, containment): every template of which some run of words, across lines, holds enough."""
+    templates = F.array(*(
+        F.struct(F.lit(label).alias("label"), F.array(*map(F.lit, words)).alias("words"), F.lit(need).alias("need"), F.lit(span).alias("span"))
+        for (label, words), need, span in zip(_SETS, _NEED, _SPANS)
+    ))
+    rows = df.select("id", "key", once(F.filter(_words(text), lambda w: w != "")).alias("all"))
+    rows = rows.withColumn("held", once(F.array_intersect("all", F.array(*map(F.lit, _VOCABULARY))))).where(F.size("held") >= min(_NEED))
+    rows = rows.withColumn("t", F.explode(F.filter(templates, lambda t: F.size(F.array_intersect("held", t["words"])) >= t["need"])))
+    spots = F.filter(F.transform("all", lambda w, i: F.struct(i.alias("at"), w.alias("word"))), lambda s: F.array_contains(F.col("t.words"), s["word"]))
+    rows = rows.select("id", "key", "t", once(spots).alias("spots"))
+
+    def held_from(spot: Column, i: Column) -> Column:
+        near = F.filter(F.slice("spots", i + 1, F.col("t.span")), lambda s: s["at"] < spot["at"] + F.col("t.span"))
+        return F.size(F.array_distinct(F.transform(near, lambda s: s["word"])))
+
+    rows = rows.withColumn("shared", once(F.array_max(F.transform("spots", held_from)))).where("shared >= t.need")
+    return rows.select("id", "key", F.col("t.label").alias("label"), (F.col("shared") / F.size("t.words")).alias("containment"))
+
+
+def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", wrapped: bool = False) -> DataFrame:
     """A row per row of `df`: id, n_words, places of phrases, labels of templates met, best containment."""
     text = F.col(f"`{text_col}`")
     # A document is known by its id and the hash of its text: no numbering of rows that a lost task may change.
     own = df.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(text).alias("key"), text.alias("text"))
-    met = template_matches(own, F.col("text")).groupBy(F.col("id").alias("met_id"), F.col("key").alias("met_key"))
+    met = template_matches(own, F.col("text")).select("id", "key", "label", "containment")
+    if wrapped:
+        met = met.union(wrapped_matches(own, F.col("text")))
+    met = met.groupBy(F.col("id").alias("met_id"), F.col("key").alias("met_key"))
     met = met.agg(F.collect_set("label").alias("met"), F.max("containment").alias("containment"))
     rows = phrases(own, F.col("text")).select("id", "key", "n_words", "places")
     rows = rows.join(met, F.col("id").eqNullSafe(F.col("met_id")) & (F.col("key") == F.col("met_key")), "left")

@@ -56,3 +56,26 @@ def test_odd_rows(odd, nothing):
 def test_plan_has_no_python(odd):
     plan = licenses.scan(odd.select("doc_id", "text"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+WRAPPED = {
+    "bsd": """ * Redistribution and use in source and binary forms, with or without
+ * modification, are permitted provided that the following conditions are
+ * met:""",
+    "mpl": """# This Source Code Form is subject to the terms of the Mozilla Public
+# License, v. 2.0. If a copy of the MPL was not distributed with this
+# file, You can obtain one at https://mozilla.org/MPL/2.0/.""",
+    "mit": """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction.""",
+    "isc": """// Permission to use, copy, modify, and/or distribute this software for any
+// purpose with or without fee is hereby granted, provided that""",
+}
+
+
+def test_wrapped_notices(spark):
+    scattered = " filler ".join(sorted(set(licenses.TEMPLATES[6][1].split())) * 2).replace(" filler ", "\n" + "filler " * 5)
+    df = spark.createDataFrame([*WRAPPED.items(), ("none", scattered)], "doc_id string, text string")
+    met = {r["doc_id"]: r["met"] for r in licenses.scan(df, wrapped=True).collect()}
+    assert met == {label: [label] for label in WRAPPED} | {"none": []}
+    assert not any(r["met"] for r in licenses.scan(df).where("doc_id <> 'mit'").collect())
