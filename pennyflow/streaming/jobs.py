@@ -156,43 +156,31 @@ def newest_flag_times(spark: SparkSession, out: str) -> DataFrame:
 # --- counts and duplicates ---------------------------------------------------------------
 
 
-def events_per_window(events: DataFrame, out: str, checkpoint: str, size: str = "1 hour", late: str = "1 day") -> StreamingQuery:
-    """Rows per tumbling window and event type. ``late`` is how long a window stays open, after which its
-    rows are no longer counted; each batch writes the windows it changed, readers take a window's newest
-    batch."""
-    at = F.timestamp_millis(F.col(T))
-    counts = (
-        events.withColumn("at", at)
-        .withWatermark("at", late)
-        .groupBy(F.window("at", size), "event_type")
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .select(F.unix_millis("window.start").alias("start"), "event_type", "rows")
-    )
-    return (
-        counts.writeStream.outputMode("update")
-        .foreachBatch(lambda batch, number: _put(batch, out, number))
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+def events_per_window(events: DataFrame, out: str, checkpoint: str, size: str = "1 hour") -> StreamingQuery:
+    """Rows per tumbling window and event type. Each batch writes its own counts and readers add them up, so
+    nothing is kept between batches and a row counts however late it comes."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        counts = batch.groupBy(F.window(F.timestamp_millis(F.col(T)), size), "event_type").agg(F.count(F.lit(1)).alias("rows"))
+        _put(counts.select(F.unix_millis("window.start").alias("start"), "event_type", "rows"), out, number)
+
+    return _start(events, checkpoint, write)
 
 
 def newest_windows(spark: SparkSession, out: str) -> DataFrame:
     rows = spark.read.schema("start long, event_type string, rows long, batch long").parquet(out)
-    return rows.groupBy("start", "event_type").agg(F.max_by("rows", "batch").alias("rows"))
+    return rows.groupBy("start", "event_type").agg(F.sum("rows").alias("rows"))
 
 
-def deduplicated_stream(events: DataFrame, out: str, checkpoint: str, late: str = "60 days") -> StreamingQuery:
-    """Each event once, however often it is delivered within ``late``. Off unless asked for: the
-    event log itself keeps repeated deliveries.
+def deduplicated_stream(events: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+    """Each event once, however often and late it is delivered. Off unless asked for: the event log itself
+    keeps repeated deliveries.
 
-    A row that comes more than ``late`` after the newest one seen is left out, as nothing is known any
-    more about its earlier deliveries. The state holds a digest of the context instead of the text.
+    The state holds every event seen, without end, as a digest of the context instead of the text.
     """
     digest = F.sha2(F.coalesce("context", F.lit("\0none")), 256)
-    marked = events.withColumns({"at": F.timestamp_millis(F.col(T)), "digest": digest}).withWatermark("at", late)
     key = ["user_id", "event_type", T, "digest"]
-    unique = marked.dropDuplicatesWithinWatermark(key).drop("at", "digest")
+    unique = events.withColumn("digest", digest).dropDuplicates(key).drop("digest")
     return (
         unique.writeStream.format("parquet")
         .option("path", out)

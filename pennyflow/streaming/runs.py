@@ -76,8 +76,7 @@ def run_last_flags(spark: SparkSession, folder: str) -> DataFrame:
 def run_hourly_counts(spark: SparkSession, folder: str) -> DataFrame:
     work = shared_folder(spark, "hourly")
     events = _event_files(spark, mapped.event_log(spark, folder), work)
-    # files arrive in no order of time, so a window stays open longer than the data lasts
-    jobs.events_per_window(events, f"{work}/counts", f"{work}/checkpoint", late="400 days").awaitTermination()
+    jobs.events_per_window(events, f"{work}/counts", f"{work}/checkpoint").awaitTermination()
     return jobs.newest_windows(spark, f"{work}/counts").select(F.col("start").alias("hour"), "event_type", "rows")
 
 
@@ -86,7 +85,7 @@ def run_deduplicated(spark: SparkSession, folder: str) -> DataFrame:
     work = shared_folder(spark, "dedup")
     once = mapped.event_log(spark, folder)
     events = _event_files(spark, once.unionByName(once), work)
-    jobs.deduplicated_stream(events, f"{work}/unique", f"{work}/checkpoint", late="400 days").awaitTermination()
+    jobs.deduplicated_stream(events, f"{work}/unique", f"{work}/checkpoint").awaitTermination()
     return spark.read.schema(S.EVENTS).parquet(f"{work}/unique").select("user_id", "event_type", T, "context")
 
 

@@ -126,6 +126,16 @@ def test_duplicates_within_and_across_batches(spark, event_files, tmp_path):
     assert [r[2] for r in table(spark, out, S.EVENTS)] == [START, START + 1]
 
 
+def test_rows_behind_all_others_are_kept(spark, event_files, tmp_path):
+    late = ("b", "E", START - 500 * DAY)
+    folder = event_files([("a", "E", START)], [("a", "E", START + 1)], [late], [late])
+    out, unique = str(tmp_path / "counts"), str(tmp_path / "unique")
+    jobs.events_per_window(read_event_stream(spark, folder, 1), out, str(tmp_path / "cp")).awaitTermination()
+    assert sorted(tuple(r) for r in jobs.newest_windows(spark, out).collect()) == [(late[2], "E", 2), (START, "E", 2)]
+    jobs.deduplicated_stream(read_event_stream(spark, folder, 1), unique, str(tmp_path / "cp2")).awaitTermination()
+    assert [r[2] for r in table(spark, unique, S.EVENTS)] == [START, START + 1, late[2]]
+
+
 def test_shared_folder_is_the_clusters(spark):
     from pennyflow.session import CHECKPOINT_SETTING, shared_folder
 
