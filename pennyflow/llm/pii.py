@@ -36,6 +36,17 @@ CONTEXT_WORDS = {
 }
 AGAINST_WORDS = ("order", "invoice", "version", "serial", "part", "isbn", "tracking")
 IBAN_LENGTHS = range(15, 35)
+#: Letters and digits of an IBAN by its country.
+COUNTRY_LENGTHS = {
+    country: length
+    for length, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+        25: "LY PT ST", 26: "IS TR", 27: "FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB PL SV",
+        29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT SC", 32: "LC",
+    }.items()
+    for country in countries.split()
+}
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
@@ -78,6 +89,22 @@ def _emails(text: str) -> Iterator[tuple[int, int]]:
         at = text.find("@", max(last, at + 1))
 
 
+def _ibans(text: str) -> Iterator[tuple[int, int]]:
+    """What follows an IBAN may look like more of it, so it is cut to its country's length, or else at the last
+    space that leaves a right checksum if the country is not listed. After a failure the next start is tried."""
+    m = IBAN.search(text)
+    while m:
+        whole, next_at = m.group(), m.start() + 1
+        length, ends = COUNTRY_LENGTHS.get(whole[:2]), [i for i, c in enumerate(whole) if c == " "] + [len(whole)]
+        own = [i for i in ends if len(whole[:i].replace(" ", "")) == length] if length else ends[::-1]
+        for end in [*own, len(whole)]:
+            if mod97(whole[:end]):
+                next_at = m.start() + end
+                yield m.start(), next_at
+                break
+        m = IBAN.search(text, next_at)
+
+
 def _small(part: str) -> bool:
     part = part.lstrip("0")
     return len(part) <= 3 and int(part or 0) <= 255
@@ -98,9 +125,8 @@ def _proposed(text: str) -> Iterator[tuple[int, int, int, bool]]:
         for m in PHONE.finditer(text):
             if 9 <= len(NOT_DIGITS.sub("", m.group())) <= 15:
                 yield m.start(), 3, m.end(), False
-    for m in IBAN.finditer(text):
-        if mod97(m.group()):
-            yield m.start(), 4, m.end(), True
+    for start, end in _ibans(text):
+        yield start, 4, end, True
     for m in NATIONAL_ID.finditer(text):
         yield m.start(), 5, m.end(), False
 

@@ -62,3 +62,13 @@ def test_odd_rows(odd, nothing):
     rows = pii.personal_data(odd).collect()
     assert len(rows) == odd.count() and all(r["found"] == [] for r in rows if r["doc_id"] is None)
     assert pii.personal_data(nothing).count() == 0
+
+
+def test_ibans_before_capitals_and_digits():
+    for text, want in (
+        ("IBAN DE89 3704 0044 0532 0130 00 EUR 500", ["DE89 3704 0044 0532 0130 00"]),
+        ("DE89370400440532013000 BIC COBADEFF", ["DE89370400440532013000"]),
+        ("AB12 DE89370400440532013000 GB82 WEST 1234 5698 7654 32", ["DE89370400440532013000", "GB82 WEST 1234 5698 7654 32"]),
+        ("DE88 3704 0044 0532 0130 00 EUR", []),
+    ):
+        assert [text[s:e] for s, k, e, *_ in pii.find(text) if pii.KINDS[k] == "iban"] == want
