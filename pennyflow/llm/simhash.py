@@ -62,8 +62,9 @@ def fingerprint(text: str | None, words: int = 3, bits: int = 64) -> list[int]:
 
 
 def fingerprints(df: DataFrame, words: int = 3, bits: int = 64, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """A row per row of `df`: its id and `print`, an array of 64-bit words as signed longs."""
+    """A row per row of `df`: its id, `key`, the hash of its text, and `print`, an array of 64-bit words as signed longs."""
     kept = own_columns(df, id_col, text_col)
+    kept = kept.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"), F.xxhash64(f"`{text_col}`").alias("key"))
 
     def start():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -71,12 +72,12 @@ def fingerprints(df: DataFrame, words: int = 3, bits: int = 64, id_col: str = "d
                 np.array(fingerprint(t, words, bits), np.uint64).view(np.int64) for t in batch.column(text_col).to_pylist()
             ]
             return pa.RecordBatch.from_arrays(
-                [batch.column(id_col), pa.array(prints, pa.list_(pa.int64()))], [id_col, "print"]
+                [batch.column(id_col), batch.column("key"), pa.array(prints, pa.list_(pa.int64()))], [id_col, "key", "print"]
             )
 
         return step
 
-    return arrow_map(kept, text_col, f"`{id_col}` {dict(kept.dtypes)[id_col]}, print array<bigint>", start)
+    return arrow_map(kept, text_col, f"`{id_col}` {dict(kept.dtypes)[id_col]}, key bigint, print array<bigint>", start)
 
 
 def bits_for(similarity: float, bits: int) -> int:
@@ -206,7 +207,8 @@ def near_duplicates(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """A row per row of `df`: its id, its `print` and `component_id`, the smallest id that links reach.
+    """A row per row of `df`: its id, the hash of its text as `key`, its `print`, the fingerprint `root` that names
+    its group, and `component_id`, the smallest id that links reach (null where all ids of the group are).
 
     Fingerprints are made once and kept in the shared folder, as three steps read them.
     """
@@ -216,8 +218,8 @@ def near_duplicates(
     roots = contracted(links(groups.select("print"), bits, threshold, reach), folder)
     named = groups.join(roots.withColumnRenamed("b", "print"), "print", "left").withColumn("root", F.coalesce("a", "print"))
     smallest = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    labels = named.join(smallest, "root").select("print", "component_id")
-    return prints.join(labels, "print").select(id_col, "print", "component_id")
+    labels = named.join(smallest, "root").select("print", "root", "component_id")
+    return prints.join(labels, "print").select(id_col, "key", "print", "root", "component_id")
 
 
 def hexadecimal(print_col: str = "print") -> Column:
