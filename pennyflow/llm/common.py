@@ -22,6 +22,13 @@ def own_columns(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*(F.col(f"`{n}`") for n in names))
 
 
+def stored(df: DataFrame, folder: str, name: str) -> DataFrame:
+    """Written to a folder of the shared one and read back, so that a lost executor costs no earlier step."""
+    path = f"{folder}/{name}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def pieces(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that no part holds more than CHUNK_BYTES of text, unless one text does alone."""
     if not batch.num_rows:

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pennyflow.llm.common import arrow_map, own_columns
+from pennyflow.llm.common import arrow_map, own_columns, stored
 from pennyflow.session import shared_folder
 
 SEED = 42
@@ -167,12 +167,6 @@ def links(prints: DataFrame, bits: int = 64, threshold: int = 3, reach: int | No
     return found.select(F.array(*a).alias("a"), F.array(*b).alias("b")).distinct()
 
 
-def _stored(df: DataFrame, folder: str, name: str) -> DataFrame:
-    path = f"{folder}/{name}"
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def contracted(edges: DataFrame, folder: str) -> DataFrame:
     """(b, a): every linked node with the smallest node reachable, unless it is the smallest itself.
 
@@ -181,7 +175,7 @@ def contracted(edges: DataFrame, folder: str) -> DataFrame:
     them. Both keep the components; rounds grow with the logarithm of the longest path. Minima are taken
     with partial aggregates and joined back, so no neighbourhood is gathered in one task.
     """
-    edges, turn, before = _stored(edges, folder, "edges0"), 0, None
+    edges, turn, before = stored(edges, folder, "edges0"), 0, None
     while True:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
@@ -191,7 +185,7 @@ def contracted(edges: DataFrame, folder: str) -> DataFrame:
         small = large.join(low, "b")
         small = small.select(F.col("m").alias("a"), F.col("a").alias("b")).where("a <> b").union(low.select(F.col("m").alias("a"), "b"))
         turn += 1
-        edges = _stored(small.distinct(), folder, f"edges{turn}")
+        edges = stored(small.distinct(), folder, f"edges{turn}")
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
         if now == before:
             return edges.select("b", "a")
@@ -213,7 +207,7 @@ def near_duplicates(
     Fingerprints are made once and kept in the shared folder, as three steps read them.
     """
     folder = shared_folder(df.sparkSession, "simhash")
-    prints = _stored(fingerprints(df, words, bits, id_col, text_col), folder, "prints")
+    prints = stored(fingerprints(df, words, bits, id_col, text_col), folder, "prints")
     groups = prints.groupBy("print").agg(F.min(id_col).alias("first"))
     roots = contracted(links(groups.select("print"), bits, threshold, reach), folder)
     named = groups.join(roots.withColumnRenamed("b", "print"), "print", "left").withColumn("root", F.coalesce("a", "print"))
