@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from pennyflow.llm import divergence, language, licenses, linededup, mixing, pii, prints, quality, sentencepieces, simhash, tokencounts
+from pennyflow.llm import divergence, language, licenses, linededup, mixing, pii, prints, quality, sentencepieces, simhash, tokencounts, variants
 from pennyflow.llm.common import documents
 
 
@@ -82,6 +82,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.measured(documents(spark, sf_dir))
 
 
+def op11_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.grouped(documents(spark, sf_dir))
+
+
 def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(documents(spark, sf_dir))
 
@@ -97,6 +101,7 @@ QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_licenses": op9_licenses,
     "op10_quality": op10_quality,
+    "op11_variants": op11_variants,
     "op13_divergence": op13_divergence,
     "pipeline": corpus_pipeline.run,
 }
