@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from pennyflow.llm import divergence, language, licenses, linededup, mixing, pii, prints, quality, sentencepieces, simhash, tokencounts, variants
+from pennyflow.llm import divergence, jaccard, language, licenses, linededup, mixing, pii, prints, quality, sentencepieces, simhash, tokencounts, variants
 from pennyflow.llm.common import documents
 
 
@@ -86,6 +86,10 @@ def op11_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.grouped(documents(spark, sf_dir))
 
 
+def op12_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.joined(documents(spark, sf_dir))
+
+
 def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(documents(spark, sf_dir))
 
@@ -102,6 +106,7 @@ QUERIES = {
     "op9_licenses": op9_licenses,
     "op10_quality": op10_quality,
     "op11_variants": op11_variants,
+    "op12_jaccard": op12_jaccard,
     "op13_divergence": op13_divergence,
     "pipeline": corpus_pipeline.run,
 }
@@ -109,5 +114,6 @@ SQL: dict[str, str] = {
     "op4_line_dedup": linededup.SQL,
     "op5_mixing": mixing.SQL,
     "op9_licenses": licenses.SQL,
+    "op12_jaccard": jaccard.SQL,
     "op13_divergence": divergence.SQL,
 }
