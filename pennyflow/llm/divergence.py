@@ -38,9 +38,14 @@ from pennyflow.session import shared_folder
 LEAST_DOCS = 10
 TOP = 10
 #: Counted (language, source, term) triples that a task holds before it hands them on.
-HELD = 400_000
+HELD = 800_000
+#: A held count is occurrences, below this bit, and documents, above it.
+DOC_BIT = 40
+DOC = 1 << DOC_BIT
 #: Points of a group that a task holds before it cuts them to their skyband.
 POINTS = 20_000
+#: Points of a group that are held against its band at once.
+TOGETHER = 256
 #: Numbers in one block of differences, so that many sources make small blocks.
 BLOCK = 1 << 20
 _TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
@@ -55,29 +60,30 @@ def _groups(df: DataFrame, text_col: str, lang_col: str, source_col: str) -> Dat
 def term_counts(groups: DataFrame) -> DataFrame:
     """(lang, source, term, n, docs): partial counts of occurrences and of documents, of each task."""
 
-    def rows(held: dict) -> pa.RecordBatch:
-        keys = [(lang, source, term) for (lang, source), own in held.items() for term in own[0]]
-        n = [x for own in held.values() for x in own[0].values()]
-        docs = [own[1][term] for own in held.values() for term in own[0]]
-        columns = [pa.array([k[i] for k in keys], pa.string()) for i in range(3)]
-        return pa.RecordBatch.from_arrays([*columns, pa.array(n, pa.int64()), pa.array(docs, pa.int64())], ["lang", "source", "term", "n", "docs"])
+    def rows(held: dict) -> Iterator[pa.RecordBatch]:
+        for (lang, source), own in held.items():
+            both = np.fromiter(own.values(), np.int64, len(own))
+            columns = [pa.array([x] * len(own), pa.string()) for x in (lang, source)]
+            yield pa.RecordBatch.from_arrays(
+                [*columns, pa.array(own.keys(), pa.string()), pa.array(both & (DOC - 1)), pa.array(both >> DOC_BIT)], ["lang", "source", "term", "n", "docs"]
+            )
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple, tuple[Counter, Counter]] = {}
+        held: dict[tuple, dict[str, int]] = {}
         size = 0
         for batch in batches:
             for text, lang, source in zip(*(batch.column(c).to_pylist() for c in ("text", "lang", "source"))):
-                found = Counter(_TERM.findall(text.encode().lower().decode()))  # bytes: ASCII letters only
-                n, docs = held.setdefault((lang, source), (Counter(), Counter()))
-                size -= len(n)
-                n.update(found)
-                docs.update(found.keys())
-                size += len(n)
+                own = held.setdefault((lang, source), {})
+                size -= len(own)
+                before = own.get
+                # bytes: ASCII letters only
+                for term, n in Counter(_TERM.findall(text.encode().lower().decode())).items():
+                    own[term] = before(term, 0) + n + DOC
+                size += len(own)
                 if size > HELD:
-                    yield rows(held)
+                    yield from rows(held)
                     held, size = {}, 0
-        if held:
-            yield rows(held)
+        yield from rows(held)
 
     return groups.mapInArrow(run, "lang string, source string, term string, n bigint, docs bigint")
 
@@ -174,11 +180,16 @@ def band(count: np.ndarray, against: np.ndarray, term: list[str], top: int) -> n
     place[sorted(range(len(names)), key=names.__getitem__)] = np.arange(len(names))
     kept: list[int] = []
     low, early = np.empty(len(names), np.int64), np.empty(len(names), np.int64)
-    for i in np.lexsort((place, against, -count)):
-        n = len(kept)
-        if np.count_nonzero((low[:n] <= against[i]) & (early[:n] < place[i])) < top:
-            low[n], early[n] = against[i], place[i]
-            kept.append(i)
+    order = np.lexsort((place, against, -count))
+    for start in range(0, len(order), TOGETHER):
+        some, n = order[start : start + TOGETHER], len(kept)
+        # Most are passed by what is kept already; the others may also be passed by each other.
+        passed = ((low[:n, None] <= against[some]) & (early[:n, None] < place[some])).sum(axis=0)
+        for i in some[passed < top]:
+            n = len(kept)
+            if np.count_nonzero((low[:n] <= against[i]) & (early[:n] < place[i])) < top:
+                low[n], early[n] = against[i], place[i]
+                kept.append(i)
     return np.array(kept, np.int64)
 
 
