@@ -19,8 +19,8 @@ from __future__ import annotations
 
 import base64
 import re
+from array import array
 from collections import Counter
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -99,7 +99,8 @@ class Fertility:
         words = [w.decode() for w in new]
         others = zip(*(map(len, cut(words)) for cut in self._others)) if self._others else [()] * len(new)
         alnum = (sum(map(str.isalnum, w)) for w in words)
-        self._known.update(zip(new, zip(self._cut(words), alnum, others)))
+        packed = (array("I", ids).tobytes() for ids in self._cut(words))  # a fourth of the memory of lists
+        self._known.update(zip(new, zip(packed, alnum, others)))
 
     def measure(self, count: Counter) -> tuple[int, float, float, int, list[int]]:
         """Of a text with these word counts: tokens, share of byte tokens, entropy in bits, letters and
@@ -108,8 +109,8 @@ class Fertility:
             return 0, 0.0, 0.0, 0, [0] * len(self._others)
         cuts, alnum, others = zip(*map(self._known.__getitem__, count))
         times = np.fromiter(count.values(), np.int64, len(cuts))
-        each = np.repeat(times, np.fromiter(map(len, cuts), np.int64, len(cuts)))
-        tokens = np.fromiter(chain.from_iterable(cuts), np.int64, len(each))
+        each = np.repeat(times, np.fromiter(map(len, cuts), np.int64, len(cuts)) // array("I").itemsize)
+        tokens = np.frombuffer(b"".join(cuts), np.uintc)
         per_token = np.bincount(tokens, each, self._size)
         total = int(each.sum())
         share = per_token[per_token > 0] / total
