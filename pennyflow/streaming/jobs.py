@@ -8,17 +8,15 @@ after a failure replaces its own rows and no others.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StructField, StructType
 
 from pennyflow import schemas as S
 from pennyflow.operators.ingest import decode_messages, rejected_payments, stamp_events, to_behaviour
-from pennyflow.plans.fraud import fraud_flags
 from pennyflow.sources.tables import with_event_date
+from pennyflow.streaming.running import take_batch
 
 T = "time_transaction_occurred"
 
@@ -36,11 +34,6 @@ def _put(df: DataFrame, folder: str, batch: int) -> None:
     df.write.mode("overwrite").parquet(f"{folder}/batch={batch}")
 
 
-def _read_batches(spark: SparkSession, folder: str, schema: StructType, up_to: int) -> DataFrame:
-    numbered = StructType(schema.fields + [StructField("batch", LongType())])
-    return spark.read.schema(numbered).parquet(folder).where(F.col("batch") <= up_to).drop("batch")
-
-
 # --- event log ---------------------------------------------------------------------------
 
 
@@ -94,45 +87,21 @@ def behaviour_stream(messages: DataFrame, out: str, rejected: str, checkpoint: s
 # --- fraud flags -------------------------------------------------------------------------
 
 
-def _user_bucket(buckets: int):
-    return F.pmod(F.xxhash64("user_id"), F.lit(buckets)).cast("long").alias("bucket")
-
-
 def fraud_stream(
-    payments: DataFrame, history: str, flags: str, checkpoint: str, buckets: int = 64
+    payments: DataFrame, state: str, flags: str, checkpoint: str, buckets: int = 64
 ) -> StreamingQuery:
-    """After each batch of payments, check the users in it against their whole history.
+    """After each batch of payments, check the users in it against all that is known of them.
 
     Flags of earlier batches count as cut-offs, those of the batch itself do not, so a repeated
-    batch comes to the same flags. The batch's newest processing time serves as "now".
-
-    The history is kept in folders by a hash of the user. The join with the batch's users names the
-    folder too, so a batch of few users reads only their folders.
+    batch comes to the same flags. The newest processing time so far serves as "now". What is known
+    is kept as running facts (see `running`): a batch reads the state of its users' buckets and no
+    earlier payments or flags.
     """
-    stored = StructType(S.BEHAVIOUR.fields + [StructField("bucket", LongType())])
-
-    def write(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        path = f"{history}/batch={number}"
-        placed = batch.select(*S.BEHAVIOUR.names, _user_bucket(buckets)).hint("rebalance", "bucket")
-        placed.write.mode("overwrite").partitionBy("bucket").parquet(path)
-        fresh = spark.read.schema(stored).parquet(path)
-        newest = fresh.agg(F.max("created_at")).first()[0]
-        if newest is None:  # later batches read this one's flags, so there must be a folder
-            _put(spark.createDataFrame([], S.FLAGS), flags, number)
-            return
-        users = fresh.select("user_id", "bucket").distinct()
-        known = _read_batches(spark, history, stored, number)
-        # the facts ask for these rows several times
-        known = known.join(users, ["bucket", "user_id"], "left_semi").drop("bucket").persist()
-        earlier = spark.createDataFrame([], S.FLAGS)
-        if number > 0:
-            earlier = _read_batches(spark, flags, S.FLAGS, number - 1).join(users, "user_id", "left_semi")
-        as_of = datetime.fromtimestamp(newest / 1000, timezone.utc).date()
-        _put(fraud_flags(known, earlier, as_of, newest), flags, number)
-        known.unpersist()
-
-    return _start(payments, checkpoint, write)
+    return _start(
+        payments.select(*S.BEHAVIOUR.names),
+        checkpoint,
+        lambda batch, number: take_batch(batch, number, state, flags, buckets),
+    )
 
 
 def last_flag_stream(flags: DataFrame, out: str, checkpoint: str) -> StreamingQuery:

@@ -1,5 +1,8 @@
 import base64
 import json
+import random
+import shutil
+from datetime import datetime, timezone
 
 import pytest
 
@@ -7,7 +10,7 @@ from pennyflow import constants as C
 from pennyflow import schemas as S
 from pennyflow.plans.fraud import fraud_flags
 from pennyflow.sources.streams import read_event_stream, read_message_stream
-from pennyflow.streaming import jobs
+from pennyflow.streaming import jobs, running
 from pennyflow.timebox import day_start
 
 DAY = C.DAY_MS
@@ -91,6 +94,69 @@ def test_fraud_stream_equals_batches(spark, payments, tmp_path):
     ])
 
 
+def put_payments(spark, payments, folder, number, moves):
+    payments(moves).coalesce(1).write.parquet(f"{folder}/part={number}")
+    return spark.readStream.schema(S.BEHAVIOUR).parquet(f"{folder}/part=*").select(*S.BEHAVIOUR.names)
+
+
+def flags_by_batches(spark, payments, batches):
+    """Every batch judged over all payments so far, with the flags of earlier batches as cut-offs."""
+    known, given, now = [], [], None
+    for moves in batches:
+        known += moves
+        if not moves:
+            continue
+        now = max(max(m[3] for m in moves), now or 0)
+        mine = payments([k for k in known if k[0] in {m[0] for m in moves}])
+        earlier = spark.createDataFrame(given, S.FLAGS)
+        given += [tuple(r) for r in fraud_flags(mine, earlier, datetime.fromtimestamp(now / 1000, timezone.utc).date(), now).collect()]
+    return sorted(given)
+
+
+def random_batches(n, seed):
+    """Half a year and more of payments of few users, some of them late, with large savings and quick withdrawals."""
+    rnd = random.Random(seed)
+    batches = []
+    for k in range(n):
+        moves, day = [], START + k * 45 * DAY
+        for _ in range(rnd.randrange(1, 30)):
+            late = rnd.choice([0, 0, 0, 1, 40 * DAY, 200 * DAY])
+            kind = rnd.choice([C.SAVING, C.SAVING, C.WITHDRAWAL])
+            amount = rnd.choice([100, 100, 98, 60_000, 60_000, 120_000])
+            moves.append((rnd.choice("abcd"), kind, amount, day - late - rnd.randrange(3 * DAY)))
+        batches.append(moves)
+    return batches
+
+
+def test_running_facts_equal_whole_history(spark, payments, tmp_path):
+    batches = random_batches(6, 5)
+    batches.insert(3, [])
+    state, flags, checkpoint = str(tmp_path / "state"), str(tmp_path / "flags"), str(tmp_path / "cp")
+    for i, moves in enumerate(batches):
+        stream = put_payments(spark, payments, tmp_path / "in", i, moves)
+        jobs.fraud_stream(stream, state, flags, checkpoint, buckets=3).awaitTermination()
+    got = table(spark, flags, S.FLAGS)
+    assert got == flags_by_batches(spark, payments, batches)
+    assert {r[2] for r in got} >= {C.RULE_VERY_LARGE, C.RULE_SEVERAL_LARGE, C.RULE_TWO_DAYS, C.NOT_FLAGGED}
+
+
+def test_repeated_batch_changes_nothing_and_old_batches_are_not_read(spark, payments, tmp_path):
+    batches = random_batches(4, 9)
+    state, flags = str(tmp_path / "state"), str(tmp_path / "flags")
+    for number, moves in enumerate(batches):
+        running.take_batch(payments(moves), number, state, flags, 2)
+        once = [table(spark, flags, S.FLAGS), *(sorted(map(str, spark.read.parquet(f"{state}/{t}/batch={number}").collect())) for t in running.TABLES)]
+        running.take_batch(payments(moves), number, state, flags, 2)
+        again = [table(spark, flags, S.FLAGS), *(sorted(map(str, spark.read.parquet(f"{state}/{t}/batch={number}").collect())) for t in running.TABLES)]
+        assert once == again
+        if number >= 2:  # all of an earlier batch may go; what still counts stands in later ones
+            holders, _ = running.read_mark(spark, state, number)
+            for old in set(range(number)) - set(holders.values()):
+                for name in (*running.TABLES, "marks"):
+                    shutil.rmtree(f"{state}/{name}/batch={old}", ignore_errors=True)
+    assert table(spark, flags, S.FLAGS) == flags_by_batches(spark, payments, batches)
+
+
 def test_fraud_stream_goes_on_after_an_empty_batch(spark, payments, tmp_path):
     history, flags = str(tmp_path / "history"), str(tmp_path / "flags")
     for i, moves in enumerate([[], [("big", C.SAVING, 200_000, START)]]):
