@@ -763,3 +763,11 @@ SQL["rules_on_trial"] = q(
     f"SELECT on_trial, rule_label, count(*) AS flags FROM ({_flag_counts(_ON_TRIAL[:-1], 'false')} UNION ALL {_flag_counts(_ON_TRIAL, 'true')}) GROUP BY ALL",
     FACTS,
 )
+
+SQL["append_events"] = q(
+    "SELECT event_type AS what, strftime(make_timestamp(t * 1000), '%Y-%m-%d') AS day, count(*) AS rows, true AS taken "
+    "FROM ev WHERE t % 11 <> 0 AND t % 13 <> 0 AND t % 17 <> 0 GROUP BY 1, 2 "
+    "UNION ALL SELECT what, NULL, count(*), false FROM ("
+    "SELECT 'no user_id' AS what FROM ev WHERE t % 11 = 0 UNION ALL SELECT 'no event_type' FROM ev WHERE t % 13 = 0 "
+    "UNION ALL SELECT 'time_transaction_occurred is not a time' FROM ev WHERE t % 17 = 0) GROUP BY what"
+)

@@ -390,6 +390,7 @@ register("score_users", _scores)
 register("read_events", lambda spark, d: round_trips.event_table(spark, d).drop("event_date"))
 register("read_behaviour", lambda spark, d: round_trips.behaviour_table(spark, d).drop("event_date"))
 register("read_flags", round_trips.flag_table)
+register("append_events", round_trips.appended_events)
 register("read_events_csv", round_trips.csv_log)
 register(
     "export_files",

@@ -12,6 +12,8 @@ from functools import lru_cache
 from pyspark.sql import SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def build_session(name: str = "pennyflow", **extra: str) -> SparkSession:
@@ -23,10 +25,7 @@ def build_session(name: str = "pennyflow", **extra: str) -> SparkSession:
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         # state on disk, so that a stream's memory does not grow with its keys
-        .config(
-            "spark.sql.streaming.stateStore.providerClass",
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-        )
+        .config(STATE_STORE, ROCKS_DB)
     )
     for key, value in extra.items():
         builder = builder.config(key.replace("__", "."), value)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pennyflow import schemas as S
 from pennyflow.operators.ingest import flatten_export
@@ -20,6 +21,27 @@ def event_table(spark: SparkSession, folder: str) -> DataFrame:
     return tables.read_events(spark, path)
 
 
+def appended_events(spark: SparkSession, folder: str) -> DataFrame:
+    """Two deliveries, the first of them twice, with rows that cannot be inserted: rows taken by type and day, rows
+    refused by reason."""
+    path, log = shared_folder(spark, "appended"), mapped.event_log(spark, folder)
+    t = F.col(tables.TIME)
+    log = log.withColumns(
+        {
+            "user_id": F.when(t % 11 != 0, F.col("user_id")),
+            "event_type": F.when(t % 13 != 0, F.col("event_type")),
+            tables.TIME: F.when(t % 17 == 0, -t).otherwise(t),
+        }
+    )
+    first = t % 2 == 0
+    for name, rows in (("a", log.where(first)), ("b", log.where(~first)), ("a", log.where(first))):
+        tables.append_once(rows, path, name, S.EVENTS)
+    count = F.count(F.lit(1)).alias("rows")
+    taken = tables.read_appended(spark, path, S.EVENTS).groupBy(F.col("event_type").alias("what"), F.col("event_date").cast("string").alias("day")).agg(count)
+    refused = tables.read_refused(spark, path, S.EVENTS).select(F.explode("reasons").alias("what")).groupBy("what").agg(count)
+    return taken.withColumn("taken", F.lit(True)).unionByName(refused.withColumn("taken", F.lit(False)), allowMissingColumns=True)
+
+
 def behaviour_table(spark: SparkSession, folder: str) -> DataFrame:
     path = shared_folder(spark, "payments")
     tables.append_rows(mapped.behaviour(spark, folder), path)

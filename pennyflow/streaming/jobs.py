@@ -7,15 +7,19 @@ after a failure replaces its own rows and no others.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from pennyflow import constants as C
 from pennyflow import schemas as S
 from pennyflow.operators.ingest import decode_messages, rejected_payments, stamp_events, to_behaviour
-from pennyflow.sources.tables import with_event_date
+from pennyflow.session import ROCKS_DB, STATE_STORE
+from pennyflow.sources.tables import existing, with_event_date
 from pennyflow.streaming.running import take_batch
 
 T = "time_transaction_occurred"
@@ -104,17 +108,42 @@ def fraud_stream(
     )
 
 
+class LastFlag(StatefulProcessor):
+    """The newest flag time of a user and rule; told again whenever it grows."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.last = handle.getValueState("last", "at long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        newest = max(int(frame["created_at"].max()) for frame in rows)
+        if not self.last.exists() or newest > self.last.get()[0]:
+            self.last.update((newest,))
+            yield pd.DataFrame({"user_id": [key[0]], "rule_label": [key[1]], "last_flag_time": [newest]})
+
+    def close(self) -> None:
+        pass
+
+
 def last_flag_stream(flags: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    """Keep the last flag time per user and rule as state; each batch writes what it changed, and a
-    reader takes the largest time. Times only grow, so a repeated batch does no harm."""
-    last = flags.groupBy("user_id", "rule_label").agg(F.max("created_at").alias("last_flag_time"))
-    return (
-        last.writeStream.outputMode("update")
-        .foreachBatch(lambda batch, number: _put(batch, out, number))
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
+    """Keep the last flag time per user and rule as a value in the state store, which is on disk (RocksDB) and
+    is restored from the checkpoint. Each batch writes what it changed, and a reader takes the largest time;
+    times only grow, so a repeated batch does no harm."""
+    last = flags.select("user_id", "rule_label", "created_at").groupBy("user_id", "rule_label").transformWithStateInPandas(
+        LastFlag(), "user_id string, rule_label string, last_flag_time long", "Update", "None"
     )
+    conf = flags.sparkSession.conf
+    given = conf.get(STATE_STORE, None)
+    conf.set(STATE_STORE, ROCKS_DB)  # the only store that keyed custom state can use; a query keeps what it starts with
+    try:
+        return (
+            last.writeStream.outputMode("update")
+            .foreachBatch(lambda batch, number: _put(batch, out, number))
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+    finally:
+        conf.set(STATE_STORE, given) if given else conf.unset(STATE_STORE)
 
 
 def newest_flag_times(spark: SparkSession, out: str) -> DataFrame:
@@ -141,19 +170,31 @@ def newest_windows(spark: SparkSession, out: str) -> DataFrame:
     return rows.groupBy("start", "event_type").agg(F.sum("rows").alias("rows"))
 
 
-def deduplicated_stream(events: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+def deduplicated_stream(events: DataFrame, out: str, seen: str, checkpoint: str) -> StreamingQuery:
     """Each event once, however often and late it is delivered. Off unless asked for: the event log itself
     keeps repeated deliveries.
 
-    The state holds every event seen, without end, as a digest of the context instead of the text.
+    The time is a part of what makes two events the same, so an event can only be repeated within its own hour.
+    `seen` holds digests of the events by hour and batch: a batch reads the hours that it has events of, and no
+    others, and nothing is kept in memory or in a state store between batches. A batch looks at those before it
+    only and replaces its own folders, so a repeated batch comes to the same rows.
     """
-    digest = F.sha2(F.coalesce("context", F.lit("\0none")), 256)
-    key = ["user_id", "event_type", T, "digest"]
-    unique = events.withColumn("digest", digest).dropDuplicates(key).drop("digest")
-    return (
-        unique.writeStream.format("parquet")
-        .option("path", out)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    digest = F.md5(F.to_json(F.struct("user_id", "event_type", T, "context"), {"ignoreNullFields": "false"}))
+    hour = (F.col(T) / C.HOUR_MS).cast("long")
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        fresh = batch.withColumns({"digest": digest, "hour": F.coalesce(hour, F.lit(-1))}).dropDuplicates(["digest"])
+        hours = [r["hour"] for r in batch.select(F.coalesce(hour, F.lit(-1)).alias("hour")).distinct().collect()]
+        folders = existing(spark, [f"{seen}/hour={h}" for h in hours])
+        if folders:
+            known = spark.read.schema("digest string, hour long, batch long").option("basePath", seen).parquet(*folders)
+            fresh = fresh.join(known.where(F.col("batch") < number).select("digest"), "digest", "left_anti")
+        _put(fresh.drop("digest", "hour"), out, number)
+        # the batch's own digests, from the rows that were written
+        written = spark.read.schema(batch.schema).parquet(f"{out}/batch={number}")
+        own = written.select(digest.alias("digest"), F.coalesce(hour, F.lit(-1)).alias("hour"), F.lit(number).alias("batch"))
+        own = own.hint("rebalance", "hour")
+        own.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("hour", "batch").parquet(seen)
+
+    return _start(events, checkpoint, write)

@@ -66,10 +66,14 @@ def run_fraud(spark: SparkSession, folder: str, days: tuple[str, ...]) -> DataFr
 
 
 def run_last_flags(spark: SparkSession, folder: str) -> DataFrame:
+    """Flags arrive in three parts; the stream is stopped and started again between them."""
     work = shared_folder(spark, "last-flags")
-    mapped.flags(spark, folder).write.parquet(f"{work}/flags")
-    flags = spark.readStream.schema(S.FLAGS).option("maxBytesPerTrigger", BYTES_PER_BATCH).parquet(f"{work}/flags")
-    jobs.last_flag_stream(flags, f"{work}/last", f"{work}/checkpoint").awaitTermination()
+    given = mapped.flags(spark, folder)
+    part = F.pmod(F.xxhash64("user_id", "rule_label", "created_at"), F.lit(3))
+    stream = spark.readStream.schema(S.FLAGS).option("maxBytesPerTrigger", BYTES_PER_BATCH).parquet(f"{work}/flags/part=*")
+    for number in range(3):
+        given.where(part == number).write.parquet(f"{work}/flags/part={number}")
+        jobs.last_flag_stream(stream.select(*S.FLAGS.names), f"{work}/last", f"{work}/checkpoint").awaitTermination()
     return jobs.newest_flag_times(spark, f"{work}/last")
 
 
@@ -85,7 +89,7 @@ def run_deduplicated(spark: SparkSession, folder: str) -> DataFrame:
     work = shared_folder(spark, "dedup")
     once = mapped.event_log(spark, folder)
     events = _event_files(spark, once.unionByName(once), work)
-    jobs.deduplicated_stream(events, f"{work}/unique", f"{work}/checkpoint").awaitTermination()
+    jobs.deduplicated_stream(events, f"{work}/unique", f"{work}/seen", f"{work}/checkpoint").awaitTermination()
     return spark.read.schema(S.EVENTS).parquet(f"{work}/unique").select("user_id", "event_type", T, "context")
 
 

@@ -209,3 +209,19 @@ def test_csv_event_log(spark, events, tmp_path):
     got = tables.read_events_csv(spark, str(tmp_path / "csv")).orderBy(F.col("user_id"))
     assert got.first()["context"] == '{"a":"b, c","d":"e"}'
     assert got.count() == 2
+
+
+def test_a_delivery_is_appended_once(spark, events, tmp_path):
+    path = str(tmp_path / "log")
+    rows = events([("a", "E", day_start("2024-01-02")), ("b", "E", day_start("2024-01-03")), ("c", "E", -5)])
+    loose = rows.withColumn("user_id", F.when(F.col("user_id") != "b", F.col("user_id")))
+    assert tables.append_once(loose, path, "one", S.EVENTS) == (1, 2)
+    assert tables.append_once(loose, path, "one", S.EVENTS) == (1, 2)  # delivered again
+    # a delivery that died before it was published is not read, and is written anew
+    loose.select(*S.EVENTS.names).write.parquet(f"{path}/data/append=two/event_date=2024-01-02")
+    assert tables.read_appended(spark, path, S.EVENTS).count() == 1
+    assert tables.append_once(rows.where("user_id = 'a'"), path, "two", S.EVENTS) == (1, 0)
+    got = tables.read_appended(spark, path, S.EVENTS).select("user_id", "append", F.col("event_date").cast("string")).collect()
+    assert sorted(map(tuple, got)) == [("a", "one", "2024-01-02"), ("a", "two", "2024-01-02")]
+    reasons = {r["user_id"]: r["reasons"] for r in tables.read_refused(spark, path, S.EVENTS).collect()}
+    assert reasons == {None: ["no user_id"], "c": ["time_transaction_occurred is not a time"]}

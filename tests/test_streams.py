@@ -188,7 +188,7 @@ def test_duplicates_within_and_across_batches(spark, event_files, tmp_path):
     row, other = ("a", "E", START), ("a", "E", START + 1)
     folder = event_files([row, row], [row, other])
     out = str(tmp_path / "unique")
-    jobs.deduplicated_stream(read_event_stream(spark, folder, 1), out, str(tmp_path / "cp")).awaitTermination()
+    jobs.deduplicated_stream(read_event_stream(spark, folder, 1), out, str(tmp_path / "seen"), str(tmp_path / "cp")).awaitTermination()
     assert [r[2] for r in table(spark, out, S.EVENTS)] == [START, START + 1]
 
 
@@ -198,10 +198,45 @@ def test_rows_behind_all_others_are_kept(spark, event_files, tmp_path):
     out, unique = str(tmp_path / "counts"), str(tmp_path / "unique")
     jobs.events_per_window(read_event_stream(spark, folder, 1), out, str(tmp_path / "cp")).awaitTermination()
     assert sorted(tuple(r) for r in jobs.newest_windows(spark, out).collect()) == [(late[2], "E", 2), (START, "E", 2)]
-    jobs.deduplicated_stream(read_event_stream(spark, folder, 1), unique, str(tmp_path / "cp2")).awaitTermination()
+    jobs.deduplicated_stream(read_event_stream(spark, folder, 1), unique, str(tmp_path / "seen"), str(tmp_path / "cp2")).awaitTermination()
     assert [r[2] for r in table(spark, unique, S.EVENTS)] == [START, START + 1, late[2]]
 
 
+def test_duplicates_over_any_delay(spark, event_files, tmp_path):
+    """Every event comes up to three times, up to months apart; a batch opens the hours of its own events only."""
+    rnd = random.Random(3)
+    parts = [[] for _ in range(4)]
+    for _ in range(60):
+        row = (rnd.choice("abc"), rnd.choice(["E", "F"]), START + rnd.randrange(6) * 7 * DAY + rnd.randrange(4), "S", rnd.choice([None, "", "{}"]))
+        for _ in range(rnd.randrange(1, 4)):
+            rnd.choice(parts).append(row)
+    folder, out, seen = event_files(*parts), str(tmp_path / "unique"), tmp_path / "seen"
+    jobs.deduplicated_stream(read_event_stream(spark, folder, 1), out, str(seen), str(tmp_path / "cp")).awaitTermination()
+    got = spark.read.schema(S.EVENTS).parquet(out).select("user_id", "event_type", "time_transaction_occurred", "context")
+    got = sorted(map(tuple, got.collect()), key=str)
+    assert got == sorted({(r[0], r[1], r[2], r[4]) for part in parts for r in part}, key=str)
+    assert len(list(seen.glob("hour=*"))) == len({r[2] // C.HOUR_MS for part in parts for r in part})
+    assert spark.read.parquet(str(seen)).count() == len(got)  # one digest an event, and no state beside
+
+
+def test_last_flags_after_restarts(spark, tmp_path):
+    rnd, rows = random.Random(8), []
+    out, checkpoint = str(tmp_path / "last"), str(tmp_path / "cp")
+    for part in range(3):
+        fresh = [(rnd.choice("ab"), "acc", rnd.choice(C.RULE_LABELS[:2]), "r", "P", rnd.randrange(1000), 0) for _ in range(6)]
+        rows += fresh
+        spark.createDataFrame(fresh, S.FLAGS).coalesce(1).write.parquet(str(tmp_path / "in" / f"part={part}"))
+        stream = spark.readStream.schema(S.FLAGS).parquet(str(tmp_path / "in" / "part=*")).select(*S.FLAGS.names)
+        jobs.last_flag_stream(stream, out, checkpoint).awaitTermination()
+    newest = {}
+    for r in rows:
+        newest[r[0], r[2]] = max(r[5], newest.get((r[0], r[2]), 0))
+    told = spark.read.schema("user_id string, rule_label string, last_flag_time long").parquet(out)
+    assert {(r[0], r[1]): r[2] for r in jobs.newest_flag_times(spark, out).collect()} == newest
+    # after a restart a value is told again only if it grew
+    assert told.groupBy("user_id", "rule_label", "last_flag_time").count().where("count > 1").count() == 0
+
+
 def test_shared_folder_is_the_clusters(spark):
     from pennyflow.session import CHECKPOINT_SETTING, shared_folder
 
