@@ -28,6 +28,8 @@ from pennyflow.operators.filters import (
 from pennyflow.timebox import Window, day_end, day_start, days_before
 
 USER, T = "user_id", "time_transaction_occurred"
+#: The longest piece by which ids are looked for in texts.
+PIECE = 6
 
 
 def ratio(a: Column, b: Column) -> Column:
@@ -195,6 +197,32 @@ def expired_on(events: DataFrame, as_of: date | str) -> DataFrame:
     return _by_event(events, C.BOOST_EXPIRED, Window.of_day(as_of), C.SERVICE_SOURCE)
 
 
+def _pieces(df: DataFrame, text: str, size: Column, *kept: Column | str) -> DataFrame:
+    """Each row once for every distinct piece of `size` characters of its text."""
+    sized = df.withColumn("size", size).where(F.length(text) >= F.col("size"))
+    starts = F.sequence(F.lit(1), F.length(text) - F.col("size") + 1)
+    pieces = F.array_distinct(F.transform(starts, lambda p: F.substring(F.col(text), p, F.col("size"))))
+    return sized.select(*kept, F.explode(pieces).alias("piece"))
+
+
+def ids_in_texts(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """(context, boost_id): which distinct texts hold which ids, anywhere.
+
+    Pieces have one length, that of the shortest id, `PIECE` at most. An id is indexed by the one of its
+    pieces that the fewest ids have, so a text gives one row per character, however many lengths the ids
+    have, and meets an id only where that piece stands; the id is then looked for whole.
+    """
+    ids = ids.where(F.length("boost_id") > 0).distinct()
+    size = ids.agg(F.least(F.min(F.length("boost_id")), F.lit(PIECE))).scalar()
+    own = _pieces(ids, "boost_id", size, "boost_id")
+    rarity = own.groupBy("piece").agg(F.count(F.lit(1)).alias("n"))
+    index = own.join(rarity, "piece").groupBy("boost_id").agg(F.min(F.struct("n", "piece"))["piece"].alias("piece"))
+    # The pieces carry the text's hash; the text itself comes back where a piece was met.
+    distinct = texts.where(F.col("context").isNotNull()).distinct().withColumn("text", F.xxhash64("context"))
+    met = _pieces(distinct, "context", size, "text").join(index, "piece").select("text", "boost_id").distinct()
+    return distinct.join(met, "text").where(F.contains("context", "boost_id")).select("context", "boost_id")
+
+
 def users_offered_boosts(
     events: DataFrame, ids: DataFrame, as_of: date | str, match: str = "literal"
 ) -> DataFrame:
@@ -202,10 +230,9 @@ def users_offered_boosts(
     expired offer with it up to ``as_of``.
 
     ``literal`` finds the id anywhere in the context text, so ``b1`` also counts ``b12``; ``key``
-    compares the offer's own id. To find ids in texts without comparing every text to every id, each
-    distinct text is cut once into its pieces of the lengths the ids have, and pieces join ids by
-    equality; the users come to the texts that hold an id. Users are made distinct per id by id and
-    user, so an offer made to everybody is spread over all tasks.
+    compares the offer's own id. Ids are looked for in distinct texts (`ids_in_texts`), and the users
+    come to the texts that hold an id. Users are made distinct per id by id and user, so an offer made
+    to everybody is spread over all tasks.
     """
     listed = ids.where(F.col("boost_id").isNotNull()).groupBy("boost_id")
     listed = listed.agg(F.count(F.lit(1)).alias("times"))
@@ -215,18 +242,7 @@ def users_offered_boosts(
     if match == "key":
         found = expired.select(USER, F.get_json_object("context", "$.boostId").alias("boost_id"))
     elif match == "literal":
-        lengths = listed.agg(F.collect_set(F.length("boost_id"))).scalar()
-        size = F.col("size")
-        starts = F.sequence(F.lit(1), F.length("context") - size + 1)
-        pieces = F.array_distinct(F.transform(starts, lambda p: F.substring(F.col("context"), p, size)))
-        cut = (
-            expired.select("context")
-            .distinct()
-            .withColumn("size", F.explode(lengths))
-            .where((size > 0) & (F.length("context") >= size))
-            .select("context", F.explode(pieces).alias("boost_id"))
-        )
-        holding = cut.join(listed.select("boost_id"), "boost_id", "left_semi")
+        holding = ids_in_texts(expired.select("context"), listed.select("boost_id"))
         found = expired.select(USER, "context").join(holding, "context").select(USER, "boost_id")
     else:
         raise ValueError(f"match must be 'literal' or 'key', not {match!r}")

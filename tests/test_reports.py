@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -61,6 +63,28 @@ def test_boost_id_match(spark, events, match, users):
     assert got == [("a-long-id-that-no-context-holds", 1, 0), ("b1", 2, users)]
 
 
+def test_ids_in_texts_equal_plain_search(spark):
+    rnd = random.Random(6)
+    some = lambda most: "".join(rnd.choice("ab1é") for _ in range(rnd.randrange(most)))
+    for shortest in (1, 3, 8):
+        ids = [some(9) + "x" * shortest for _ in range(40)] + ["", "nowhere-at-all"]
+        texts = [some(60) + rnd.choice(ids) + some(20) for _ in range(80)] + ["", "x", None]
+        held = metrics.ids_in_texts(
+            spark.createDataFrame([(t,) for t in texts], "context string"), spark.createDataFrame([(i,) for i in ids], "boost_id string")
+        )
+        want = {(t, i) for t in texts if t for i in ids if i and i in t}
+        assert want and sorted(map(tuple, held.collect())) == sorted(want)
+
+
+def test_pieces_of_a_text_are_linear(spark):
+    """One row per character, whatever lengths the ids have."""
+    texts = spark.createDataFrame([("".join(f"{i:04d}" for i in range(500)),)], "context string")
+    for lengths in ([6], range(6, 60)):
+        ids = spark.createDataFrame([("9" * n,) for n in lengths], "boost_id string")
+        size = ids.agg(F.min(F.length("boost_id"))).scalar()
+        assert metrics._pieces(texts, "context", size, "context").count() <= 2000
+
+
 def test_averages_count_empty_days(events, payments):
     log = [("a", "USER_OPENED_APP", YESTERDAY, "AMPLITUDE"), ("b", "USER_OPENED_APP", YESTERDAY + DAY - 500, "AMPLITUDE")]
     got = metrics.daily_avg_users_by_event(events(log), "USER_OPENED_APP", AS_OF, 4)
