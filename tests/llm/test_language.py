@@ -21,6 +21,7 @@ def test_shorter_grams_serve_unseen_words():
     assert judge("abc")[0] == judge("abq")[0] == judge("qqa")[0] == "x" and judge("xyq")[0] == judge("qx")[0] == "y"
     assert judge("ñ") == ("x", 0.5) and judge("12 ,") == judge(None) == judge("") == ("und", 0.0)
     assert model.score("abq")[0] < model.score("abq")[1] * 0.9 or model.score("abq")[0] > model.score("abq")[1]
+    assert judge("² ½ ①") == judge("³⁴") == ("und", 0.0) and language.words("a²b ½c ①") == ["a", "b", "c"]
     assert language.Judge(language.Model([], {}))("abc") == ("und", 0.0)
 
 
