@@ -53,7 +53,7 @@ MANY = 64
 #: Stands for the number of nodes of marked shingles, in the order of shingles.
 MARKED = 1 << 30
 #: Shingles of nodes searched, and of nodes searching, in one task at a time, about.
-BLOCK = 500_000
+BLOCK = 100_000
 #: Weight of a probe in a long list against a step in a short one, as in the published method.
 MU = 0.01
 
