@@ -47,6 +47,21 @@ def existing(spark: SparkSession, paths: list[str]) -> list[str]:
     return [p for p in paths if path(p).getFileSystem(conf).exists(path(p))]
 
 
+def numbered(spark: SparkSession, folder: str, name: str) -> list[int]:
+    """The numbers of the finished folders `name=number` in a folder, in order."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [f.getPath().getName() for f in store.listStatus(path)] if store.exists(path) else []
+    numbers = sorted(int(f.split("=")[1]) for f in found if f.startswith(f"{name}="))
+    done = set(existing(spark, [f"{folder}/{name}={n}/_SUCCESS" for n in numbers]))
+    return [n for n in numbers if f"{folder}/{name}={n}/_SUCCESS" in done]
+
+
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def refusals(schema: T.StructType) -> Column:
     """Why a row cannot be inserted: each required field that is missing, and a time that is none. Empty if it can."""
     missing = [F.when(F.col(f.name).isNull(), F.lit(f"no {f.name}")) for f in schema.fields if not f.nullable]

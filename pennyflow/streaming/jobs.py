@@ -19,7 +19,7 @@ from pennyflow import constants as C
 from pennyflow import schemas as S
 from pennyflow.operators.ingest import decode_messages, rejected_payments, stamp_events, to_behaviour
 from pennyflow.session import ROCKS_DB, STATE_STORE
-from pennyflow.sources.tables import existing, with_event_date
+from pennyflow.sources.tables import drop_folder, existing, numbered, with_event_date
 from pennyflow.streaming.running import take_batch
 
 T = "time_transaction_occurred"
@@ -154,20 +154,42 @@ def newest_flag_times(spark: SparkSession, out: str) -> DataFrame:
 # --- counts and duplicates ---------------------------------------------------------------
 
 
-def events_per_window(events: DataFrame, out: str, checkpoint: str, size: str = "1 hour") -> StreamingQuery:
-    """Rows per tumbling window and event type. Each batch writes its own counts and readers add them up, so
-    nothing is kept between batches and a row counts however late it comes."""
+COUNTS = "start long, event_type string, rows long"
 
-    def write(batch: DataFrame, number: int) -> None:
-        counts = batch.groupBy(F.window(F.timestamp_millis(F.col(T)), size), "event_type").agg(F.count(F.lit(1)).alias("rows"))
-        _put(counts.select(F.unix_millis("window.start").alias("start"), "event_type", "rows"), out, number)
 
-    return _start(events, checkpoint, write)
+def count_batch(batch: DataFrame, number: int, out: str, size: str, fold: int) -> None:
+    """Write the counts of one batch, and fold all counts so far into one folder after every `fold` batches.
+
+    A fold reads the fold before it and the batches since, and only then drops what the fold before it held. So a
+    fold that died or is repeated finds all it needs, and there are never more than two folds and 2 * `fold` batches.
+    """
+    spark = batch.sparkSession
+    counts = batch.groupBy(F.window(F.timestamp_millis(F.col(T)), size), "event_type").agg(F.count(F.lit(1)).alias("rows"))
+    _put(counts.select(F.unix_millis("window.start").alias("start"), "event_type", "rows"), f"{out}/batches", number)
+    if (number + 1) % fold:
+        return
+    before = number - fold
+    newest_windows(spark, out, number).write.mode("overwrite").parquet(f"{out}/folds/upto={number}")
+    for folder, name, last in ((f"{out}/batches", "batch", before), (f"{out}/folds", "upto", before - 1)):
+        for old in numbered(spark, folder, name):
+            if old <= last:
+                drop_folder(spark, f"{folder}/{name}={old}")
+
+
+def events_per_window(events: DataFrame, out: str, checkpoint: str, size: str = "1 hour", fold: int = 20) -> StreamingQuery:
+    """Rows per tumbling window and event type. Each batch writes its own counts and readers add them up, so
+    nothing is kept between batches and a row counts however late it comes."""
+    return _start(events, checkpoint, lambda batch, number: count_batch(batch, number, out, size, fold))
 
 
-def newest_windows(spark: SparkSession, out: str) -> DataFrame:
-    rows = spark.read.schema("start long, event_type string, rows long, batch long").parquet(out)
-    return rows.groupBy("start", "event_type").agg(F.sum("rows").alias("rows"))
+def newest_windows(spark: SparkSession, out: str, upto: int | None = None) -> DataFrame:
+    """The counts of all batches, or of those up to a number: the newest fold before it and the batches since."""
+    batches = [n for n in numbered(spark, f"{out}/batches", "batch") if upto is None or n <= upto]
+    folds = [n for n in numbered(spark, f"{out}/folds", "upto") if upto is None or n < upto]
+    paths = [f"{out}/folds/upto={n}" for n in folds[-1:]] + [f"{out}/batches/batch={n}" for n in batches if not folds or n > folds[-1]]
+    if not paths:
+        return spark.createDataFrame([], COUNTS)
+    return spark.read.schema(COUNTS).parquet(*paths).groupBy("start", "event_type").agg(F.sum("rows").alias("rows"))
 
 
 def deduplicated_stream(events: DataFrame, out: str, seen: str, checkpoint: str) -> StreamingQuery:

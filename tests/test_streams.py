@@ -9,6 +9,7 @@ import pytest
 from pennyflow import constants as C
 from pennyflow import schemas as S
 from pennyflow.plans.fraud import fraud_flags
+from pennyflow.sources import tables
 from pennyflow.sources.streams import read_event_stream, read_message_stream
 from pennyflow.streaming import jobs, running
 from pennyflow.timebox import day_start
@@ -184,6 +185,20 @@ def test_hourly_counts_take_late_rows(spark, event_files, tmp_path):
     assert got == [(START, "E", 2), (START + 3_600_000, "E", 1)]
 
 
+def test_counts_are_folded(spark, events, tmp_path):
+    """Few folders stay however many batches there were; a repeated batch or fold changes nothing."""
+    out, want = str(tmp_path / "counts"), 0
+    for number in range(9):
+        batch = events([("a", "E", START + i * 3_600_000) for i in range(number % 3 + 1)])
+        want += number % 3 + 1
+        for _ in range(2 if number in (4, 5, 8) else 1):
+            jobs.count_batch(batch, number, out, "1 hour", 3)
+        assert sum(r["rows"] for r in jobs.newest_windows(spark, out).collect()) == want
+        assert len(tables.numbered(spark, f"{out}/batches", "batch")) <= 6 and len(tables.numbered(spark, f"{out}/folds", "upto")) <= 2
+    got = sorted(tuple(r) for r in jobs.newest_windows(spark, out).collect())
+    assert got == [(START, "E", 9), (START + 3_600_000, "E", 6), (START + 7_200_000, "E", 3)]
+
+
 def test_duplicates_within_and_across_batches(spark, event_files, tmp_path):
     row, other = ("a", "E", START), ("a", "E", START + 1)
     folder = event_files([row, row], [row, other])
