@@ -1,18 +1,22 @@
 """Line deduplication: repeated runs of lines are found as content-defined chunks and removed.
 
-**Chunks.** A text is cut at "\\n". Two neighbouring lines stay in one chunk unless a polynomial hash that
-rolls over their line hashes is divisible by `divisor`, so cuts depend on the lines around them alone and
-a passage is cut alike wherever it stands. A line of `LONG_LINE` words or more is always a chunk of its
-own: a long passage that was pasted as one line is caught whatever its neighbours are. Chunks that can
-be removed have two or more lines, or that one long line, and at least one character besides white space.
+**Boundaries.** A text is cut at "\\n"; lines of spaces only belong to no chunk. A polynomial hash rolls over the
+hashes of two neighbouring lines with words. A gap between such lines is a boundary unless its rolling hash
+occurs elsewhere in the table, so boundaries stand exactly where a passage begins and ends, wherever it
+stands. A chunk is what lies between two boundaries and has two or more lines. A line of `LONG_LINE` words
+or more is a chunk of its own as well: a long passage pasted as one line needs no neighbour.
 
-**Repeats.** First the 64-bit hashes of chunks that occur twice or more are found, which moves hashes only.
-Then chunks with such a hash are grouped by hash and whole text, which is the comparison byte by byte. All
-but the first occurrence, by id (null last), text and place, are removed. The minimum is taken map side,
-and the repeats are marked by a join, whose large keys Spark splits; no group is gathered.
+**Repeats.** Chunks of different documents may overlap in part only, so they are compared and removed by their links,
+the two lines beside a gap. Links whose hash occurs twice or more are found first, which moves hashes only. Their
+lines are then grouped by hash and whole text, which is the comparison byte by byte. The first occurrence of a link,
+by id (null last), text and place, is held; lines of any other occurrence go, with the blank lines between, unless a link
+that is held here needs them. So each repeated passage stays whole once, and "a a a a" becomes "a a".
+
+The minimum is taken map side, and occurrences are marked by joins, whose large keys Spark splits; what is gathered is
+the links of one document.
 
 Rows equal in id and text are one document: they keep and lose the same lines. A null text stays null and an
-empty one empty, with 0 and 1 lines. A text that loses all its chunks becomes empty. Other columns pass
+empty one empty, with 0 and 1 lines. A text that loses all its lines becomes empty. Other columns pass
 through, except that columns named like the two that are added, or with `_ld_` in front, give way.
 """
 
@@ -24,13 +28,13 @@ from pyspark.sql import functions as F
 from pennyflow.functions.plans import once
 
 LONG_LINE = 50
-DIVISOR = 3
 BASE = 31
+#: Line hashes stay below 2**56, so that the polynomial fits in 64 bits.
+HASHES = 2**56
 
 
 def line_hash(line: Column) -> Column:
-    """The first 32 bits of the line's MD5."""
-    return F.conv(F.substring(F.md5(line), 1, 8), 16, 10).cast("bigint")
+    return F.pmod(F.xxhash64(line), F.lit(HASHES))
 
 
 def _words(line: Column) -> Column:
@@ -38,117 +42,112 @@ def _words(line: Column) -> Column:
     return F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "))) + 1
 
 
-def _cut_lines(df: DataFrame, divisor: int) -> DataFrame:
-    """Adds `_ld_lines` and `_ld_ends`, the numbers (from 0) of the lines after which a chunk ends."""
-    lines = df.withColumn("_ld_lines", once(F.split("_ld_text", "\n", -1)))
-    facts = F.transform(
-        "_ld_lines", lambda x: F.struct(line_hash(x).alias("h"), (_words(x) >= LONG_LINE).alias("long"))
-    )
-    lines = lines.withColumn("_ld_facts", once(facts))
-    after = F.zip_with(
-        "_ld_facts",
-        F.slice("_ld_facts", 2, F.greatest(F.size("_ld_facts") - 1, F.lit(0))),
-        lambda a, b: b.isNull() | a["long"] | b["long"] | (F.pmod(BASE * a["h"] + b["h"], F.lit(divisor)) == 0),
-    )
-    ends = F.filter(F.transform(after, lambda cut, i: F.when(cut, i)), lambda i: i.isNotNull())
-    return lines.withColumn("_ld_ends", once(ends)).drop("_ld_facts")
+def _lines(text: Column) -> Column:
+    return F.split(text, "\n", -1)
 
 
-def _chunks() -> Column:
-    """The chunks of a document: number, text and whether it can be removed."""
+def _links(source: DataFrame) -> DataFrame:
+    """(_ld_id, _ld_key, a, b, hash): the numbers, from 0, of two neighbouring lines with words, or twice that of a long one."""
+    worded = F.filter(
+        F.transform(
+            _lines(F.col("_ld_text")),
+            lambda x, i: F.when(F.trim(x) != "", F.struct(i.alias("i"), line_hash(x).alias("h"), (_words(x) >= LONG_LINE).alias("long"))),
+        ),
+        lambda s: s.isNotNull(),
+    )
+    facts = source.where(F.col("_ld_text").isNotNull()).select("_ld_id", "_ld_key", once(worded).alias("s"))
+    following = F.slice("s", 2, F.greatest(F.size("s") - 1, F.lit(0)))
 
-    def chunk(start: Column, end: Column) -> Column:
-        text = F.array_join(F.slice("_ld_lines", start + 2, end - start), "\n")
-        return F.struct((end - start).alias("n"), text.alias("text"))
+    def link(a: Column, b: Column) -> Column:
+        return F.struct(a["i"].alias("a"), b["i"].alias("b"), (BASE * a["h"] + b["h"]).alias("hash"))
 
-    starts = F.concat(F.array(F.lit(-1)), F.slice("_ld_ends", 1, F.greatest(F.size("_ld_ends") - 1, F.lit(0))))
-    return F.zip_with(starts, F.col("_ld_ends"), chunk)
+    pairs = F.filter(F.zip_with("s", following, link), lambda x: x["b"].isNotNull())
+    alone = F.transform(F.filter("s", lambda x: x["long"]), lambda x: F.struct(x["i"].alias("a"), x["i"].alias("b"), (BASE * x["h"]).alias("hash")))
+    return facts.select("_ld_id", "_ld_key", F.explode(F.concat(pairs, alone)).alias("x")).select("_ld_id", "_ld_key", "x.a", "x.b", "x.hash")
 
 
-def _removable() -> Column:
-    return ((F.col("n") > 1) | (_words(F.col("chunk")) >= LONG_LINE)) & (F.trim(F.replace("chunk", F.lit("\n"))) != "")
+def _with(df: DataFrame, id_col: str, of_document: DataFrame, how: str) -> DataFrame:
+    """`df`, which has `_ld_key`, with a column of its document from `of_document`."""
+    right = of_document.withColumnsRenamed({"_ld_id": "_ld_of", "_ld_key": "_ld_of_key"}).hint("shuffle_hash")
+    same = F.col(f"`{id_col}`").eqNullSafe(F.col("_ld_of")) & (F.col("_ld_key") == F.col("_ld_of_key"))
+    return df.join(right, same, how)
 
 
-def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", divisor: int = DIVISOR) -> DataFrame:
+def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `df` with the text cleaned, and `n_lines`, `n_removed` (lines)."""
     df = df.select(*(F.col(f"`{c}`") for c in df.columns if c not in ("n_lines", "n_removed") and not c.startswith("_ld_")))
     # A document is known by its id and the hash of its text: no numbering of rows that a lost task may change.
     source = df.select(F.col(f"`{id_col}`").alias("_ld_id"), F.col(f"`{text_col}`").alias("_ld_text"))
     source = source.withColumn("_ld_key", F.xxhash64("_ld_text"))
-    cut = _cut_lines(source.where(F.col("_ld_text").isNotNull()), divisor).withColumn("_ld_chunks", _chunks())
-    chunks = (
-        cut.select("_ld_id", "_ld_key", F.posexplode("_ld_chunks").alias("no", "c"))
-        .select("_ld_id", "_ld_key", "no", F.col("c.n").alias("n"), F.col("c.text").alias("chunk"))
-        .where(_removable())
-        .withColumn("hash", F.xxhash64("chunk"))
-    )
-    repeated = chunks.groupBy("hash").agg(F.count("*").alias("times")).where("times > 1").select("hash")
-    candidates = chunks.join(repeated, "hash", "left_semi")
-    place = F.struct(F.col("_ld_id").isNull().alias("last"), "_ld_id", "_ld_key", "no")
-    firsts = (
-        candidates.groupBy("hash", "chunk")
-        .agg(F.min(place).alias("first"), F.count("*").alias("times"))
-        .where("times > 1")
-        .select("hash", "chunk", "first")
-    )
-    gone = candidates.join(firsts, ["hash", "chunk"]).where(~place.eqNullSafe(F.col("first")))
-    per_document = gone.groupBy(F.col("_ld_id").alias("_ld_gone_id"), F.col("_ld_key").alias("_ld_gone_key")).agg(
-        F.collect_set("no").alias("_ld_gone")
-    )
-    rows = df.withColumn("_ld_key", F.xxhash64(F.col(f"`{text_col}`")))
-    joined = rows.join(
-        per_document.hint("shuffle_hash"),
-        F.col(f"`{id_col}`").eqNullSafe(F.col("_ld_gone_id")) & (F.col("_ld_key") == F.col("_ld_gone_key")),
-        "left",
-    )
-    touched = _cut_lines(joined.withColumn("_ld_text", F.when(F.col("_ld_gone").isNotNull(), F.col(f"`{text_col}`"))), divisor)
-    touched = touched.withColumn("_ld_chunks", once(_chunks()))
-    kept = F.array_except(F.sequence(F.lit(0), F.size("_ld_chunks") - 1), F.col("_ld_gone"))
-    touched = touched.withColumn("_ld_kept", once(kept))
-    cleaned = F.array_join(F.transform("_ld_kept", lambda k: F.get(F.col("_ld_chunks"), k)["text"]), "\n")
-    left = F.aggregate("_ld_kept", F.lit(0), lambda n, k: n + F.get(F.col("_ld_chunks"), k)["n"])
+    links = _links(source)
+    repeated = links.groupBy("hash").agg(F.count("*").alias("times")).where("times > 1").select("hash")
+    candidates = links.join(repeated, "hash", "left_semi")
+
+    place = F.struct(F.col("_ld_id").isNull().alias("last"), "_ld_id", "_ld_key", "a")
+    per_document = candidates.groupBy("_ld_id", "_ld_key").agg(F.collect_set(F.struct("a", "b", "hash")).alias("_ld_links"))
+    texts = _with(source, "_ld_id", per_document, "inner")
+    texts = texts.select("_ld_id", "_ld_key", once(_lines(F.col("_ld_text"))).alias("lines"), "_ld_links")
+    texts = texts.select("_ld_id", "_ld_key", "lines", F.explode("_ld_links").alias("x"))
+    first_line, next_line = F.get("lines", F.col("x.a")), F.get("lines", F.col("x.b"))
+    whole = F.when(F.col("x.a") == F.col("x.b"), first_line).otherwise(F.concat(first_line, F.lit("\n"), next_line))
+    texts = texts.select("_ld_id", "_ld_key", "x.a", "x.hash", whole.alias("whole"))
+    firsts = texts.groupBy("hash", "whole").agg(F.min(place).alias("first"), F.max(place).alias("final"))
+    # Unlike texts of one hash have a first place each; an occurrence in none of these places repeats its own text.
+    firsts = firsts.select("hash", F.struct("first", (F.col("first") != F.col("final")).alias("again")).alias("f"))
+    firsts = firsts.groupBy("hash").agg(F.collect_list("f").alias("firsts")).where(F.exists("firsts", lambda f: f["again"]))
+    mine = F.filter("firsts", lambda f: f["first"].eqNullSafe(place))
+    marked = candidates.join(firsts, "hash").select("_ld_id", "_ld_key", "a", "b", once(mine).alias("mine"))
+    held = F.size("mine") > 0
+    marked = marked.where(~held | F.exists("mine", lambda f: f["again"])).withColumn("held", held)
+    marks = marked.groupBy("_ld_id", "_ld_key").agg(F.collect_set(F.struct("a", "b", "held")).alias("_ld_marks"))
+    marks = marks.where(F.exists("_ld_marks", lambda m: ~m["held"]))
+
     text = F.col(f"`{text_col}`")
+    joined = _with(df.withColumn("_ld_key", F.xxhash64(text)), id_col, marks, "left")
+    cut = F.col("_ld_marks").isNotNull()
+    touched = joined.withColumn("_ld_lines", once(F.when(cut, _lines(text))))
+
+    def spans(of: Column) -> Column:
+        return F.flatten(F.transform(of, lambda m: F.sequence(m["a"], m["b"])))
+
+    gone = F.array_except(spans(F.filter("_ld_marks", lambda m: ~m["held"])), spans(F.filter("_ld_marks", lambda m: m["held"])))
+    touched = touched.withColumn("_ld_kept", once(F.array_except(F.sequence(F.lit(0), F.size("_ld_lines") - 1), gone)))
+    cleaned = F.array_join(F.transform("_ld_kept", lambda k: F.get("_ld_lines", k)), "\n")
     n_lines = F.coalesce(F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"))) + 1, F.lit(0))
     touched = touched.withColumn("n_lines", n_lines.cast("bigint")).withColumn(
-        "n_removed", F.when(F.col("_ld_gone").isNull(), 0).otherwise(n_lines - left).cast("bigint")
+        "n_removed", F.when(cut, n_lines - F.size("_ld_kept")).otherwise(0).cast("bigint")
     )
-    out = [
-        F.when(F.col("_ld_gone").isNull(), text).otherwise(cleaned).alias(text_col) if c == text_col else F.col(f"`{c}`")
-        for c in df.columns
-    ]
+    out = [F.when(cut, cleaned).otherwise(text).alias(text_col) if c == text_col else F.col(f"`{c}`") for c in df.columns]
     return touched.select(*out, "n_lines", "n_removed")
 
 
-#: The same in DuckDB: lines, facts and ends as lists, chunks compared by their text.
+#: The same in DuckDB, from what a repeat is: two lines that stood together before. No hash is used.
 SQL = f"""
 WITH lines AS (
     SELECT DISTINCT doc_id, text, unnest(string_split(text, chr(10))) AS line,
         unnest(range(len(string_split(text, chr(10))))) AS i
     FROM documents WHERE text IS NOT NULL
-), facts AS (
-    SELECT *, ('0x' || substr(md5(line), 1, 8))::BIGINT AS h,
+), worded AS (
+    SELECT *, lead(line) OVER w AS next_line, lead(i) OVER w AS next_i,
         strlen(line) - strlen(replace(line, ' ', '')) + 1 >= {LONG_LINE} AS long
-    FROM lines
-), starts AS (
-    SELECT *, coalesce(
-        long OR lag(long) OVER w OR ({BASE} * lag(h) OVER w + h) % {DIVISOR} = 0, true) AS opens
-    FROM facts WINDOW w AS (PARTITION BY doc_id, text ORDER BY i)
-), numbered AS (
-    SELECT *, sum(opens::INT) OVER (PARTITION BY doc_id, text ORDER BY i) AS no FROM starts
-), chunks AS (
-    SELECT doc_id, text, no, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS chunk
-    FROM numbered GROUP BY doc_id, text, no
+    FROM lines WHERE trim(line, ' ') <> '' WINDOW w AS (PARTITION BY doc_id, text ORDER BY i)
+), links AS (
+    SELECT doc_id, text, i AS a, next_i AS b, line || chr(10) || next_line AS whole FROM worded WHERE next_i IS NOT NULL
+    UNION ALL
+    SELECT doc_id, text, i, i, line FROM worded WHERE long
 ), marked AS (
-    SELECT *, (n > 1 OR strlen(chunk) - strlen(replace(chunk, ' ', '')) + 1 >= {LONG_LINE})
-            AND trim(replace(chunk, chr(10), ''), ' ') <> ''
-            AND row_number() OVER (PARTITION BY chunk,
-                (n > 1 OR strlen(chunk) - strlen(replace(chunk, ' ', '')) + 1 >= {LONG_LINE})
-                ORDER BY doc_id NULLS LAST, text, no) > 1 AS gone
-    FROM chunks
+    SELECT *, row_number() OVER (PARTITION BY whole ORDER BY doc_id NULLS LAST, text, a) = 1 AS held,
+        count(*) OVER (PARTITION BY whole) AS times
+    FROM links
+), marks AS (
+    SELECT DISTINCT doc_id, text, unnest(range(a, b + 1)) AS i, held FROM marked WHERE times > 1
+), gone AS (
+    SELECT doc_id, text, i FROM marks GROUP BY doc_id, text, i HAVING NOT bool_or(held)
 ), cleaned AS (
-    SELECT doc_id, text, coalesce(string_agg(chunk, chr(10) ORDER BY no) FILTER (NOT gone), '') AS kept,
-        coalesce(sum(n) FILTER (gone), 0)::BIGINT AS n_removed, sum(n)::BIGINT AS n_lines
-    FROM marked GROUP BY doc_id, text
+    SELECT l.doc_id, l.text, coalesce(string_agg(l.line, chr(10) ORDER BY l.i) FILTER (g.i IS NULL), '') AS kept,
+        count(g.i) AS n_removed, count(*) AS n_lines
+    FROM lines l LEFT JOIN gone g ON l.doc_id IS NOT DISTINCT FROM g.doc_id AND l.text = g.text AND l.i = g.i
+    GROUP BY l.doc_id, l.text
 )
 SELECT d.doc_id, c.kept AS text, coalesce(c.n_lines, 0) AS n_lines, coalesce(c.n_removed, 0) AS n_removed
 FROM documents d LEFT JOIN cleaned c ON d.doc_id IS NOT DISTINCT FROM c.doc_id AND d.text = c.text

@@ -1,38 +1,37 @@
-"""Chunks against plain Python; shifted passages; odd rows."""
+"""Repeated lines against plain Python; passages between other neighbours; odd rows."""
 
-import hashlib
 import random
 
 from pennyflow.llm import linededup
 
-
-def chunks(text):
-    lines, out, now = text.split("\n"), [], []
-    h = [int(hashlib.md5(x.encode()).hexdigest()[:8], 16) for x in lines]
-    long = [x.count(" ") + 1 >= 50 for x in lines]
-    for i, line in enumerate(lines):
-        now.append(line)
-        if i + 1 == len(lines) or long[i] or long[i + 1] or (31 * h[i] + h[i + 1]) % 3 == 0:
-            out.append(now)
-            now = []
-    return out
+SCHEMA = "doc_id int, text string"
 
 
 def brute(docs):
+    """A line goes if it stood beside a neighbour of now before, and no pair that stands here first needs it."""
+    split = {key: text.split("\n") for key, text in docs.items()}
+    links, times = {}, {}
+    for key in sorted(docs):
+        worded = [i for i, line in enumerate(split[key]) if line.strip(" ")]
+        links[key] = [(i, j, (split[key][i], split[key][j])) for i, j in zip(worded, worded[1:])]
+        links[key] += [(i, i, (split[key][i],)) for i in worded if split[key][i].count(" ") + 1 >= 50]
+        for *_, what in links[key]:
+            times[what] = times.get(what, 0) + 1
     seen, out = set(), {}
     for key in sorted(docs):
-        kept = []
-        for chunk in chunks(docs[key]):
-            whole = "\n".join(chunk)
-            if (len(chunk) > 1 or whole.count(" ") + 1 >= 50) and whole.replace("\n", "").strip(" "):
-                if whole in seen:
-                    continue
-                seen.add(whole)
-            kept += chunk
-        out[key] = "\n".join(kept)
+        gone, held = set(), set()
+        for i, j, what in sorted(links[key]):
+            if times[what] > 1:
+                (gone if what in seen else held).update(range(i, j + 1))
+                seen.add(what)
+        out[key] = [line for i, line in enumerate(split[key]) if i in held or i not in gone]
     return out
 
 
+def cleaned(spark, docs):
+    return {r["doc_id"]: r for r in linededup.without_repeats(spark.createDataFrame(list(docs.items()), SCHEMA)).collect()}
+
+
 def test_equals_plain_python(spark):
     rnd = random.Random(8)
     lines = ["", " ", *(f"line {i} with some words" for i in range(12)), *(f"long {i} " + "word " * 55 for i in range(3))]
@@ -43,19 +42,51 @@ def test_equals_plain_python(spark):
         for _ in range(rnd.randrange(4)):
             text += rnd.choice(passages) if rnd.random() < 0.7 else [f"line {rnd.random()}"]
         docs[key] = "\n".join(text)
-    want = brute(docs)
-    rows = linededup.without_repeats(spark.createDataFrame(list(docs.items()), "doc_id int, text string")).collect()
-    assert {r["doc_id"]: r["text"] for r in rows} == want
-    for r in rows:
-        lost = len(docs[r["doc_id"]].split("\n")) - (len(want[r["doc_id"]].split("\n")) if want[r["doc_id"]] or r["n_removed"] < r["n_lines"] else 0)
-        assert r["n_lines"] == len(docs[r["doc_id"]].split("\n")) and r["n_removed"] == lost
+    rows, want = cleaned(spark, docs), brute(docs)
+    for key, text in docs.items():
+        n = len(text.split("\n"))
+        got = rows[key]
+        assert (got["text"], got["n_lines"], got["n_removed"]) == ("\n".join(want[key]), n, n - len(want[key]))
+
+
+def test_passage_between_other_neighbours(spark):
+    """The second of two occurrences loses every line, whatever stands around it; nothing else goes."""
+    docs, want = {}, {}
+    for trial in range(60):
+        for size, base in ((3, 0), (8, 1000)):
+            passage = [" ".join(f"p{trial} {size} {i} {w}" for w in range(6)) for i in range(size)]
+            for copy in (0, 1):
+                key = base + 2 * trial + copy
+                around = [f"before {key}", f"after {key}"]
+                docs[key] = "\n".join([around[0], *passage, around[1]])
+                want[key] = "\n".join(around) if copy else docs[key]
+    assert {k: r["text"] for k, r in cleaned(spark, docs).items()} == want
+
+
+def test_first_occurrence_stays_whole(spark):
+    docs = {1: "a\na\na\na", 2: "a\na", 3: "b\nc", 4: "x\nb\nc\nd", 5: "c\nd\ny", 6: "b\n\n c", 7: "b\n \nc\nz"}
+    got = {k: r["text"] for k, r in cleaned(spark, docs).items()}
+    # 4 holds the first "c d", so its c stays; blank lines between two lines do not keep them apart
+    assert got == {1: "a\na", 2: "", 3: "b\nc", 4: "x\nc\nd", 5: "y", 6: "b\n\n c", 7: "z"}
+
+
+def test_single_short_lines_stay(spark):
+    docs = {i: f"own {i}\n\nContents\n\nmore {i}" for i in range(5)}
+    assert {k: r["text"] for k, r in cleaned(spark, docs).items()} == docs
 
 
 def test_long_passage_is_caught_anywhere(spark):
     passage = " ".join(f"w{i}" for i in range(60))
-    docs = [(1, f"a\n{passage}\nb"), (2, f"c\nd\n{passage}"), (3, passage), (4, "a")]
-    rows = {r["doc_id"]: r["text"] for r in linededup.without_repeats(spark.createDataFrame(docs, "doc_id int, text string")).collect()}
-    assert rows == {1: f"a\n{passage}\nb", 2: "c\nd", 3: "", 4: "a"}
+    docs = {1: f"a\n{passage}\nb", 2: f"c\nd\n{passage}", 3: passage, 4: "a"}
+    assert {k: r["text"] for k, r in cleaned(spark, docs).items()} == {1: docs[1], 2: "c\nd", 3: "", 4: "a"}
+
+
+def test_equal_hashes_are_told_apart(spark, monkeypatch):
+    """With line hashes of one bit only the comparison of texts decides."""
+    monkeypatch.setattr(linededup, "HASHES", 2)
+    rnd = random.Random(3)
+    docs = {k: "\n".join(f"l{rnd.randrange(9)}" for _ in range(rnd.randrange(1, 7))) for k in range(40)}
+    assert {k: r["text"] for k, r in cleaned(spark, docs).items()} == {k: "\n".join(v) for k, v in brute(docs).items()}
 
 
 def test_odd_rows(odd, nothing):
