@@ -85,8 +85,11 @@ def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     place = F.struct(F.col("_ld_id").isNull().alias("last"), "_ld_id", "_ld_key", "a")
     per_document = candidates.groupBy("_ld_id", "_ld_key").agg(F.collect_set(F.struct("a", "b", "hash")).alias("_ld_links"))
-    texts = _with(source, "_ld_id", per_document, "inner")
-    texts = texts.select("_ld_id", "_ld_key", once(_lines(F.col("_ld_text"))).alias("lines"), "_ld_links")
+    text = F.col(f"`{text_col}`")
+    # Both joins with the documents start from the same rows by the same keys, so Spark can shuffle the texts once for both.
+    rows = df.withColumn("_ld_key", F.xxhash64(text))
+    texts = _with(rows, id_col, per_document, "inner")
+    texts = texts.select(F.col(f"`{id_col}`").alias("_ld_id"), "_ld_key", once(_lines(text)).alias("lines"), "_ld_links")
     texts = texts.select("_ld_id", "_ld_key", "lines", F.explode("_ld_links").alias("x"))
     first_line, next_line = F.get("lines", F.col("x.a")), F.get("lines", F.col("x.b"))
     whole = F.when(F.col("x.a") == F.col("x.b"), first_line).otherwise(F.concat(first_line, F.lit("\n"), next_line))
@@ -102,8 +105,7 @@ def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     marks = marked.groupBy("_ld_id", "_ld_key").agg(F.collect_set(F.struct("a", "b", "held")).alias("_ld_marks"))
     marks = marks.where(F.exists("_ld_marks", lambda m: ~m["held"]))
 
-    text = F.col(f"`{text_col}`")
-    joined = _with(df.withColumn("_ld_key", F.xxhash64(text)), id_col, marks, "left")
+    joined = _with(rows, id_col, marks, "left")
     cut = F.col("_ld_marks").isNotNull()
     touched = joined.withColumn("_ld_lines", once(F.when(cut, _lines(text))))
 
