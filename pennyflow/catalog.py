@@ -442,8 +442,13 @@ def _saved_model(spark: SparkSession, folder: str) -> DataFrame:
     return told[0].join(told[1], key)
 
 
-# a rule on trial, beside the published ones
-TRIAL = fraud.Rule("any_large_saving_event", "User has any large saving_event", "saves_above_50k_6m", 0, experimental=True)
+# a rule on trial, beside the published ones, as it stands in a file of rules
+TRIAL = fraud.TreeRule(
+    "any_large_saving_event",
+    "User has any large saving_event",
+    '{"any": [{"fact": "saves_above_50k_6m", "is": ">", "value": 0}]}',
+    experimental=True,
+)
 
 
 def _rules_on_trial(spark: SparkSession, folder: str) -> DataFrame:

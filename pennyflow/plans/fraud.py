@@ -7,8 +7,11 @@ user's last flag for that rule; the five cut-offs are one small row per user.
 
 from __future__ import annotations
 
+import json
+from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -121,6 +124,40 @@ class Rule:
         return fact >= limit if self.inclusive else fact > limit
 
 
+_COMPARE = {">": Column.__gt__, ">=": Column.__ge__, "<": Column.__lt__, "<=": Column.__le__, "=": Column.__eq__, "<>": Column.__ne__}
+
+
+def condition(tree: Mapping) -> Column:
+    """The truth of a condition tree, which is ``{"all": [...]}``, ``{"any": [...]}`` or one comparison.
+
+    A comparison ``{"fact": name, "is": ">=", "value": x}`` holds a fact against a number, or against another fact where
+    x is ``{"fact": name}``; with a null on a side it does not hold. No condition at all: "all" holds, "any" does not.
+    """
+    kind = set(tree)
+    if kind == {"all"}:
+        return reduce(Column.__and__, map(condition, tree["all"]), F.lit(True))
+    if kind == {"any"}:
+        return reduce(Column.__or__, map(condition, tree["any"]), F.lit(False))
+    if kind != {"fact", "is", "value"} or tree["is"] not in _COMPARE:
+        raise ValueError(f"not a condition: {tree}")
+    value = tree["value"]
+    other = F.col(value["fact"]) if isinstance(value, Mapping) else F.lit(value)
+    return F.coalesce(_COMPARE[tree["is"]](F.col(tree["fact"]), other), F.lit(False))
+
+
+@dataclass(frozen=True)
+class TreeRule:
+    """Flags a user when its condition tree holds; the tree may come as JSON text."""
+
+    label: str
+    reason: str
+    tree: Mapping | str
+    experimental: bool = False
+
+    def fires(self) -> Column:
+        return condition(json.loads(self.tree) if isinstance(self.tree, str) else self.tree)
+
+
 # Labels, reasons and limits of the published rules.
 RULES = (
     Rule(
@@ -160,12 +197,12 @@ RULES = (
 NOT_FLAGGED_REASON = "User was not flagged by any of the rules"
 
 
-def supported_rules(rules: tuple[Rule, ...] = RULES, experimental: bool = False) -> tuple[Rule, ...]:
+def supported_rules(rules: tuple[Rule | TreeRule, ...] = RULES, experimental: bool = False) -> tuple[Rule | TreeRule, ...]:
     return tuple(r for r in rules if experimental or not r.experimental)
 
 
 def evaluate_rules(
-    facts: DataFrame, now_ms: int, rules: tuple[Rule, ...] = RULES, experimental: bool = False
+    facts: DataFrame, now_ms: int, rules: tuple[Rule | TreeRule, ...] = RULES, experimental: bool = False
 ) -> DataFrame:
     """Flag rows: one per user and rule that fires, or one saying that none did."""
     outcome = lambda label, reason: F.struct(

@@ -355,3 +355,38 @@ def test_scoring_input(spark, events, payments):
     assert row["days_since_latest_save"] == 50 / 24 and row["boost_prior_saves"] == 2 and row["has_prior_redeemed"]
     assert row["boost_type_category_SIMPLE::ROUND_UP"] == 1 and row["boost_type_category_GAME::TAP_SCREEN"] == 0
     assert (row["day_of_week"], row["day_of_month"]) == (5, 20)
+
+
+def test_condition_trees(spark):
+    """Random nested trees over facts with nulls, against plain Python."""
+    rnd = random.Random(11)
+    facts = [(i, *(rnd.choice([None, 0, 1, 2, 3]) for _ in range(3))) for i in range(60)]
+    df = spark.createDataFrame(facts, "i int, a int, b int, c int")
+    compare = {
+        ">": lambda x, y: x > y, ">=": lambda x, y: x >= y, "<": lambda x, y: x < y,
+        "<=": lambda x, y: x <= y, "=": lambda x, y: x == y, "<>": lambda x, y: x != y,
+    }
+
+    def tree(depth):
+        if depth and rnd.random() < 0.7:
+            return {rnd.choice(["all", "any"]): [tree(depth - 1) for _ in range(rnd.randrange(4))]}
+        value = rnd.randrange(4) if rnd.random() < 0.5 else {"fact": rnd.choice("abc")}
+        return {"fact": rnd.choice("abc"), "is": rnd.choice(list(compare)), "value": value}
+
+    def holds(t, row):
+        if "all" in t:
+            return all(holds(x, row) for x in t["all"])
+        if "any" in t:
+            return any(holds(x, row) for x in t["any"])
+        x, y = row[t["fact"]], row[t["value"]["fact"]] if isinstance(t["value"], dict) else t["value"]
+        return x is not None and y is not None and compare[t["is"]](x, y)
+
+    trees = [tree(3) for _ in range(25)]
+    got = df.select("*", *(fraud.condition(t).alias(f"t{n}") for n, t in enumerate(trees))).collect()
+    assert all(row[f"t{n}"] == holds(t, row) for row in got for n, t in enumerate(trees))
+
+
+def test_malformed_condition_is_an_error(spark):
+    for tree in ({}, {"fact": "a", "is": "~", "value": 1}, {"all": [], "any": []}, {"fact": "a"}):
+        with pytest.raises(ValueError):
+            fraud.condition(tree)
