@@ -728,6 +728,11 @@ SQL["dummies"] = q(
     )
     + " FROM (SELECT *, boost_type || '::' || boost_category AS c FROM offers) x(user_id, t, own, context, boost_id, a, b, amount, rid, c)"
 )
+SQL["dummy_vectors"] = q(
+    """SELECT e.user_id, event_type, place AS user_id_place, '(' || (SELECT count(*) FROM places) || ',[' || place || '],[1.0])' AS vector, count(*) AS n
+FROM ev e JOIN places USING (user_id) GROUP BY ALL""",
+    "places AS (SELECT user_id, row_number() OVER (ORDER BY user_id) - 1 AS place FROM (SELECT DISTINCT user_id FROM ev))",
+)
 SCORES = """SELECT n AS rows, tp + fn AS positives, round(coalesce(tp / nullif(tp + fp, 0)::double, 0), 6) AS precision,
   round(coalesce(tp / nullif(tp + fn, 0)::double, 0), 6) AS recall, round(f1, 6) AS f_score, round((tp + tn) / n::double, 6) AS accuracy,
   round((f1 + f0) / 2, 6) AS macro_f1, round(auc, 6) AS roc_auc
@@ -743,6 +748,43 @@ SQL["evaluate"] = q(
 SQL["evaluate_payments"] = q(
     SCORES, "guess AS (SELECT amount AS s, amount > 100000000 AS p, tx = 'SAVING_EVENT' AS y FROM ub)"
 )
+_BAYES_INPUTS = [
+    "coalesce(boost_amount_whole_currency, 0)::double",
+    "day_of_month::double",
+    "day_of_week::double",
+    "coalesce(boost_prior_saves, 0)::double",
+    "coalesce(has_prior_redeemed, false)::int::double",
+    *(f"(boost_type_category = '{c}')::int::double" for c in CATEGORIES),
+]
+
+
+def _bayes(model: str) -> str:
+    """The scores of one model over the test rows: the statistics are rows per class and input, not columns."""
+    gaussian = "-0.5 * (ln(2 * pi() * (v + least)) + (x - mu) * (x - mu) / (v + least))"
+    multinomial = "(x - low) / w * ln((size * (mu - low) / w + 1) / (total + k))"
+    term = {"gaussian_naive_bayes": gaussian, "multinomial_naive_bayes": multinomial}.get(model, "0.0")
+    score = "(SELECT CASE WHEN avg(y::int) >= 0.5 THEN 0.5 ELSE -0.5 END FROM fitted_rows WHERE NOT test)"
+    if model != "majority":
+        score = "sum(CASE WHEN c THEN 1 ELSE -1 END * (prior + inner_sum))"
+    return f"""(WITH guess AS (
+  SELECT *, s > 0 AS p FROM (SELECT any_value(y) AS y, {score} AS s FROM (
+    SELECT r, y, c, any_value(ln(size / n)) AS prior, sum({term}) AS inner_sum FROM tested JOIN learnt USING (i) GROUP BY r, y, c) GROUP BY r)
+) SELECT *, '{model}' AS model FROM ({SCORES}))"""
+
+
+SQL["bayes_portfolio"] = q(
+    " UNION ALL ".join(_bayes(m) for m in ("gaussian_naive_bayes", "multinomial_naive_bayes", "majority")),
+    *TRAIN,
+    f"""fitted_rows AS (SELECT row_number() OVER () AS r, is_save_within_day AS y, [{", ".join(_BAYES_INPUTS)}] AS xs,
+  substr(md5(user_id || '/' || boost_id), 1, 1) IN ('0', '1', '2') AS test FROM (SELECT {_TRAIN_COLS} {_TRAIN_FROM}))""",
+    f"long_rows AS MATERIALIZED (SELECT r, y, test, unnest(xs) AS x, unnest(range({len(_BAYES_INPUTS)})) AS i FROM fitted_rows)",
+    "tested AS (SELECT * FROM long_rows WHERE test)",
+    """overall AS (SELECT i, min(x) AS low, coalesce(nullif(max(x) - min(x), 0), 1) AS w, var_pop(x) AS spread, count(*) AS n
+  FROM long_rows WHERE NOT test GROUP BY i)""",
+    """by_class AS (SELECT i, y AS c, count(*) AS size, avg(x) AS mu, var_pop(x) AS v FROM long_rows WHERE NOT test GROUP BY i, y)""",
+    """learnt AS MATERIALIZED (SELECT *, 1e-9 * (SELECT coalesce(nullif(max(spread), 0), 1) FROM overall) AS least,
+  sum(size * (mu - low) / w) OVER (PARTITION BY c) AS total, count(*) OVER (PARTITION BY c) AS k FROM by_class JOIN overall USING (i))""",
+)
 SQL["training_log"] = q(
     f"SELECT '2024-01-30' AS run_date, rows AS n, positives AS n_positive, precision, recall, f_score, accuracy FROM ({SCORES})",
     *TRAIN,

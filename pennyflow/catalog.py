@@ -16,7 +16,7 @@ from pennyflow import schemas as S
 from pennyflow.functions.plans import once
 from pennyflow.functions.signature import signature_holds
 from pennyflow.operators import columns, filters, ingest
-from pennyflow.plans import boosts, cohorts, fraud, funnel, metrics, ml
+from pennyflow.plans import bayes, boosts, cohorts, fraud, funnel, metrics, ml
 from pennyflow.sources import mapped, round_trips
 from pennyflow.streaming import runs
 from pennyflow.timebox import Window, day_start, days_before
@@ -383,6 +383,8 @@ def _scores(spark: SparkSession, folder: str) -> DataFrame:
 register("train_linear", _linear)
 register("train_gbt", _boosted)
 register("model_portfolio", lambda spark, d: ml.compare_models(*ml.split(_training_rows(spark, d))))
+register("bayes_portfolio", lambda spark, d: bayes.compare(*bayes.split_by_digest(_training_rows(spark, d))))
+register("svm_grid", lambda spark, d: ml.svm_grid(ml.split(_training_rows(spark, d))[0])[1])
 register("feature_importance", _importance)
 register("score_users", _scores)
 
@@ -405,6 +407,14 @@ def _dummies(spark: SparkSession, folder: str) -> DataFrame:
     return ml.dummies(offers, "boost_type_category")
 
 
+def _dummy_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """Every event of a user as one place among all users; as many values as the log has users."""
+    log = mapped.event_log(spark, folder).select("user_id", "event_type")
+    frame, _ = ml.dummy_vectors(spark, log, "user_id")
+    vector = F.col("user_id_vector").cast("string")
+    return frame.groupBy("user_id", "event_type", "user_id_place", vector.alias("vector")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def _amount_scores(payments: DataFrame) -> DataFrame:
     """How well the amount tells savings from withdrawals; nearly every payment has a score of its own."""
     amount = F.col("amount")
@@ -464,5 +474,6 @@ register("training_log", _training_log)
 register("saved_model", _saved_model)
 register("rules_on_trial", _rules_on_trial)
 register("dummies", _dummies)
+register("dummy_vectors", _dummy_vectors)
 register("evaluate", _rule_scores)
 on_payments("evaluate_payments", _amount_scores)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+import random
 from collections.abc import Sequence
 from datetime import date
 
@@ -14,10 +16,10 @@ from pyspark.ml.classification import (
     NaiveBayes,
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pennyflow import constants as C
@@ -53,7 +55,8 @@ def model_input(training: DataFrame) -> DataFrame:
 def dummies(df: DataFrame, column: str, most: int = 1_000) -> DataFrame:
     """One 0/1 column per value found in the data, named ``<column>_<value>``, in order of the values.
 
-    The values become columns, so more than ``most`` of them are an error. A null has 0 everywhere.
+    The values become columns, so more than ``most`` of them are an error; `dummy_vectors` takes any
+    number. A null has 0 everywhere.
     """
     values = sorted(r[0] for r in df.where(F.col(column).isNotNull()).select(column).distinct().limit(most + 1).collect())
     if len(values) > most:
@@ -62,6 +65,40 @@ def dummies(df: DataFrame, column: str, most: int = 1_000) -> DataFrame:
     return df.withColumns({f"{column}_{v}": is_value(v) for v in values})
 
 
+def value_places(spark: SparkSession, df: DataFrame, column: str) -> DataFrame:
+    """(value, place): the distinct values, null left out, numbered from 0 in their order.
+
+    The values are sorted by ranges and written once; a value's place is its place in its range behind
+    the sizes of the ranges before, so no task numbers all of them and only the sizes are broadcast.
+    """
+    values = df.select(F.col(column).alias("value")).where("value IS NOT NULL").distinct().orderBy("value")
+    # the id counts a range's rows in its lower 33 bits
+    numbered = materialise(spark, values.select("value", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("id")))
+    sizes = numbered.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = sizes.select("part", before.alias("start"))  # a row per range
+    in_range = F.col("id").bitwiseAND(F.lit((1 << 33) - 1))
+    return numbered.join(F.broadcast(starts), "part").select("value", (F.col("start") + in_range).alias("place"))
+
+
+def dummy_vectors(spark: SparkSession, df: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
+    """``df`` with ``<column>_place`` and the sparse 0/1 vector ``<column>_vector``; and the values with their places.
+
+    However many values there are, a row holds one number. A null has no place and an empty vector.
+    """
+    place, vector = f"{column}_place", f"{column}_vector"
+    places = materialise(spark, value_places(spark, df, column))
+    n = places.count()
+    placed = df.join(places.withColumnRenamed("place", place), F.col(column) == F.col("value"), "left").drop("value")
+    # without any value the vector has one number, which is never set
+    known = places if n else spark.createDataFrame([("", 0)], "value string, place long")
+    # a place beyond the last, the null's, is none of the categories and so all zeros
+    encoder = OneHotEncoder(inputCol="_at", outputCol=vector, handleInvalid="keep", dropLast=True)
+    fitted = encoder.fit(known.select(F.col("place").cast("double").alias("_at")))
+    at = F.coalesce(place, F.lit(max(n, 1))).cast("double")
+    return fitted.transform(placed.withColumn("_at", at)).drop("_at"), places
+
+
 def materialise(spark: SparkSession, df: DataFrame) -> DataFrame:
     """Write the frame once to the shared folder: every pass of a fit then reads this table instead
     of working the features out again, also after an executor is lost."""
@@ -121,6 +158,73 @@ def train_linear(
     return search.fit(prepared).bestModel
 
 
+def fourier_features(inputs: Sequence[str], gamma: float, size: int = 128, seed: int = 7) -> str:
+    """SQL that adds ``fourier_0`` to ``fourier_<size - 1>``: random Fourier features of the inputs.
+
+    The product of two rows' features is the radial kernel exp(-gamma * distance^2) within a standard error
+    of at most 1 / sqrt(size). Directions are drawn from a normal distribution of variance 2 * gamma, shifts
+    evenly from a circle. Another gamma stretches the same directions.
+    """
+    draw, stretch = random.Random(seed), math.sqrt(2.0 * gamma)
+    waves = []
+    for _ in range(size):
+        direction = [draw.gauss(0.0, 1.0) * stretch for _ in inputs]
+        numbers = ", ".join(f"{v!r}D" for v in [*direction, draw.uniform(0.0, 2.0 * math.pi)])
+        waves.append(f"array({numbers})")
+    # one array worked out once a row: as so many expressions the generated code would be too large
+    row = ", ".join(f"`{name}`" for name in inputs)
+    angle = f"aggregate(zip_with(slice(w, 1, {len(inputs)}), array({row}), (a, x) -> a * x), w[{len(inputs)}], (s, v) -> s + v)"
+    made = f"transform(array({', '.join(waves)}), w -> {math.sqrt(2.0 / size)!r}D * cos({angle}))"
+    columns = ", ".join(f"fourier[{i}] AS fourier_{i}" for i in range(size))
+    return f"SELECT *, {columns} FROM (SELECT *, {made} AS fourier FROM __THIS__)"
+
+
+def svm_grid(
+    train: DataFrame,
+    costs: Sequence[float] = (1.0, 10.0, 100.0),
+    gammas: Sequence[float] = (0.001, 0.0001),
+    size: int = 128,
+    folds: int = 2,
+    max_iter: int = 20,
+    seed: int = 7,
+) -> tuple[PipelineModel, DataFrame]:
+    """Support vector machines with the linear and the radial kernel, all costs and gammas, on the same folds.
+
+    Returns the most accurate one, fitted to all training rows, and the accuracy of every point of the grid
+    (kernel, gamma, cost, accuracy, chosen). The radial kernel is a linear machine over `fourier_features`,
+    so its work is linear in the rows. Of equals the linear kernel wins, then the smaller cost.
+    """
+    fold = F.pmod(F.xxhash64(F.lit(seed), F.lit("fold"), "user_id", "boost_id"), F.lit(folds)).cast("int")
+    prepared = weighted(train).withColumn("fold", fold)
+    n = max(train.count(), 1)
+    accuracy = MulticlassClassificationEvaluator(labelCol=LABEL, metricName="accuracy")
+
+    def search(pipeline: Pipeline, grid: list) -> tuple:
+        found = CrossValidator(
+            estimator=pipeline, estimatorParamMaps=grid, evaluator=accuracy, numFolds=folds, foldCol="fold", parallelism=2
+        ).fit(prepared)
+        return found.bestModel, found.avgMetrics
+
+    svc = LinearSVC(labelCol=LABEL, weightCol="weight", maxIter=max_iter, tol=1e-4)
+    penalties = [1.0 / (c * n) for c in costs]
+    best, means = search(Pipeline(stages=[_assembler(), svc]), ParamGridBuilder().addGrid(svc.regParam, penalties).build())
+    rows = [("linear", None, float(c), float(m)) for c, m in zip(costs, means)]
+    top = max(means)
+    waves = VectorAssembler(inputCols=[f"fourier_{i}" for i in range(size)], outputCol="features")
+    for gamma in gammas:
+        # every feature weighs the same, as the kernel is their plain product
+        flat = LinearSVC(labelCol=LABEL, weightCol="weight", maxIter=max_iter, tol=1e-4, standardization=False)
+        stages = [SQLTransformer(statement=fourier_features(INPUTS, gamma, size, seed)), waves, flat]
+        model, means = search(Pipeline(stages=stages), ParamGridBuilder().addGrid(flat.regParam, penalties).build())
+        rows += [("radial", float(gamma), float(c), float(m)) for c, m in zip(costs, means)]
+        if max(means) > top:
+            best, top = model, max(means)
+    chosen = max(range(len(rows)), key=lambda i: (rows[i][3], -i))
+    table = [(*row, i == chosen) for i, row in enumerate(rows)]
+    schema = "kernel string, gamma double, cost double, accuracy double, chosen boolean"
+    return best, train.sparkSession.createDataFrame(table, schema)
+
+
 def train_boosted_trees(train: DataFrame, rounds: int = 20, depth: int = 3, seed: int = 7) -> PipelineModel:
     trees = GBTClassifier(
         labelCol=LABEL, maxDepth=depth, maxIter=rounds, minInstancesPerNode=5, seed=seed

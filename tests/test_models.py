@@ -1,8 +1,11 @@
+import math
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from pennyflow import constants as C
-from pennyflow.plans import ml
+from pennyflow.plans import bayes, ml
 from pennyflow.sources.tables import write_training_result
 from pennyflow.timebox import day_start
 
@@ -90,6 +93,71 @@ def test_dummies(spark):
         ml.dummies(spark.createDataFrame([("a",), ("b",)], "k string"), "k", most=1)
 
 
+def test_dummy_vectors(spark):
+    many = spark.range(100_000).select(F.format_string("v%06d", F.pmod(F.col("id") * 7919, F.lit(100_000))).alias("k"))
+    frame, places = ml.dummy_vectors(spark, many.union(spark.sql("SELECT cast(null AS string)")), "k")
+    assert places.count() == 100_000 and places.where("value <> format_string('v%06d', place)").count() == 0
+    wrong = F.concat(F.lit("(100000,["), F.col("k_place").cast("string"), F.lit("],[1.0])")) != F.col("k_vector").cast("string")
+    assert frame.count() == 100_001 and frame.where(wrong).count() == 0
+    assert [r[0].numNonzeros() for r in frame.where("k IS NULL").select("k_vector").collect()] == [0]
+
+
+def test_dummy_vectors_without_values(spark):
+    frame, places = ml.dummy_vectors(spark, spark.createDataFrame([(None, 1)], "k string, value int").drop("value"), "k")
+    assert places.count() == 0 and frame.first()["k_vector"].numNonzeros() == 0
+
+
+def test_fourier_features_make_the_radial_kernel(spark, training):
+    size = 256
+    rows = training.limit(40)
+    names = [f"fourier_{i}" for i in range(size)]
+    for gamma in (0.001, 0.0001):
+        made = ml.SQLTransformer(statement=ml.fourier_features(ml.INPUTS, gamma, size)).transform(rows)
+        both = np.array([list(r) for r in made.select(*ml.INPUTS, *names).collect()])
+        x, z = both[:, : len(ml.INPUTS)], both[:, len(ml.INPUTS) :]
+        exact = np.exp(-gamma * ((x[:, None] - x[None]) ** 2).sum(-1))
+        error = np.abs(z @ z.T - exact)
+        assert np.sqrt((error**2).mean()) < 1 / math.sqrt(size) and error.max() < 4 / math.sqrt(size)
+
+
+def test_grid_compares_both_kernels(training):
+    train, test = ml.split(training)
+    best, table = ml.svm_grid(train, costs=(1.0, 10.0), gammas=(0.01,), size=32, max_iter=5)
+    rows = table.collect()
+    assert [(r["kernel"], r["gamma"], r["cost"]) for r in rows] == [("linear", None, 1.0), ("linear", None, 10.0), ("radial", 0.01, 1.0), ("radial", 0.01, 10.0)]
+    top = max(r["accuracy"] for r in rows)
+    assert [r["accuracy"] for r in rows if r["chosen"]] == [top]
+    assert ml.evaluate(best.transform(test)).first()["accuracy"] > 0.8
+
+
+def test_naive_bayes_by_hand(training):
+    train, test = bayes.split_by_digest(training)
+    found = bayes.statistics(train)
+    table = lambda df: np.array([[float(v) for v in r] for r in df.select(*ml.INPUTS, ml.LABEL).collect()])
+    a, b = table(train), table(test)
+    x, y, t = a[:, :-1], a[:, -1], b[:, :-1]
+    assert len(b) and len(a) + len(b) == 400
+    least = bayes.SMOOTHING * x.var(axis=0).max()
+    low, width = x.min(axis=0), np.where(np.ptp(x, axis=0) == 0, 1, np.ptp(x, axis=0))
+    normal, counts = [], []
+    for c in (0, 1):
+        own = x[y == c]
+        v, prior = own.var(axis=0) + least, math.log(len(own) / len(x))
+        normal.append(prior - 0.5 * (np.log(2 * np.pi * v) + (t - own.mean(axis=0)) ** 2 / v).sum(axis=1))
+        s = ((own - low) / width).sum(axis=0) + 1
+        counts.append(prior + ((t - low) / width) @ np.log(s / s.sum()))
+    scored = test.select(bayes.gaussian_score(found).alias("g"), bayes.multinomial_score(found).alias("m")).collect()
+    assert np.allclose([r["g"] for r in scored], normal[1] - normal[0], rtol=1e-6, atol=1e-6)
+    assert np.allclose([r["m"] for r in scored], counts[1] - counts[0], rtol=1e-9, atol=1e-9)
+
+
+def test_naive_bayes_with_one_class(training):
+    train, test = bayes.split_by_digest(training)
+    for label in (0.0, 1.0):
+        rows = {r["model"]: r for r in bayes.compare(train.where(F.col("label") == label), test).collect()}
+        assert {r["recall"] for r in rows.values()} == {label} and {r["roc_auc"] for r in rows.values()} == {0.5}
+
+
 def test_unknown_amounts_do_not_end_a_run(spark, training, linear):
     unknown = ml.model_input(training.limit(5).withColumn("boost_amount_whole_currency", F.lit(None).cast("double")))
     assert linear.transform(unknown).count() == 5
