@@ -16,12 +16,12 @@ template:
 
 A notice that is wrapped over lines stands in no block. With `wrapped`, `wrapped_matches` also looks at all runs of
 words, across lines, that are a template's length and a quarter more (1 / `CONTAINMENT`): only texts that hold enough
-words of a template are walked through, from each of its words. What the SQL compares are the lines alone.
+words of a template are walked through, from each of its words.
 
 Beside that, `phrases` finds the places where the words of a short phrase stand one after the other.
 Everything is built from DataFrame functions. A null text has no words and no blocks. Rows equal in id and
 text get the same answer. A word is a run of ASCII letters and digits and of anything beyond ASCII. Lower-casing
-touches more than A-Z, but turns no word into another phrase's or template's.
+touches more than A-Z: it turns no word into one of a phrase, but the Kelvin sign counts as the k of a template's "work".
 """
 
 from __future__ import annotations
@@ -173,8 +173,8 @@ def label_list(labels: Column) -> Column:
 
 
 def _sql() -> str:
-    """The same in DuckDB: every line is compared with every template."""
-    templates = ", ".join(f"('{label}', {words!r})" for label, words in _SETS)
+    """The same in DuckDB: every line is compared with every template, and every run of words from a template's word on."""
+    templates = ", ".join(f"('{label}', {words!r}, {span})" for (label, words), span in zip(_SETS, _SPANS))
     places = " UNION ALL ".join(
         f"SELECT r, i - {len(p.split())} AS start, '{label}' AS label FROM words WHERE "
         + " AND ".join(f"w[i - {len(p.split()) - 1 - k}] = '{x}'" for k, x in enumerate(p.split()))
@@ -194,8 +194,18 @@ WITH docs AS (
 ), lines AS (
     SELECT r, list_distinct(regexp_extract_all(lower(line), '{word}')) AS held
     FROM (SELECT r, unnest(string_split(text, chr(10))) AS line FROM docs)
-), templates(label, words) AS (VALUES {templates}), met AS (
+), templates(label, words, span) AS (VALUES {templates}), spots AS (
+    SELECT r, i, w[i] AS word, label, span, t.words AS sought, hash(t.words) AS template
+    FROM words JOIN (SELECT *, unnest(words) AS word FROM templates) t ON w[i] = t.word
+), enough AS (
+    SELECT r, template FROM spots GROUP BY r, template HAVING count(DISTINCT word) >= ceil({CONTAINMENT} * any_value(len(sought)))
+), runs AS (
+    SELECT r, label, len(sought) AS n, count(DISTINCT word) OVER (
+        PARTITION BY r, template ORDER BY i RANGE BETWEEN CURRENT ROW AND span - 1 FOLLOWING) AS shared
+    FROM spots JOIN enough USING (r, template)
+), met AS (
     SELECT r, label, len(list_intersect(held, words)) AS shared, len(words) AS n FROM lines, templates
+    UNION ALL SELECT r, label, shared, n FROM runs
 ), resembling AS (
     SELECT r, list(DISTINCT label) AS all_labels, max(shared / n) AS score FROM met
     WHERE shared >= ceil({CONTAINMENT} * n) GROUP BY r

@@ -4,9 +4,11 @@ import math
 import random
 import re
 
+import duckdb
 from pyspark.sql import functions as F
 
-from pennyflow.llm import licenses
+from oracle import compare
+from pennyflow.llm import catalog, licenses
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -79,3 +81,25 @@ def test_wrapped_notices(spark):
     met = {r["doc_id"]: r["met"] for r in licenses.scan(df, wrapped=True).collect()}
     assert met == {label: [label] for label in WRAPPED} | {"none": []}
     assert not any(r["met"] for r in licenses.scan(df).where("doc_id <> 'mit'").collect())
+
+
+def test_sql_finds_wrapped_notices(spark, tmp_path):
+    rnd = random.Random(9)
+    texts = [None, "", "MIT\nLicense", *WRAPPED.values()]
+    for _ in range(200):
+        template = rnd.choice(licenses.TEMPLATES)[1].split()
+        line = [w for w in template if rnd.random() < 0.9] + [rnd.choice(["the", "of", "copy", "x", "y"]) for _ in range(rnd.randrange(4))]
+        rnd.random() < 0.2 and rnd.shuffle(line)
+        texts.append("".join(w + rnd.choice([" ", " ", " ", "\n", "\n # ", ", z "]) for w in line))
+    folder = str(tmp_path)
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").write.parquet(f"{folder}/documents.parquet")
+    df = catalog.QUERIES["op9_licenses"](spark, folder)
+    got = compare.rows_of(df.columns, [tuple(r) for r in df.collect()])
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet/*.parquet'")
+    cur = con.execute(licenses.SQL)
+    names = [d[0] for d in cur.description]
+    assert got == compare.rows_of(names, cur.fetchall())
+    lines_only = {r["doc_id"] for r in licenses.scan(spark.read.parquet(f"{folder}/documents.parquet")).where("size(met) > 0").collect()}
+    labelled = {r["doc_id"] for r in df.where("labels <> ''").collect()}
+    assert len(labelled - lines_only) > 50
