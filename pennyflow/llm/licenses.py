@@ -21,7 +21,7 @@ words of a template are walked through, from each of its words.
 Beside that, `phrases` finds the places where the words of a short phrase stand one after the other.
 Everything is built from DataFrame functions. A null text has no words and no blocks. Rows equal in id and
 text get the same answer. A word is a run of ASCII letters and digits and of anything beyond ASCII. Lower-casing
-touches more than A-Z: it turns no word into one of a phrase, but the Kelvin sign counts as the k of a template's "work".
+touches more than A-Z; the Kelvin sign, the one character that it would turn into one of a-z, is put aside first.
 """
 
 from __future__ import annotations
@@ -36,6 +36,8 @@ from pennyflow.functions.plans import once
 
 CONTAINMENT = 0.8
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Lower-casing makes a k of the one and leaves the other as it is; no word sought has either.
+KELVIN, KRA = "\u212a", "\u0138"
 # Phrases with their labels.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 # Public license notices, as they are put into files, with their labels.
@@ -62,7 +64,7 @@ _VOCABULARY = sorted({w for _, words in _SETS for w in words})
 
 def _words(text: Column) -> Column:
     """Words of a text, with an empty string at either end where it begins or ends outside a word."""
-    return F.split(F.lower(text), NOT_WORD)
+    return F.split(F.lower(F.replace(text, F.lit(KELVIN), F.lit(KRA))), NOT_WORD)
 
 
 def phrases(df: DataFrame, text: Column, found: dict[str, str] = PHRASES) -> DataFrame:
@@ -175,6 +177,7 @@ def label_list(labels: Column) -> Column:
 def _sql() -> str:
     """The same in DuckDB: every line is compared with every template, and every run of words from a template's word on."""
     templates = ", ".join(f"('{label}', {words!r}, {span})" for (label, words), span in zip(_SETS, _SPANS))
+    low = lambda x: f"lower(replace({x}, '{KELVIN}', '{KRA}'))"
     places = " UNION ALL ".join(
         f"SELECT r, i - {len(p.split())} AS start, '{label}' AS label FROM words WHERE "
         + " AND ".join(f"w[i - {len(p.split()) - 1 - k}] = '{x}'" for k, x in enumerate(p.split()))
@@ -183,7 +186,7 @@ def _sql() -> str:
     word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
     return f"""
 WITH docs AS (
-    SELECT row_number() OVER () AS r, doc_id, text, regexp_extract_all(lower(coalesce(text, '')), '{word}') AS w
+    SELECT row_number() OVER () AS r, doc_id, text, regexp_extract_all({low("coalesce(text, '')")}, '{word}') AS w
     FROM documents
 ), words AS (
     SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM docs
@@ -192,7 +195,7 @@ WITH docs AS (
         string_agg(DISTINCT label, ',' ORDER BY label) AS labels, list(DISTINCT label) AS all_labels
     FROM places GROUP BY r
 ), lines AS (
-    SELECT r, list_distinct(regexp_extract_all(lower(line), '{word}')) AS held
+    SELECT r, list_distinct(regexp_extract_all({low("line")}, '{word}')) AS held
     FROM (SELECT r, unnest(string_split(text, chr(10))) AS line FROM docs)
 ), templates(label, words, span) AS (VALUES {templates}), spots AS (
     SELECT r, i, w[i] AS word, label, span, t.words AS sought, hash(t.words) AS template

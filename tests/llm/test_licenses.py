@@ -36,6 +36,7 @@ def test_equals_plain_python(spark):
     rnd = random.Random(4)
     pool = sorted({w for _, t in licenses.TEMPLATES for w in t.split()}) + ["é", "İ", "other", "words"]
     texts = [None, "", "MIT License", "mit\nLICENSE the mit license.", "General-Public/License apache license apache license", "K mİt license"]
+    texts += [licenses.TEMPLATES[4][1].replace("work", "wor\u212a"), licenses.TEMPLATES[7][1].upper().replace("K", "\u212a")]
     for _ in range(400):
         line = []
         for _ in range(rnd.randrange(4)):
@@ -85,7 +86,7 @@ def test_wrapped_notices(spark):
 
 def test_sql_finds_wrapped_notices(spark, tmp_path):
     rnd = random.Random(9)
-    texts = [None, "", "MIT\nLicense", *WRAPPED.values()]
+    texts = [None, "", "MIT\nLicense", licenses.TEMPLATES[4][1].replace("work", "wor\u212a"), *WRAPPED.values()]
     for _ in range(200):
         template = rnd.choice(licenses.TEMPLATES)[1].split()
         line = [w for w in template if rnd.random() < 0.9] + [rnd.choice(["the", "of", "copy", "x", "y"]) for _ in range(rnd.randrange(4))]
