@@ -1,11 +1,16 @@
-"""Counting matching (withdrawal, saving) pairs per user without forming the pairs.
+"""Counting matching (withdrawal, saving) pairs per user.
 
 A withdrawal w matches a saving s when ``0.95 * s <= w <= s`` and w came at most h hours after s; a
 withdrawal that came first also matches, as the published rule has no lower time bound. The amounts
-that match w are a range of integers. The range is cut into blocks of an 8-way number tree; each
-saving is entered under every block that contains it, about nine rows, and a withdrawal then only
-asks how many savings of one block are not older than h hours. That is a count along a timeline, so
-the work is linear in the rows, however many pairs there are.
+that match w are a range of integers. Amounts are cut into bands 5 % wide, and w meets the savings of
+its range's two or three bands.
+
+A user's band with up to `FEW` savings is joined as it is: a withdrawal looks at each of them, so it
+makes at most a fixed number of comparisons, and no pair is kept. A crowded band is counted without forming
+pairs: the range is cut into blocks of an 8-way number tree; each saving is entered under every block
+that contains it, about nine rows, and a withdrawal, some sixty rows, then only asks how many savings of one
+block are not older than h hours. That is a count along a timeline. Either way the work is linear in the
+rows, however many pairs there are.
 """
 
 from __future__ import annotations
@@ -17,9 +22,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pennyflow import constants as C
+from pennyflow.operators.skew import lookup_join
 from pennyflow.operators.timeline import Look, look_around
 
 _STEP = 3  # 8 = 2**3 children per block
+FEW = 256  # savings of a user in one band and case that are compared one by one
 
 
 @dataclass(frozen=True)
@@ -98,10 +105,12 @@ def matching_pairs(
     behaviour: DataFrame,
     cases: Sequence[Case],
     strict: bool = False,
+    few: int = FEW,
 ) -> DataFrame:
     """(user_id, case, pairs) for the users with at least one pair.
 
-    ``strict`` counts only withdrawals at or after the saving.
+    ``strict`` counts only withdrawals at or after the saving. ``few`` decides how a band is counted,
+    never what is counted.
     """
     chosen = F.array_compact(
         F.array(
@@ -130,18 +139,35 @@ def matching_pairs(
     withdrawals = rows.where(F.col("transaction_type") == C.WITHDRAWAL).withColumn(
         "high", highest_match(F.col("amount"))
     )
-    bands = withdrawals.select(
-        *key, F.explode(F.sequence(_band(F.col("amount")), _band(F.col("high")))).alias("band")
-    ).distinct()
-    # Most savings have no withdrawal near their amount and stop here. Adaptive execution may split
-    # a large band of savings, because no later step relies on this join's partitions.
-    savings = (
-        rows.where(F.col("transaction_type") == C.SAVING)
-        .withColumn("band", _band(F.col("amount")))
-        .join(bands, [*key, "band"], "left_semi")
+    asks = withdrawals.withColumn("band", F.explode(F.sequence(_band(F.col("amount")), _band(F.col("high")))))
+    savings = rows.where(F.col("transaction_type") == C.SAVING).withColumn("band", _band(F.col("amount")))
+    savings = savings.select(*key, "band", "amount", "t")
+    place = [*key, "band"]
+    sizes = savings.groupBy(*place).agg(
+        F.count(F.lit(1)).alias("n"), F.min("amount").alias("least"), F.max("amount").alias("most")
     )
+    crowded = sizes.where(F.col("n") > few).drop("n")
+    told = lookup_join(savings, crowded, place)
+    # a withdrawal meets at most `few` savings of a band; adaptive execution may split its withdrawals
+    one = told.where(F.col("least").isNull()).select(*place, F.col("amount").alias("saved"), F.col("t").alias("saved_at"))
+    met = asks.join(one, place).where(
+        F.col("saved").between(F.col("amount"), F.col("high")) & (F.col("saved_at") >= F.col("t") - F.col("span"))
+    )
+    if strict:
+        met = met.where(F.col("saved_at") <= F.col("t"))
+    # of the other bands a withdrawal asks for the part of its range that has savings
+    wide = lookup_join(asks, crowded, place, "inner").withColumns(
+        {"amount": F.greatest("amount", "least"), "high": F.least("high", "most")}
+    )
+    counted = _counted(told.where(F.col("least").isNotNull()), wide.where("amount <= high"), place, strict)
+    found = met.select(*key, F.lit(1).cast("long").alias("pairs")).unionByName(counted.select(*key, "pairs"))
+    return found.groupBy(*key).agg(F.sum("pairs").alias("pairs")).where("pairs > 0")
+
+
+def _counted(savings: DataFrame, withdrawals: DataFrame, place: Sequence[str], strict: bool) -> DataFrame:
+    """Per asked block the savings that match, as ``pairs``; in strict mode less those after the withdrawal."""
     entered = _enter_blocks(savings).select(
-        *key, "level", "block", "t", F.lit(None).cast("int").alias("weight")
+        *place, "level", "block", "t", F.lit(None).cast("int").alias("weight")
     )
     # savings at or after t - span; in strict mode less those after t
     asks = [F.struct((F.col("t") - F.col("span") - 1).alias("at"), F.lit(1).alias("weight"))]
@@ -150,18 +176,14 @@ def matching_pairs(
     asked = (
         _cover_range(withdrawals)
         .withColumn("ask", F.explode(F.array(*asks)))
-        .select(*key, "level", "block", F.col("ask.at").alias("t"), F.col("ask.weight").alias("weight"))
+        .select(*place, "level", "block", F.col("ask.at").alias("t"), F.col("ask.weight").alias("weight"))
     )
     is_saving = F.when(F.col("weight").isNull(), F.lit(True))
     counted = look_around(
         entered.unionByName(asked),
-        [*key, "level", "block"],
+        [*place, "level", "block"],
         "t",
         [Look("later", "count", is_saving, "after")],
         F.col("weight").isNotNull(),
     )
-    return (
-        counted.groupBy(*key)
-        .agg(F.sum(F.col("later") * F.col("weight")).alias("pairs"))
-        .where("pairs > 0")
-    )
+    return counted.select(*place, (F.col("later") * F.col("weight")).alias("pairs"))

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pennyflow import constants as C
-from pennyflow.operators import columns
+from pennyflow.operators import columns, pairs
 from pennyflow.operators.filters import drop_top_users, top_users, within
 from pennyflow.operators.pairs import Case, highest_match, matching_pairs
 from pennyflow.operators.skew import lookup_join
@@ -117,6 +117,36 @@ def test_pairs_equal_brute_force(payments, strict):
     assert got == wanted
 
 
+@pytest.mark.parametrize("strict", [False, True])
+@pytest.mark.parametrize("few", [0, 2])
+def test_crowded_and_other_bands_count_the_same(payments, few, strict):
+    rng = random.Random(5)
+    amount = lambda: rng.choice([0, 0.0001, 1, 99, 100, 100 * rng.uniform(0.9, 1.05), 10 ** rng.uniform(-4, 7)])
+    rows = [
+        ("big" if rng.random() < 1 / 2 else f"u{rng.randrange(4)}", rng.choice([C.SAVING, C.WITHDRAWAL]), amount(), rng.randrange(100 * HOUR))
+        for _ in range(250)
+    ]
+    got = matching_pairs(payments(rows), [Case("a", 48, F.lit(True))], strict, few).collect()
+    assert {r["user_id"]: r["pairs"] for r in got} == brute_pairs(rows, 48, strict)
+
+
+def test_only_crowded_bands_are_counted_by_blocks(payments, monkeypatch):
+    """A withdrawal is some sixty rows under blocks; one that meets few savings is a row per band."""
+    counted, seen = pairs._counted, []
+
+    def watch(savings, withdrawals, *rest):
+        seen.append((savings.count(), withdrawals.count()))
+        return counted(savings, withdrawals, *rest)
+
+    monkeypatch.setattr(pairs, "_counted", watch)
+    rows = [(f"u{i}", C.SAVING, 30_000 + i, HOUR) for i in range(20)] + [(f"u{i}", C.WITHDRAWAL, 30_000 + i, 2 * HOUR) for i in range(20)]
+    rows += [("big", C.SAVING, 5_000 + i, HOUR) for i in range(30)] + [("big", C.WITHDRAWAL, 5_000, 2 * HOUR)]
+    got = matching_pairs(payments(rows), [Case("a", 48, F.lit(True))], few=10).collect()
+    assert {r["user_id"]: r["pairs"] for r in got} == brute_pairs(rows, 48)
+    savings, withdrawals = seen[0]
+    assert savings == 30 and 1 <= withdrawals <= 2
+
+
 def test_pairs_count_an_earlier_withdrawal_unless_strict(payments):
     as_of = "2024-01-30"
     t = day_start("2024-01-20")
