@@ -19,7 +19,8 @@ the hood's nodes that hold T or more of the query's shingles in common are asked
 set aside, the short ones are merged by a heap, which skips ahead to ids that may still occur T - L times, and these
 are probed in the L long lists by bisection. A shingle that a whole family has makes a long list, so families of texts
 that share much, but too little, are not compared pair by pair. A hood is cut into blocks of about `BLOCK`
-shingles by a hash of the node, and its queries likewise, so a task holds one block and one part of the queries.
+shingles by a hash of the node, and its queries likewise, so a task holds one block and one part of the queries. It hands
+on only links between groups that it has not joined yet, so two large groups that are alike do not make all their pairs.
 
 A null text or one without words has the empty set and is linked with nothing; with fewer words than a shingle has, the
 whole sequence is the one shingle. ASCII letters only are lower-cased. Repeated rows are one node and have a row each;
@@ -265,26 +266,39 @@ def occurring(lists: list[list[int]], least: int, mu: float = MU) -> dict[int, i
 
 
 def _search(table: pa.Table, percent: int) -> pa.Table:
-    """(a, b): the links of the searching nodes of a block with those of other groups in it."""
+    """(a, b): links of the searching nodes of a block with those of other groups in it, as many as bring these together.
+
+    Of the links between two groups, or between groups that other links of the task join, the first is kept: fewer
+    links than groups leave a task, however many pairs are alike.
+    """
     rows = table.to_pylist()
     held = sorted((r for r in rows if not r["searching"]), key=lambda r: r["node"])
     lists: dict[int, list[int]] = {}
     for i, r in enumerate(held):
         for shingle in r["own"]:
             lists.setdefault(shingle, []).append(i)
-    out = []
+    out, above = [], {}
+
+    def top(root: int) -> int:
+        while root in above:
+            above[root] = above.get(above[root], above[root])
+            root = above[root]
+        return root
+
     for q in rows:
         if q["searching"]:
             own = [lists[s] for s in q["own"] if s in lists]
             for i, n in occurring(own, least_shared(q["n"], percent)).items():
                 r = held[i]
-                if r["root"] != q["root"] and _alike(n, q["n"], r["n"], percent):
+                one, other = top(q["root"]), top(r["root"])
+                if one != other and _alike(n, q["n"], r["n"], percent):
+                    above[one] = other
                     out.append((min(q["node"], r["node"]), max(q["node"], r["node"])))
     return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
 
 
 def searched(sets: DataFrame, hoods: DataFrame, roots: DataFrame, block: int = BLOCK, percent: int = PERCENT) -> DataFrame:
-    """(a, b): links between groups of one hood. `hoods` and `roots` have (b, a), a node and the smallest it reaches."""
+    """(a, b): links that bring groups of one hood together. `hoods` and `roots` have (b, a), a node and the smallest it reaches."""
     of = sets.select("node", "n").join(hoods.toDF("node", "hood"), "node").join(roots.toDF("node", "root"), "node", "left")
     # The smallest node of a hood or group stands in neither table as b.
     heads = hoods.select(F.col("a").alias("node")).distinct().withColumn("hood", F.col("node"))

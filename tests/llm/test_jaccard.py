@@ -3,6 +3,7 @@
 import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 from pennyflow.llm import jaccard
@@ -113,3 +114,14 @@ def test_large_families_make_a_row_per_text(spark, own):
     assert jaccard.searched(sets, hoods, roots).count() == 0
     components = {r["component_id"] for r in jaccard.joined(df).collect()}
     assert len(components) == (300 if own == 5 else 1)
+
+
+def test_alike_groups_are_joined_by_fewer_links_than_groups():
+    """Three groups of which every two texts are alike: 2,400 pairs between them, and two links join them. A fourth is apart."""
+    common, other = list(range(20)), list(range(100, 120))
+    rows = [{"node": k, "n": 20, "root": k % 3, "own": common, "searching": s} for k in range(60) for s in (False, True)]
+    rows += [{"node": k, "n": 20, "root": 90, "own": other, "searching": s} for k in range(90, 95) for s in (False, True)]
+    links = jaccard._search(pa.Table.from_pylist(rows), 80).to_pylist()
+    assert len(links) == 2
+    assert {frozenset((r["a"] % 3, r["b"] % 3)) for r in links} <= {frozenset(p) for p in ((0, 1), (0, 2), (1, 2))}
+    assert len({frozenset((r["a"] % 3, r["b"] % 3)) for r in links}) == 2 and all(r["a"] < 60 and r["b"] < 60 for r in links)
