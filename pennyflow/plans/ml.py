@@ -199,23 +199,27 @@ def svm_grid(
     n = max(train.count(), 1)
     accuracy = MulticlassClassificationEvaluator(labelCol=LABEL, metricName="accuracy")
 
-    def search(pipeline: Pipeline, grid: list) -> tuple:
+    def search(features: Pipeline, svc: LinearSVC) -> tuple:
+        # what the machine reads is worked out once, not by each of its fits
+        made = features.fit(prepared)
+        rows = materialise(train.sparkSession, made.transform(prepared).select(LABEL, "weight", "fold", "features"))
+        grid = ParamGridBuilder().addGrid(svc.regParam, penalties).build()
         found = CrossValidator(
-            estimator=pipeline, estimatorParamMaps=grid, evaluator=accuracy, numFolds=folds, foldCol="fold", parallelism=2
-        ).fit(prepared)
-        return found.bestModel, found.avgMetrics
+            estimator=svc, estimatorParamMaps=grid, evaluator=accuracy, numFolds=folds, foldCol="fold", parallelism=2
+        ).fit(rows)
+        return PipelineModel([*made.stages, found.bestModel]), found.avgMetrics
 
     svc = LinearSVC(labelCol=LABEL, weightCol="weight", maxIter=max_iter, tol=1e-4)
     penalties = [1.0 / (c * n) for c in costs]
-    best, means = search(Pipeline(stages=[_assembler(), svc]), ParamGridBuilder().addGrid(svc.regParam, penalties).build())
+    best, means = search(Pipeline(stages=[_assembler()]), svc)
     rows = [("linear", None, float(c), float(m)) for c, m in zip(costs, means)]
     top = max(means)
     waves = VectorAssembler(inputCols=[f"fourier_{i}" for i in range(size)], outputCol="features")
     for gamma in gammas:
         # every feature weighs the same, as the kernel is their plain product
         flat = LinearSVC(labelCol=LABEL, weightCol="weight", maxIter=max_iter, tol=1e-4, standardization=False)
-        stages = [SQLTransformer(statement=fourier_features(INPUTS, gamma, size, seed)), waves, flat]
-        model, means = search(Pipeline(stages=stages), ParamGridBuilder().addGrid(flat.regParam, penalties).build())
+        kernel = SQLTransformer(statement=fourier_features(INPUTS, gamma, size, seed))
+        model, means = search(Pipeline(stages=[kernel, waves]), flat)
         rows += [("radial", float(gamma), float(c), float(m)) for c, m in zip(costs, means)]
         if max(means) > top:
             best, top = model, max(means)

@@ -130,6 +130,21 @@ def test_grid_compares_both_kernels(training):
     assert ml.evaluate(best.transform(test)).first()["accuracy"] > 0.8
 
 
+def test_the_grid_works_features_out_once_per_kernel(training, monkeypatch):
+    """Every fit and every scoring of the grid reads stored features; the chosen model still takes plain rows."""
+    stored, materialise = [], ml.materialise
+
+    def watch(spark, df):
+        stored.append(df.columns)
+        return materialise(spark, df)
+
+    monkeypatch.setattr(ml, "materialise", watch)
+    train, test = ml.split(training)
+    best, table = ml.svm_grid(train, costs=(1.0,), gammas=(0.01,), size=8, max_iter=2)
+    assert stored == [[ml.LABEL, "weight", "fold", "features"]] * 2
+    assert table.count() == 2 and best.transform(test).where("prediction IS NOT NULL").count() == test.count()
+
+
 def test_naive_bayes_by_hand(training):
     train, test = bayes.split_by_digest(training)
     found = bayes.statistics(train)
