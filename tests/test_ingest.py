@@ -112,6 +112,16 @@ def test_export_round_trip_of_files(spark, tmp_path):
     assert [tuple(r) for r in again.collect()] == [tuple(r) for r in rows.collect()]
 
 
+def test_formatted_export_is_packed(spark, tmp_path):
+    rows = spark.range(200).selectExpr("cast(id AS string) AS user_id", "repeat('same text ', 50) AS context", "cast(null AS string) AS empty")
+    export.write_formatted_ndjson(rows.coalesce(1), str(tmp_path / "formatted"))
+    files = list((tmp_path / "formatted").glob("part-*"))
+    assert files and all(f.name.endswith(".json.gz") for f in files)
+    assert sum(f.stat().st_size for f in files) < 200 * 500 / 10
+    again = spark.read.schema(rows.schema).json(str(tmp_path / "formatted"))
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, rows.collect()))
+
+
 def test_messages(spark):
     message = {"user_id": "u", "event_type": "E", "time_transaction_occurred": 5, "context": "{}"}
     encode = lambda x: base64.b64encode(x.encode()).decode()
