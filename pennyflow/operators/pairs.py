@@ -148,15 +148,16 @@ def matching_pairs(
     )
     crowded = sizes.where(F.col("n") > few).drop("n")
     told = lookup_join(savings, crowded, place)
-    # a withdrawal meets at most `few` savings of a band; adaptive execution may split its withdrawals
+    # A withdrawal meets at most `few` savings of a band; adaptive execution may split its withdrawals. Both sides grow
+    # with the rows, so they are merged: a broadcast would pass the driver.
     one = told.where(F.col("least").isNull()).select(*place, F.col("amount").alias("saved"), F.col("t").alias("saved_at"))
-    met = asks.join(one, place).where(
+    met = asks.join(one.hint("merge"), place).where(
         F.col("saved").between(F.col("amount"), F.col("high")) & (F.col("saved_at") >= F.col("t") - F.col("span"))
     )
     if strict:
         met = met.where(F.col("saved_at") <= F.col("t"))
     # of the other bands a withdrawal asks for the part of its range that has savings
-    wide = lookup_join(asks, crowded, place, "inner").withColumns(
+    wide = lookup_join(asks.hint("merge"), crowded, place, "inner").withColumns(
         {"amount": F.greatest("amount", "least"), "high": F.least("high", "most")}
     )
     counted = _counted(told.where(F.col("least").isNotNull()), wide.where("amount <= high"), place, strict)

@@ -92,7 +92,8 @@ def look_around(
             return F.coalesce(near, zero) + F.coalesce(far, zero)
         return (F.least if look.kind == "min" else F.greatest)(near, far)
 
-    answered = within.where(F.col("_row").isNotNull()).join(carried, ["_key", "_cell"])
+    # both sides grow with the rows and are small only when packed: neither may go through the driver as a broadcast
+    answered = within.where(F.col("_row").isNotNull()).join(carried.hint("merge"), ["_key", "_cell"])
     return answered.select("_row.*", *[total(look).alias(look.name) for look in looks])
 
 

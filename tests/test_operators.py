@@ -69,6 +69,20 @@ def test_look_around_equals_brute_force(spark, cell_ms):
     assert got == wanted
 
 
+def plan_of(df):
+    df.collect()  # adaptive execution has chosen its joins after a run only
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_no_timeline_passes_the_driver(spark, payments):
+    """Small tables would be broadcast, and packed large ones too."""
+    rows = spark.createDataFrame(crowd(3), "user_id string, kind string, t long")
+    looked = look_around(rows, ["user_id"], "t", [Look("n", "count", F.col("t"), "before")], F.col("kind") == "ask")
+    assert "Broadcast" not in plan_of(looked)
+    df = payments([("u", C.SAVING, 100, HOUR), ("u", C.WITHDRAWAL, 100, 2 * HOUR)])
+    assert "BroadcastHashJoin" not in plan_of(matching_pairs(df, [Case("c", 48, F.lit(True))]))
+
+
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
 def test_lookup_join_equals_join(spark, how):
     rows = spark.createDataFrame([(u, t) for u, _, t in crowd(2)], "user string, t long")
